@@ -8,7 +8,7 @@ from collections.abc import Callable, Iterable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from plantloom.catalog.views import view
+from plantloom.catalog.views import view, views
 from plantloom.contracts import SOURCE_DDL
 from plantloom.functions import materials as mat
 from plantloom.functions import orders as odr
@@ -36,7 +36,7 @@ def query(fn: Query) -> Query:
 
 def tables(spark: SparkSession, sf_dir: str, names: Iterable[str], only: str | None = None):
     """The named ERP tables; with ``only``, base tables hold that system's rows."""
-    found = {n: view(spark, sf_dir, n) for n in names}
+    found = views(spark, sf_dir, names)
     if only is not None:
         for base in ("MARC", "AFKO"):
             if base in found:

@@ -11,6 +11,8 @@ sides of every lateness limit.
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+
 from pyspark.sql import DataFrame, SparkSession
 
 VIEWS = {
@@ -104,12 +106,18 @@ VIEWS = {
 INPUTS = ("part", "lineitem", "supplier", "nation", "orders")
 
 
+def views(spark: SparkSession, sf_dir: str, tables: Iterable[str]) -> dict[str, DataFrame]:
+    """The named ERP tables over the parquet files in ``sf_dir``."""
+    texts = {t: VIEWS[t] for t in tables}
+    inputs = {name: spark.read.parquet(f"{sf_dir}/{name}.parquet") for name in INPUTS
+              if any("{" + name + "}" in text for text in texts.values())}
+    return {t: spark.sql(text, **{n: df for n, df in inputs.items() if "{" + n + "}" in text})
+            for t, text in texts.items()}
+
+
 def view(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
-    """The named ERP table over the parquet files in ``sf_dir``."""
-    text = VIEWS[table]
-    inputs = {name: spark.read.parquet(f"{sf_dir}/{name}.parquet")
-              for name in INPUTS if "{" + name + "}" in text}
-    return spark.sql(text, **inputs)
+    """One ERP table over the parquet files in ``sf_dir``."""
+    return views(spark, sf_dir, [table])[table]
 
 
 def view_sql(table: str) -> str:

@@ -6,7 +6,6 @@ import logging
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from plantloom.checks import require_columns, require_names, require_text
 
@@ -43,8 +42,7 @@ def prefix_columns(df: DataFrame, prefix: str, exclude: Sequence[str] | None = N
     require_text(prefix, "prefix")
     keep = [] if exclude is None else exclude
     require_names(keep, "exclude")
-    return df.select(*[F.col(c) if c in keep else F.col(c).alias(f"{prefix}_{c}")
-                       for c in df.columns])
+    return df.toDF(*[c if c in keep else f"{prefix}_{c}" for c in df.columns])
 
 
 def strip_prefixes(df: DataFrame) -> DataFrame:

@@ -1,0 +1,228 @@
+"""Null rules, join chaining, duplicates and ties on the material side."""
+
+import datetime
+
+import pytest
+from pyspark.sql import functions as F
+
+from plantloom.operators.dedup import collapse, first_by, with_group_size
+from plantloom.operators.union import harmonize
+from plantloom.plans import material
+from plantloom.plans.keys import add_primary_keys
+from tests.frames import frame, rows, table
+
+DAY = datetime.date
+
+
+def mara(spark, *given):
+    return table(spark, "MARA", *({"MANDT": "100", "MEINS": "EA"} | g for g in given))
+
+
+def test_old_number_and_deletion_flag(spark):
+    df = mara(spark, {"MATNR": "1"}, {"MATNR": "2", "BISMT": "ARCHIVE"},
+              {"MATNR": "3", "BISMT": "archive"}, {"MATNR": "4", "BISMT": "RENUMBERED"},
+              {"MATNR": "5", "BISMT": "DUPLICATE"}, {"MATNR": "6", "BISMT": "OLD"},
+              {"MATNR": "7", "LVORM": "X"}, {"MATNR": "8", "LVORM": ""},
+              {"MATNR": "9", "LVORM": " "})
+    assert rows(material.general_material(df), "MATNR") == [("1",), ("3",), ("6",), ("8",)]
+    assert len(rows(material.general_material(df, check_old_number=False))) == 7
+    assert len(rows(material.general_material(df, check_deleted=False))) == 6
+    assert len(rows(material.general_material(
+        df, check_old_number=False, check_deleted=False))) == 9
+
+
+def mbew(spark, *given):
+    base = {"MANDT": "100", "MATNR": "1", "BWKEY": "A"}
+    return table(spark, "MBEW", *(base | g for g in given))
+
+
+def test_valuation_filters_before_ranking(spark):
+    df = mbew(spark,
+              {"LAEPR": DAY(2024, 3, 1), "LVORM": "X", "VERPR": 1.0},
+              {"LAEPR": DAY(2024, 2, 1), "BWTAR": "", "VERPR": 2.0},
+              {"LAEPR": DAY(2024, 1, 1), "LVORM": "", "VERPR": 3.0},
+              {"VERPR": 4.0})
+    assert rows(material.material_valuation(df), "VERPR") == [(3.0,)]
+
+
+def test_valuation_ties_and_unknown_dates(spark):
+    tied = mbew(spark, {"sur_pkey": "2", "VERPR": 1.0}, {"sur_pkey": "1", "VERPR": 9.0},
+                {"VERPR": 0.5}, {"MATNR": "2", "VERPR": 7.0}, {"MATNR": "2", "VERPR": 6.0})
+    for parts in (1, 5):
+        got = rows(material.material_valuation(tied.repartition(parts)), "MATNR", "VERPR")
+        assert got == [("1", 9.0), ("2", 6.0)]
+    # the client is not part of the group
+    two = mbew(spark, {"MANDT": "100", "LAEPR": DAY(2024, 1, 1)},
+               {"MANDT": "200", "LAEPR": DAY(2024, 1, 2)})
+    assert rows(material.material_valuation(two), "MANDT") == [("200",)]
+
+
+def test_valuation_without_surrogate_key(spark):
+    df = mbew(spark, {"VERPR": 2.0}, {"VERPR": 1.0}).drop("sur_pkey")
+    assert rows(material.material_valuation(df), "VERPR") == [(1.0,)]
+
+
+def test_plant_duplicates_differ_by_flag(spark):
+    base = {"SOURCE_SYSTEM_ERP": "PRE", "MATNR": "1", "WERKS": "P"}
+    df = table(spark, "MARC", base, base, base | {"LVORM": ""}, base | {"LVORM": "X"})
+    assert material.plant_data(df).count() == 3
+    assert material.plant_data(df, drop_duplicates=True).count() == 2
+    assert material.plant_data(df, check_deleted=False).count() == 4
+    assert material.plant_data(df, check_deleted=False, drop_duplicates=True).count() == 3
+    assert material.plant_data(df).columns == material.GRAIN
+
+
+def world(spark):
+    """Every way the joins can miss or fan out."""
+    sys = {"SOURCE_SYSTEM_ERP": "PRE"}
+    return {
+        "MARC": table(
+            spark, "MARC",
+            *[sys | {"MATNR": "1", "WERKS": "P1"}] * 3,
+            sys | {"MATNR": "1", "WERKS": "P1", "LVORM": ""},
+            sys | {"MATNR": "gone", "WERKS": "P1"},
+            sys | {"MATNR": "2", "WERKS": "P1"},
+            sys | {"MATNR": "1", "WERKS": "nowhere"},
+            sys | {"MATNR": "2", "WERKS": "P2"}, sys | {"MATNR": "2", "WERKS": "P2"},
+            sys | {"MATNR": "3", "WERKS": "P2"},
+            sys | {"WERKS": "P1"}, sys | {"WERKS": "P1"}, sys | {"MATNR": "1"},
+            {"SOURCE_SYSTEM_ERP": "PRD", "MATNR": "1", "WERKS": "P1"}),
+        "MARA": mara(
+            spark, {"MATNR": "1", "ZZMDGM": "G1"}, {"MATNR": "gone", "LVORM": "X"},
+            {"MATNR": "2"}, {"MATNR": "2", "MEINS": "BX"}, {"MATNR": "2", "MANDT": "200"},
+            {"MATNR": "3", "MEINS": None, "ZZMDGM": ""}, {"MATNR": "3", "ZZMDGM": "G3"}),
+        "T001W": table(
+            spark, "T001W",
+            {"MANDT": "100", "WERKS": "P1", "BWKEY": "A", "NAME1": "One"},
+            {"MANDT": "100", "WERKS": "P2", "BWKEY": "B"},
+            {"MANDT": "100", "WERKS": "P2", "BWKEY": "B", "NAME1": "Two"},
+            {"MANDT": "100", "WERKS": "P2", "BWKEY": "A", "NAME1": "Twin"},
+            {"MANDT": "200", "WERKS": "P2", "BWKEY": "C", "NAME1": "Far"}),
+        "MBEW": table(
+            spark, "MBEW",
+            {"MANDT": "100", "MATNR": "1", "BWKEY": "A", "VERPR": 1.5},
+            {"MANDT": "100", "MATNR": "2", "BWKEY": "A", "VERPR": 2.5, "VPRSV": "S"},
+            {"MANDT": "100", "MATNR": "2", "BWKEY": "B", "VERPR": 3.5},
+            {"MANDT": "200", "MATNR": "3", "BWKEY": "B", "VERPR": 4.5}),
+        "T001K": table(
+            spark, "T001K", *[{"MANDT": "100", "BWKEY": "A", "BUKRS": "C1"}] * 2,
+            {"MANDT": "100", "BWKEY": "A", "BUKRS": "C2"},
+            {"MANDT": "100", "BWKEY": "B", "BUKRS": "C3"}),
+        "T001": table(
+            spark, "T001", {"MANDT": "100", "BUKRS": "C1", "WAERS": "EUR"},
+            *[{"MANDT": "100", "BUKRS": "C1", "WAERS": "CHF"}] * 2,
+            {"MANDT": "100", "BUKRS": "C2"}),
+    }
+
+
+def integrated(spark, t):
+    return material.integrate_material(
+        material.plant_data(t["MARC"]), material.general_material(t["MARA"]),
+        material.plants(t["T001W"]), material.material_valuation(t["MBEW"]),
+        material.valuation_areas(t["T001K"]), material.company_codes(t["T001"]))
+
+
+def test_join_chain(spark):
+    df = integrated(spark, world(spark))
+    shown = "MEINS", "BWKEY", "NAME1", "VERPR", "WAERS"
+
+    def of(number, plant):
+        return rows(df.filter((F.col("MATNR") == number) & (F.col("WERKS") == plant)
+                              & (F.col("SOURCE_SYSTEM_ERP") == "PRE")).distinct(), *shown)
+
+    # a deleted material leaves the plant row without anything
+    assert of("gone", "P1") == [(None,) * 5]
+    # no plant: the material is known, the rest is not
+    assert of("1", "nowhere") == [("EA", None, None, None, None)]
+    # the valuation is another client's: the plant is known, the currency is not
+    assert ("EA", "B", "Two", None, None) in of("3", "P2")
+    assert ("EA", "A", "One", 1.5, "CHF") in of("1", "P1")
+    assert ("EA", "A", "One", 1.5, None) in of("1", "P1")
+    # the second client of a material meets its own plants only
+    assert ("EA", "C", "Far", None, None) in of("2", "P2")
+    assert df.columns == [*material.GRAIN, "MEINS", "global_material_number", "BWKEY", "NAME1",
+                          "VPRSV", "VERPR", "STPRS", "PEINH", "BKLAS", "WAERS"]
+    # four plant rows, three currencies of C1 and one of C2
+    assert df.filter("MATNR = '1' AND WERKS = 'P1' AND SOURCE_SYSTEM_ERP = 'PRE'").count() == 16
+
+
+def test_counting_before_the_joins_changes_nothing(spark):
+    t = world(spark)
+    late = material.finish_local_material(integrated(spark, t))
+    early = material.local_material(t)
+    assert early.columns == late.columns
+    assert rows(early) == rows(late)
+    shuffled = {n: df.repartition(7) for n, df in t.items()}
+    assert rows(material.local_material(shuffled)) == rows(late)
+    # every integrated row is accounted for
+    total = early.agg(F.sum("no_of_duplicates")).first()[0]
+    assert total == integrated(spark, t).count()
+    metrics = material.dedup_metrics(early).first().asDict()
+    assert metrics == {"rows_before": total, "rows_after": early.count(),
+                       "duplicates_removed": total - early.count()}
+
+
+def test_survivor_is_first_with_nulls_last(spark):
+    t = world(spark)
+    got = {r.MATNR + r.WERKS: r for r in material.local_material(t)
+           .filter("SOURCE_SYSTEM_ERP = 'PRE' AND MATNR IS NOT NULL AND WERKS IS NOT NULL")
+           .collect()}
+    assert got["1P1"].WAERS == "CHF" and got["1P1"].no_of_duplicates == 16
+    assert got["2P1"].MEINS == "BX"
+    assert (got["3P2"].MEINS, got["3P2"].BWKEY) == ("EA", "A")
+    assert got["1P1"].primary_key_inter == "PRE_1_P1"
+    assert got["1P1"].mtl_plant_emd == "P1-One" and got["1nowhere"].mtl_plant_emd == "nowhere"
+    assert got["1P1"].global_mtl_id == "G1" and got["gone" + "P1"].global_mtl_id == "gone"
+
+
+def test_options(spark):
+    t = world(spark)
+    options = material.MaterialOptions(
+        check_old_number=False, check_material_deleted=False, check_plant_deleted=False,
+        drop_duplicate_plants=True)
+    got = material.local_material(t, options)
+    assert got.filter("MATNR = 'gone'").first().MEINS == "EA"
+    assert got.filter("MATNR = '1' AND WERKS = 'P1' AND SOURCE_SYSTEM_ERP = 'PRE'"
+                      ).first().no_of_duplicates == 8
+
+
+def test_additional_plant_columns(spark):
+    t = world(spark)
+    plant = t["MARC"].withColumns({"EKGRP": F.lit("e"), "BWKEY": F.lit("x")})
+    sides = (material.general_material(t["MARA"]), material.plants(t["T001W"]),
+             material.material_valuation(t["MBEW"]), material.valuation_areas(t["T001K"]),
+             material.company_codes(t["T001"]))
+    df = material.integrate_material(
+        material.plant_data(plant, additional=["EKGRP", "BWKEY"]), *sides)
+    # the area always comes from the plant master
+    assert df.columns[:5] == [*material.GRAIN, "EKGRP", "MEINS"]
+    assert df.filter("BWKEY = 'x'").count() == 0
+    assert "EKGRP" in material.finish_local_material(df).columns
+    with pytest.raises(ValueError, match="MEINS"):
+        material.integrate_material(
+            material.plant_data(plant.withColumn("MEINS", F.lit("e")), additional=["MEINS"]),
+            *sides)
+
+
+def test_keys_leave_nulls_out(spark):
+    df = frame(spark, "s string, a string, b string, c string",
+               ("PRE", "A", None, "C"), ("PRE", "A", "C", None), (None, None, None, None))
+    got = rows(add_primary_keys(df, "s", ["a", "b", "c"]),
+               "primary_key_intra", "primary_key_inter")
+    assert got == [("", ""), ("A_C", "PRE_A_C"), ("A_C", "PRE_A_C")]
+
+
+def test_group_operators_treat_null_keys_as_equal(spark):
+    df = frame(spark, "k string, v int", (None, 2), (None, 1), (None, None), ("a", None))
+    assert rows(with_group_size(df, ["k"], "n"), "k", "n") == [("a", 1)] + [(None, 3)] * 3
+    assert rows(collapse(df, ["k"], "n"), "k", "v", "n") == [("a", None, 1), (None, 1, 3)]
+    assert rows(collapse(df.select("k"), ["k"], "n")) == [("a", 1), (None, 3)]
+    assert rows(first_by(df, ["k"], [F.col("v").desc_nulls_last()])) == [("a", None), (None, 2)]
+
+
+def test_harmonize_fills_missing_columns(spark):
+    pre = frame(spark, "a int, p string", (1, "x"))
+    prd = frame(spark, "q string, a int", ("y", 2), ("y", 2))
+    both = harmonize(pre, prd)
+    assert both.columns == ["q", "a", "p"]
+    assert rows(both) == [("y", 2, None), ("y", 2, None), (None, 1, "x")]
