@@ -6,7 +6,8 @@ key of their own. Planted on purpose: retired old numbers, deletion flags that
 are set, empty and null, split valuations, unknown price dates, repeated plant
 rows, plants, valuation areas and companies without partner, null and empty
 global numbers, orders without item or master record, and deviations on both
-sides of every lateness limit.
+sides of every lateness limit. The client is computed from the row, since a
+constant would be folded out of the join keys, unlike a column read from a file.
 """
 
 from __future__ import annotations
@@ -17,7 +18,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 VIEWS = {
     "MARA": """
-        SELECT '100' AS MANDT, CAST(p_partkey AS STRING) AS MATNR,
+        SELECT CASE WHEN p_partkey < 0 THEN '000' ELSE '100' END AS MANDT,
+               CAST(p_partkey AS STRING) AS MATNR,
                CASE p_partkey % 13 WHEN 0 THEN 'X' WHEN 1 THEN '' ELSE NULL END AS LVORM,
                p_type AS MTART,
                CASE p_partkey % 11 WHEN 0 THEN 'ARCHIVE' WHEN 1 THEN 'DUPLICATE'
@@ -34,7 +36,8 @@ VIEWS = {
                CAST(l_orderkey AS STRING) AS sur_pkey
         FROM {lineitem}""",
     "MBEW": """
-        SELECT '100' AS MANDT, CAST(l_partkey AS STRING) AS MATNR,
+        SELECT CASE WHEN l_partkey < 0 THEN '000' ELSE '100' END AS MANDT,
+               CAST(l_partkey AS STRING) AS MATNR,
                CAST(l_suppkey AS STRING) AS BWKEY,
                CASE WHEN l_linenumber = 7 THEN 'SPLIT' ELSE NULL END AS BWTAR,
                CASE l_orderkey % 10 WHEN 3 THEN 'X' WHEN 4 THEN '' ELSE NULL END AS LVORM,
@@ -44,27 +47,30 @@ VIEWS = {
                CAST(l_orderkey AS STRING) AS sur_pkey
         FROM {lineitem}""",
     "T001W": """
-        SELECT '100' AS MANDT,
+        SELECT CASE WHEN s_suppkey < 0 THEN '000' ELSE '100' END AS MANDT,
                CASE WHEN s_suppkey % 23 = 5 THEN 'closed-' ELSE '' END
                     || CAST(s_suppkey AS STRING) AS WERKS,
                CAST(s_suppkey AS STRING) AS BWKEY,
                CASE WHEN s_suppkey % 10 = 0 THEN NULL ELSE s_name END AS NAME1
         FROM {supplier}""",
     "T001K": """
-        SELECT '100' AS MANDT, CAST(s_suppkey AS STRING) AS BWKEY,
+        SELECT CASE WHEN s_suppkey < 0 THEN '000' ELSE '100' END AS MANDT,
+               CAST(s_suppkey AS STRING) AS BWKEY,
                CAST(s_nationkey AS STRING) AS BUKRS FROM {supplier}
         UNION ALL
-        SELECT '100' AS MANDT, CAST(s_suppkey AS STRING) AS BWKEY,
+        SELECT CASE WHEN s_suppkey < 0 THEN '000' ELSE '100' END AS MANDT,
+               CAST(s_suppkey AS STRING) AS BWKEY,
                CAST(s_nationkey AS STRING) AS BUKRS FROM {supplier}""",
     "T001": """
-        SELECT '100' AS MANDT,
+        SELECT CASE WHEN n_nationkey < 0 THEN '000' ELSE '100' END AS MANDT,
                CASE WHEN n_nationkey % 8 = 3 THEN 'closed-' ELSE '' END
                     || CAST(n_nationkey AS STRING) AS BUKRS,
                'CUR' || CAST(n_regionkey AS STRING) AS WAERS
         FROM {nation}""",
     "AFKO": """
         SELECT CASE o_orderkey % 2 WHEN 0 THEN 'PRE' ELSE 'PRD' END AS SOURCE_SYSTEM_ERP,
-               '100' AS MANDT, CAST(o_orderkey AS STRING) AS AUFNR,
+               CASE WHEN o_orderkey < 0 THEN '000' ELSE '100' END AS MANDT,
+               CAST(o_orderkey AS STRING) AS AUFNR,
                CASE WHEN o_orderkey % 5 = 0 THEN NULL
                     ELSE CAST(o_orderdate AS DATE) + 30 END AS GLTRP,
                CASE WHEN o_orderstatus = 'P' THEN NULL

@@ -2,10 +2,26 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
+def left_lookup(left: DataFrame, right: DataFrame, on: Sequence[tuple[str, str]]) -> DataFrame:
+    """Left outer equi-join to a right side that was grouped by the same keys before.
+
+    Joined plainly, Spark would reuse the grouping's distribution of the right
+    side, and a join without a shuffle right below each side is not split when
+    one key holds much of the left. Null-safe comparison is another key
+    expression, so both sides are shuffled; with no null keys on the right it
+    selects the same pairs. The right side has been reduced by its grouping.
+    """
+    for _, key in on:
+        right = right.filter(F.col(key).isNotNull())
+    return left.join(right, [F.col(a).eqNullSafe(F.col(b)) for a, b in on], "left")
+
+
 def left_join_many(
     left: DataFrame,
     right: DataFrame,

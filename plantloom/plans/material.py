@@ -13,6 +13,7 @@ from plantloom.functions.materials import (
     global_material_id, not_deleted, not_retired, not_split_valued, plant_label)
 from plantloom.operators.columns import first_present, pick
 from plantloom.operators.dedup import collapse, first_by
+from plantloom.operators.joins import left_lookup
 from plantloom.plans.keys import add_primary_keys
 
 TABLES = ("MARA", "MARC", "MBEW", "T001W", "T001K", "T001")
@@ -126,20 +127,17 @@ def _enrich(
     The material number is taken from the always-filled plant side, so rows
     without material spread over all partitions instead of meeting as nulls.
     """
-    col = F.col
-    return (
+    known = (
         plant.alias("plant")
-        .join(material.alias("material"), col("plant.MATNR") == col("material.MATNR"), "left")
+        .join(material.alias("material"), F.col("plant.MATNR") == F.col("material.MATNR"), "left")
         .join(plants.alias("site"),
-              (col("material.MANDT") == col("site.MANDT"))
-              & (col("plant.WERKS") == col("site.WERKS")), "left")
-        .join(valuation.alias("value"),
-              (col("material.MANDT") == col("value.MANDT"))
-              & (col("plant.MATNR") == col("value.MATNR"))
-              & (col("site.BWKEY") == col("value.BWKEY")), "left")
-        .join(currency.alias("currency"),
-              (col("material.MANDT") == col("currency.MANDT"))
-              & (col("value.BWKEY") == col("currency.BWKEY")), "left"))
+              (F.col("material.MANDT") == F.col("site.MANDT"))
+              & (F.col("plant.WERKS") == F.col("site.WERKS")), "left"))
+    valued = left_lookup(known, valuation.alias("value"), [
+        ("material.MANDT", "value.MANDT"), ("plant.MATNR", "value.MATNR"),
+        ("site.BWKEY", "value.BWKEY")])
+    return left_lookup(valued, currency.alias("currency"), [
+        ("material.MANDT", "currency.MANDT"), ("value.BWKEY", "currency.BWKEY")])
 
 
 def _published(plant: DataFrame) -> list[str]:

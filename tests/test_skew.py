@@ -1,0 +1,129 @@
+"""Plans and results when one key holds a third of all rows.
+
+Thresholds are lowered so that small data counts as large: no broadcasts, and
+partitions of some ten kilobytes are heavy.
+"""
+
+import pytest
+from pyspark.sql import functions as F
+
+from plantloom.operators.dedup import collapse, with_group_size
+from plantloom.operators.joins import left_join_many
+from plantloom.plans import material
+from tests.frames import rows
+
+SETTINGS = {
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20KB",
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "32KB",
+    "spark.sql.adaptive.coalescePartitions.enabled": "false",
+}
+
+
+@pytest.fixture
+def large(spark):
+    for key, value in SETTINGS.items():
+        spark.conf.set(key, value)
+    yield spark
+    for key in SETTINGS:
+        spark.conf.unset(key)
+
+
+def final_plan(df):
+    df.collect()
+    text = df._jdf.queryExecution().executedPlan().toString()
+    return text[:text.index("Initial Plan")]
+
+
+def hot(spark, n=60000, keys=4000):
+    """Every third row has the key 'hot'."""
+    key = F.when(F.col("id") % 3 == 0, "hot").otherwise((F.col("id") % keys).cast("string"))
+    return spark.range(0, n, 1, 8).select(key.alias("k"), F.col("id").cast("string").alias("v"))
+
+
+def test_heavy_right_key_of_an_outer_join_is_split(large):
+    left = large.range(0, 5000, 1, 8).select(
+        F.when(F.col("id") == 0, "hot").otherwise(F.col("id").cast("string")).alias("l"))
+    right = hot(large)
+    got = left_join_many(left, right, "l", "k")
+    outer = left.join(right, F.col("l") == F.col("k"), "left")
+    assert "SortMergeJoin(skew=true)" in final_plan(got)
+    # the plain outer join has no way to do that
+    assert "skew=true" not in final_plan(outer)
+    assert got.count() == outer.count()
+    assert got.exceptAll(outer).isEmpty()
+
+
+def test_keyless_left_rows_are_split(large):
+    left = hot(large).select(F.nullif("k", F.lit("hot")).alias("l"), "v")
+    right = large.range(0, 3000, 1, 8).select(F.col("id").cast("string").alias("r"))
+    got = left_join_many(left, right, "l", "r")
+    assert "SortMergeJoin(skew=true)" in final_plan(got)
+    assert got.count() == left.count()
+
+
+def test_group_size_splits_a_heavy_group(large):
+    df = hot(large)
+    got = with_group_size(df, ["k"], "n")
+    plan = final_plan(got)
+    assert "SortMergeJoin(skew=true)" in plan and "Window" not in plan
+    assert got.count() == 60000
+    assert rows(got.filter("k = 'hot'").select("n").distinct()) == [(20000,)]
+
+
+def test_copies_are_reduced_before_the_shuffle(large):
+    # partial aggregation: at most one row per key and map task is shuffled
+    df = hot(large).select("k", F.lit("same").alias("x"))
+    got = collapse(df, ["k"], "n")
+    plan = final_plan(got)
+    assert "partial_count" in plan and "partial_min" in plan
+    assert rows(got.filter("k = 'hot'")) == [("hot", "same", 20000)]
+
+
+def test_latest_price_is_limited_before_the_shuffle(large):
+    df = hot(large).select(
+        F.col("k").alias("MATNR"), F.lit("A").alias("BWKEY"), F.lit("100").alias("MANDT"),
+        F.date_add(F.lit("2020-01-01"), (F.col("v").cast("int") % 900)).alias("LAEPR"),
+        *[F.lit(None).cast("string").alias(c) for c in ("LVORM", "BWTAR", "VPRSV", "BKLAS")],
+        *[F.col("v").cast("double").alias(c) for c in ("VERPR", "STPRS", "PEINH")])
+    got = material.material_valuation(df)
+    plan = final_plan(got)
+    assert plan.count("WindowGroupLimit") == 2
+    assert plan.index("Final") < plan.index("Exchange") < plan.index("Partial")
+    assert rows(got.filter("MATNR = 'hot'"), "VERPR") == [(897.0,)]
+
+
+def test_heavy_material_on_the_plant_side(large):
+    """A third of the plant rows share a material, over many plants nobody knows."""
+    plant = hot(large).select(
+        F.lit("PRE").alias("SOURCE_SYSTEM_ERP"), F.col("k").alias("MATNR"),
+        F.col("v").alias("WERKS"), F.lit(None).cast("string").alias("LVORM"))
+    number = F.when(F.col("id") == 0, "hot").otherwise(F.col("id").cast("string"))
+    nothing = F.lit(None).cast("string")
+    client = F.when(F.length("WERKS") > 0, "100").alias("MANDT")
+    tables = {
+        "MARC": plant,
+        "MARA": large.range(0, 4000, 1, 8).select(
+            F.when(F.col("id") >= 0, "100").alias("MANDT"), number.alias("MATNR"),
+            F.lit("EA").alias("MEINS"), nothing.alias("BISMT"), nothing.alias("LVORM"),
+            F.lit("g").alias("ZZMDGM")),
+        "T001W": plant.filter("WERKS LIKE '%1'").select(
+            client, "WERKS", F.col("WERKS").alias("BWKEY"),
+            F.lit("n").alias("NAME1")),
+        "MBEW": plant.select(
+            client, "MATNR", F.col("WERKS").alias("BWKEY"),
+            F.lit("2020-01-01").cast("date").alias("LAEPR"),
+            *[nothing.alias(c) for c in ("LVORM", "BWTAR", "VPRSV", "BKLAS")],
+            *[F.lit(1.0).alias(c) for c in ("VERPR", "STPRS", "PEINH")]),
+        "T001K": plant.select(client, F.col("WERKS").alias("BWKEY"),
+                              F.lit("C").alias("BUKRS")),
+        "T001": large.range(1).select(F.lit("100").alias("MANDT"), F.lit("C").alias("BUKRS"),
+                                      F.lit("EUR").alias("WAERS")),
+    }
+    df = material.local_material(tables)
+    # by material, by valuation and by currency; plants are spread
+    assert final_plan(df).count("SortMergeJoin(skew=true)") == 3
+    counts = df.agg(F.count("*"), F.count("MEINS"), F.count("NAME1"), F.count("WAERS")).first()
+    assert tuple(counts) == (60000, 59990, 6000, 6000)
