@@ -413,7 +413,7 @@ def _run_both(spark, sf_dir, entity):
     configs = [write_extracts(spark, sf_dir, f"{folder}/{s}", s, SOURCE_DDL)
                for s in ("PRE", "PRD")]
     options = {s: system.SystemOptions(orders=OPTIONS) for s in ("PRE", "PRD")}
-    done = system.run(spark, configs, f"{folder}/output", options, staging=f"{folder}/staged")
+    done = system.run(spark, configs, f"{folder}/output", options)
     if not done[entity]:
         raise RuntimeError(f"{entity} was not written")
     return spark.read.parquet(entity_path(f"{folder}/output", entity))
@@ -434,7 +434,7 @@ def process_system(spark, sf_dir):
     folder = scratch_folder(spark)
     config = write_extracts(spark, sf_dir, folder, "PRD", SOURCE_DDL)
     built = system.process_system(spark, config, f"{folder}/output",
-                                  system.SystemOptions(orders=OPTIONS))
+                                  system.SystemOptions(orders=OPTIONS), stage=False)
     rows = [df.agg(F.lit(name).alias("entity"), F.count(F.lit(1)).alias("row_count"),
                    F.countDistinct("primary_key_inter").alias("key_count"))
             for name, df in built.items()]

@@ -56,8 +56,9 @@ def latest_price(mbew: DataFrame) -> DataFrame:
     Equal price dates are settled by the record's surrogate key where the input
     has one, then by the remaining valuation columns.
     """
-    settle = [c for c in ("sur_pkey", *VALUATION) if c in mbew.columns]
-    return first_by(mbew, ["MATNR", "BWKEY"], [
+    keys = ["MATNR", "BWKEY"]
+    settle = [c for c in ("sur_pkey", *VALUATION) if c in mbew.columns and c not in keys]
+    return first_by(mbew, keys, [
         F.col("LAEPR").desc_nulls_last(), *[F.col(c).asc_nulls_last() for c in settle]])
 
 
