@@ -23,32 +23,20 @@ def left_lookup(left: DataFrame, right: DataFrame, on: Sequence[tuple[str, str]]
 
 
 def left_join_many(
-    left: DataFrame,
-    right: DataFrame,
-    left_key: str,
-    right_key: str,
-    keys: DataFrame | None = None,
+    left: DataFrame, right: DataFrame, left_key: str, right_key: str
 ) -> DataFrame:
     """Left outer equi-join for a right side with any number of rows per key.
 
     Adaptive execution can split a heavy key of an outer join on the preserved
     side only, so a key with very many right rows would end in one task. Here
-    each left key without partner is given one all-null right row instead, which
-    turns the join into an inner one, and those are split on either side. The
-    price is one pass over the two key columns, reduced before it is shuffled.
-
-    ``keys`` may name a cheaper frame holding at least the left keys in
-    ``left_key``; by default they are taken from ``left``.
+    the pairs come from an inner join, which is split on either side, and the
+    left rows without partner from an anti join with the right side's distinct
+    keys, which are reduced before they are shuffled. Both run side by side.
+    Column names of the two sides must differ.
     """
-    probe = "_probe"
-    source = left if keys is None else keys
-    wanted = source.select(F.col(left_key).alias(probe)).filter(F.col(probe).isNotNull())
-    partners = right.filter(F.col(right_key).isNotNull()).withColumn(probe, F.col(right_key))
-    alone = wanted.distinct().join(partners.select(probe).distinct(), probe, "left_anti")
-    # left rows without any key meet this row
-    keyless = left.sparkSession.range(1).select(
-        F.lit(None).cast(right.schema[right_key].dataType).alias(probe))
-    padded = (partners
-              .unionByName(alone, allowMissingColumns=True)
-              .unionByName(keyless, allowMissingColumns=True))
-    return left.join(padded, F.col(left_key).eqNullSafe(F.col(probe)), "inner").drop(probe)
+    partners = right.filter(F.col(right_key).isNotNull())
+    present = partners.select(F.col(right_key).alias("_key")).distinct()
+    # null-safe for the same reason as in left_lookup; right keys are not null
+    pairs = left.join(partners, F.col(left_key).eqNullSafe(F.col(right_key)), "inner")
+    alone = left.join(present, F.col(left_key).eqNullSafe(F.col("_key")), "left_anti")
+    return pairs.unionByName(alone, allowMissingColumns=True)

@@ -100,13 +100,13 @@ def integrate_orders(
     aufk, mara = prefix_columns(master, "aufk"), prefix_columns(material, "mara")
 
     orders = afko.join(aufk, F.col("afko_AUFNR") == F.col("aufk_AUFNR"), "left")
-    rows = left_join_many(orders, afpo, "afko_AUFNR", "afpo_AUFNR", keys=afko)
+    rows = left_join_many(orders, afpo, "afko_AUFNR", "afpo_AUFNR")
     rows = rows.join(mara, F.col("afpo_MATNR") == F.col("mara_MATNR"), "left")
     sides = [(afko, {"AUFNR"}), (afpo, {"AUFNR", "MATNR"}), (aufk, set()), (mara, {"MATNR"})]
     if changes is not None:
         require_columns(changes, ["OBJNR"], "changes")
         cdpos = prefix_columns(changes, "cdpos")
-        rows = left_join_many(rows, cdpos, "aufk_OBJNR", "cdpos_OBJNR", keys=aufk)
+        rows = left_join_many(rows, cdpos, "aufk_OBJNR", "cdpos_OBJNR")
         sides.append((cdpos, {"AUFNR", "MATNR", "OBJNR"}))
 
     rows = rows.withColumn("aufk_ZZGLTRP_ORIG", planned_finish())

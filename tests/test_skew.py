@@ -56,9 +56,12 @@ def test_heavy_right_key_of_an_outer_join_is_split(large):
     assert got.exceptAll(outer).isEmpty()
 
 
-def test_keyless_left_rows_are_split(large):
-    left = hot(large).select(F.nullif("k", F.lit("hot")).alias("l"), "v")
-    right = large.range(0, 3000, 1, 8).select(F.col("id").cast("string").alias("r"))
+@pytest.mark.parametrize("key", ["hot", None])
+def test_heavy_left_key_is_split(large, key):
+    left = hot(large).select(
+        F.when(F.col("k") != "hot", F.col("k")).otherwise(F.lit(key)).alias("l"), "v")
+    right = large.range(0, 3000, 1, 8).select(
+        F.when(F.col("id") == 0, "hot").otherwise(F.col("id").cast("string")).alias("r"))
     got = left_join_many(left, right, "l", "r")
     assert "SortMergeJoin(skew=true)" in final_plan(got)
     assert got.count() == left.count()
