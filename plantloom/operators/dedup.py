@@ -48,13 +48,16 @@ def collapse(
     """
     require_columns(df, keys)
     rest = [c for c in df.columns if c not in keys and c != weight]
-    total = F.count(F.lit(1)) if weight is None else F.coalesce(F.sum(weight), F.lit(0))
-    aggregates = [total.cast("bigint").alias(count)]
+    total = "count(1)" if weight is None else f"coalesce(sum({_quoted(weight)}), 0)"
+    aggregates = [F.expr(f"CAST({total} AS bigint)").alias(count)]
     if rest:
-        ranked = [part for c in rest
-                  for part in (F.col(c).isNull().alias(f"_no_{c}"), F.col(c))]
-        aggregates.append(F.min(F.struct(*ranked)).alias("_first"))
-    survivors = {c: F.col("_first").getField(c).alias(c) for c in rest}
-    names = [c for c in df.columns if c != weight]
-    return df.groupBy(*keys).agg(*aggregates).select(
-        *[survivors.get(c, F.col(c)) for c in names], count)
+        ranked = ", ".join(f"'no{i}', {_quoted(c)} IS NULL, 'v{i}', {_quoted(c)}"
+                           for i, c in enumerate(rest))
+        aggregates.append(F.expr(f"min(named_struct({ranked}))").alias("_first"))
+    kept = {c: f"_first.v{i} AS {_quoted(c)}" for i, c in enumerate(rest)}
+    return df.groupBy(*keys).agg(*aggregates).selectExpr(
+        *[kept.get(c, _quoted(c)) for c in df.columns if c != weight], _quoted(count))
+
+
+def _quoted(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
