@@ -2,20 +2,28 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def scratch_folder(spark: SparkSession) -> str:
-    """A new folder below the shared one the cluster names in ``spark.checkpoint.dir``.
+    """A new folder below storage that the driver and all executors share.
 
-    Only a local session without that setting gets a folder of this machine.
+    That is ``spark.checkpoint.dir`` where the session names one, else the
+    session's warehouse folder.
     """
-    shared = spark.conf.get("spark.checkpoint.dir", None)
-    if not shared:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-        return tempfile.mkdtemp(prefix="plantloom-")
+    shared = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get(
+        "spark.sql.warehouse.dir")
     return f"{shared.rstrip('/')}/plantloom-{uuid.uuid4().hex}"
+
+
+def materialize(df: DataFrame) -> DataFrame:
+    """The rows of ``df``, written once to shared storage and read back.
+
+    Cuts the lineage: a lost executor costs its running tasks, not the plan
+    above, and every later use reads the same rows.
+    """
+    folder = scratch_folder(df.sparkSession)
+    df.write.parquet(folder)
+    return df.sparkSession.read.schema(df.schema).parquet(folder)

@@ -7,6 +7,8 @@ import pyarrow as pa
 import pytest
 
 from __spark_entry__ import entry, oracle_sql, queries
+from plantloom.catalog.oracle import ORACLE
+from plantloom.catalog.queries import QUERIES
 
 SF = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.01")
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem")
@@ -34,10 +36,12 @@ def kinds(table: pa.Table) -> dict[str, str]:
 
 
 def test_every_query_has_sql():
-    assert set(queries()) == set(oracle_sql())
+    assert set(QUERIES) == set(ORACLE)
+    assert set(QUERIES) <= set(queries())
+    assert set(ORACLE) <= set(oracle_sql()) <= set(queries())
 
 
-@pytest.mark.parametrize("name", sorted(queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_matches_sql(spark, duck, name):
     result = queries()[name](spark, SF)
     got = plain(result.toArrow())

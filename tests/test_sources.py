@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from plantloom.catalog import queries as catalog
 from plantloom.contracts import SOURCE_DDL
 from plantloom.plans import material, orders, system
-from plantloom.session import scratch_folder
+from plantloom.session import materialize, scratch_folder
 from plantloom.sources.entities import entity_path, write_entity
 from plantloom.sources.extracts import load_system, read_table, stage_tables
 from tests.frames import rows
@@ -123,19 +123,26 @@ def test_staged_copies_are_narrow_and_equal(spark, tmp_path):
         assert df.count() == loaded[name].count()
 
 
-def session(master, **conf):
-    """As much of a session as choosing a folder needs; the setting is fixed at start-up."""
-    return SimpleNamespace(conf=conf, sparkContext=SimpleNamespace(master=master))
+def session(**conf):
+    """As much of a session as choosing a folder needs; the settings are fixed at start-up."""
+    return SimpleNamespace(conf=conf)
 
 
-def test_scratch_folder_follows_the_cluster(spark):
+def test_scratch_folder_lies_in_shared_storage(spark):
     assert scratch_folder(spark) != scratch_folder(spark)
-    shared = session("yarn", **{"spark.checkpoint.dir": "hdfs://shared/tmp/"})
-    one, two = scratch_folder(shared), scratch_folder(shared)
+    named = session(**{"spark.checkpoint.dir": "hdfs://shared/tmp/",
+                       "spark.sql.warehouse.dir": "hdfs://shared/warehouse"})
+    one, two = scratch_folder(named), scratch_folder(named)
     assert one != two and all(p.startswith("hdfs://shared/tmp/plantloom-") for p in (one, two))
-    # no folder of the driver's machine on a cluster
-    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
-        scratch_folder(session("yarn"))
+    # without that setting the warehouse's storage, whatever the master
+    default = session(**{"spark.sql.warehouse.dir": "s3a://bucket/warehouse"})
+    assert scratch_folder(default).startswith("s3a://bucket/warehouse/plantloom-")
+
+
+def test_materialized_rows_are_read_back(spark):
+    df = materialize(spark.range(5).selectExpr("id", "CAST(NULL AS string) AS none"))
+    assert df.count() == 5 and df.columns == ["id", "none"]
+    assert "Range" not in df._jdf.queryExecution().toString()
 
 
 @pytest.fixture(scope="module")
