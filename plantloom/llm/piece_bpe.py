@@ -39,19 +39,21 @@ MODEL = "piece_bpe_32k.model"
 MARK = "▁"
 UNKNOWN_SURFACE = " ⁇ "  # fixed value: how an unknown piece decodes
 # Parts and pairs remembered per worker (twice that at most); longer parts are not kept.
-REMEMBERED = 1 << 18
+PARTS, PAIRS = 1 << 19, 1 << 18
 PART_LIMIT = 64
 
 
 class Recent(dict):
     """A memory of bounded size: the older half goes when the newer half is full."""
 
-    def __init__(self, make):
+    def __init__(self, make, most, key_limit=None):
         super().__init__()
-        self.make, self.older = make, {}
+        self.make, self.most, self.key_limit, self.older = make, most, key_limit, {}
 
     def __missing__(self, key):
-        if len(self) >= REMEMBERED:
+        if self.key_limit and len(key) > self.key_limit:
+            return self.make(key)
+        if len(self) >= self.most:
             self.older = dict(self)
             self.clear()
         value = self.older.get(key)
@@ -95,9 +97,9 @@ class PieceModel:
         self.shorter = {p: next((p[:k] for k in range(len(p) - 1, 0, -1) if p[:k] in self.id_of),
                                 None) for p in self.id_of}
         self.part = re.compile(self._parts())
-        self.compatible = Recent(lambda pair: self.merged(pair[0] + pair[1]) == list(pair))
-        self.stable = Recent(lambda piece: self.merged(piece) == [piece])
-        self.part_ids = Recent(self.encode_part)
+        self.compatible = Recent(lambda pair: self.merged(pair[0] + pair[1]) == list(pair), PAIRS)
+        self.stable = Recent(lambda piece: self.merged(piece) == [piece], PAIRS)
+        self.part_ids = Recent(self.encode_part, PARTS, PART_LIMIT)
 
     def _parts(self) -> str:
         """A pattern that cuts texts where no piece reaches across.
@@ -177,9 +179,7 @@ class PieceModel:
         """All ids of a text."""
         tail = array("i", [self.end_id] if end else []).tobytes()
         parts = self.part.findall(MARK + text.replace(" ", MARK)) if text else []
-        known = self.part_ids
-        ids = [known[p] if len(p) <= PART_LIMIT else self.encode_part(p) for p in parts]
-        return np.frombuffer(b"".join([*ids, tail]), np.intc)
+        return np.frombuffer(b"".join(map(self.part_ids.__getitem__, parts)) + tail, np.intc)
 
     def decode(self, ids: Sequence[int] | None) -> str | None:
         """The text of ids, without the mark that encoding puts in front."""
@@ -254,16 +254,23 @@ def decoder(spark: SparkSession, path: str | None = None):
     return decode
 
 
-def encoded(docs: DataFrame, text: str = "text", path: str | None = None) -> DataFrame:
-    """Documents with ``ids`` in place of their text."""
-    rest = [c for c in docs.columns if c != text]
-    return docs.select(*rest, encoder(docs.sparkSession, path)(text_of(text)).alias("ids"))
+def round_trip(spark: SparkSession, path: str | None = None, end: bool = True):
+    """A column function text -> struct(ids, decoded): what it becomes, and what that becomes."""
+    ready_for_python(spark)
+
+    @F.pandas_udf("ids array<int>, decoded string")
+    def code(texts: pd.Series) -> pd.DataFrame:
+        pieces = model(_file(path))
+        ids = [pieces.encode(t, end) for t in texts]
+        return pd.DataFrame({"ids": ids, "decoded": [pieces.decode(x) for x in ids]})
+
+    return code
 
 
 def digests(docs: DataFrame) -> DataFrame:
     """Per document: number and digest of its ids, digest of what they decode to."""
-    coded = encoded(docs.select("doc_id", "text"))
-    both = coded.withColumn("decoded", decoder(docs.sparkSession)("ids"))
+    both = docs.select("doc_id", round_trip(docs.sparkSession)(text_of("text")).alias("c")).select(
+        "doc_id", "c.ids", "c.decoded")
     return both.select(
         "doc_id", F.size("ids").cast("long").alias("n_tokens"),
         F.sha2(F.array_join(F.col("ids").cast("array<string>"), " ").cast("binary"), 256)
