@@ -177,9 +177,8 @@ def _material_sides(spark, sf_dir):
 @query
 def join_plant_material(spark, sf_dir):
     side = _material_sides(spark, sf_dir)
-    plant, general = side["plant"].alias("p"), side["material"].alias("m")
-    return plant.join(general, F.col("p.MATNR") == F.col("m.MATNR"), "left").select(
-        "p.*", "m.MANDT", "m.MEINS", "m.global_material_number")
+    return material.with_material(side["plant"], side["material"]).select(
+        "plant.*", "material.MANDT", "material.MEINS", "material.global_material_number")
 
 
 @query
@@ -317,10 +316,8 @@ def process_order_partial_master(spark, sf_dir):
 def _dated(spark, sf_dir):
     """Order numbers with planned finish and the header's own dates."""
     t = tables(spark, sf_dir, ["AFKO", "AUFK"])
-    afko, aufk = prefix_columns(t["AFKO"], "afko"), prefix_columns(t["AUFK"], "aufk")
-    return afko.join(aufk, F.col("afko_AUFNR") == F.col("aufk_AUFNR"), "left").select(
-        F.col("afko_AUFNR").alias("AUFNR"), orders.planned_finish().alias("ZZGLTRP_ORIG"),
-        F.col("afko_FTRMI").alias("FTRMI"), F.col("afko_GSTRI").alias("GSTRI"))
+    return orders.with_master(t["AFKO"], t["AUFK"]).select(
+        "header.AUFNR", orders.planned_finish().alias("ZZGLTRP_ORIG"), "header.FTRMI", "header.GSTRI")
 
 
 @query
@@ -372,8 +369,7 @@ def mto_vs_mts(spark, sf_dir):
 @query
 def order_timestamps(spark, sf_dir):
     return view(spark, sf_dir, "AFKO").select(
-        "AUFNR", F.col("FTRMI").cast("timestamp").alias("order_finish_timestamp"),
-        F.col("GSTRI").cast("timestamp").alias("order_start_timestamp"))
+        "AUFNR", *[c.alias(name) for name, c in orders.order_times().items()])
 
 
 @query

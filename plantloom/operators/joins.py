@@ -23,20 +23,30 @@ def left_lookup(left: DataFrame, right: DataFrame, on: Sequence[tuple[str, str]]
 
 
 def left_join_many(
-    left: DataFrame, right: DataFrame, left_key: str, right_key: str
+    left: DataFrame,
+    right: DataFrame,
+    left_key: str,
+    right_key: str,
+    name: str = "right",
+    keys: DataFrame | None = None,
 ) -> DataFrame:
     """Left outer equi-join for a right side with any number of rows per key.
 
     Adaptive execution can split a heavy key of an outer join on the preserved
     side only, so a key with very many right rows would end in one task. Here
-    the pairs come from an inner join, which is split on either side, and the
-    left rows without partner from an anti join with the right side's distinct
-    keys, which are reduced before they are shuffled. Both run side by side.
-    Column names of the two sides must differ.
+    the right side gets a row of nulls for every left key it lacks, and one
+    inner join, which is split on either side, gives all rows. The left side is
+    evaluated once; what is lacking comes from ``keys``, a frame whose one
+    column holds every value of the left key, null included if the left has it
+    (more do no harm; by default the left side's own column). Keys are reduced
+    before they are shuffled. The right side's columns are qualified by ``name``.
     """
-    partners = right.filter(F.col(right_key).isNotNull())
-    present = partners.select(F.col(right_key).alias("_key")).distinct()
-    # null-safe for the same reason as in left_lookup; right keys are not null
-    pairs = left.join(partners, F.col(left_key).eqNullSafe(F.col(right_key)), "inner")
-    alone = left.join(present, F.col(left_key).eqNullSafe(F.col("_key")), "left_anti")
-    return pairs.unionByName(alone, allowMissingColumns=True)
+    mark = f"_key_{name}"
+    partners = right.filter(F.col(right_key).isNotNull()).withColumn(mark, F.col(right_key))
+    wanted = left.select(F.col(left_key).alias(mark)) if keys is None else keys.toDF(mark)
+    present = partners.select(F.col(mark).alias("_present")).distinct()
+    lacking = wanted.distinct().join(present, F.col(mark).eqNullSafe(F.col("_present")), "left_anti")
+    filled = partners.unionByName(lacking, allowMissingColumns=True)
+    # null-safe for the same reason as in left_lookup, and because null may be a left key
+    return left.join(filled.alias(name), F.col(left_key).eqNullSafe(F.col(f"{name}.{mark}")),
+                     "inner").drop(mark)

@@ -114,6 +114,12 @@ def area_currency(areas: DataFrame, companies: DataFrame) -> DataFrame:
             .select("a.MANDT", "a.BWKEY", "c.WAERS"))
 
 
+def with_material(plant: DataFrame, material: DataFrame) -> DataFrame:
+    """Plant data left-joined to the material, as ``plant`` and ``material``."""
+    return plant.alias("plant").join(
+        material.alias("material"), F.col("plant.MATNR") == F.col("material.MATNR"), "left")
+
+
 def _enrich(
     plant: DataFrame,
     material: DataFrame,
@@ -128,12 +134,10 @@ def _enrich(
     The material number is taken from the always-filled plant side, so rows
     without material spread over all partitions instead of meeting as nulls.
     """
-    known = (
-        plant.alias("plant")
-        .join(material.alias("material"), F.col("plant.MATNR") == F.col("material.MATNR"), "left")
-        .join(plants.alias("site"),
-              (F.col("material.MANDT") == F.col("site.MANDT"))
-              & (F.col("plant.WERKS") == F.col("site.WERKS")), "left"))
+    known = with_material(plant, material).join(
+        plants.alias("site"),
+        (F.col("material.MANDT") == F.col("site.MANDT"))
+        & (F.col("plant.WERKS") == F.col("site.WERKS")), "left")
     valued = left_lookup(known, valuation.alias("value"), [
         ("material.MANDT", "value.MANDT"), ("plant.MATNR", "value.MATNR"),
         ("site.BWKEY", "value.BWKEY")])

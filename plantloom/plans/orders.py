@@ -6,14 +6,14 @@ import datetime
 from collections.abc import Mapping
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from plantloom.checks import require_columns, require_distinct, require_frame, require_text
 from plantloom.functions.materials import not_deleted, not_retired
 from plantloom.functions.orders import (
     PLANNED_MINUS_ACTUAL, as_date, deviation_days, lateness, month_of, on_time, order_type)
-from plantloom.operators.columns import pick, pick_present, prefix_columns, strip_prefixes
+from plantloom.operators.columns import pick, pick_present
 from plantloom.operators.joins import left_join_many
 from plantloom.plans.keys import add_primary_keys
 
@@ -71,9 +71,15 @@ def order_material(mara: DataFrame, global_number_column: str = "ZZMDGM") -> Dat
         "MATNR", F.col(global_number_column).alias("global_material_number"), "NTGEW", "MTART")
 
 
-def planned_finish(master: str = "aufk_ZZGLTRP_ORIG", header: str = "afko_GLTRP"):
+def planned_finish():
     """The originally planned finish, or the header's where there is none."""
-    return F.coalesce(F.col(master), F.col(header))
+    return F.coalesce(F.col("master.ZZGLTRP_ORIG"), F.col("header.GLTRP"))
+
+
+def with_master(header: DataFrame, master: DataFrame) -> DataFrame:
+    """Headers left-joined to their master records, as ``header`` and ``master``."""
+    return left_join_many(header.alias("header"), master, "header.AUFNR", "AUFNR", "master",
+                          keys=header.select("AUFNR"))
 
 
 def integrate_orders(
@@ -87,8 +93,8 @@ def integrate_orders(
     """Headers left-joined to items, order master, material and, if given, changes.
 
     The order number of the result is the master's, null where there is no
-    master record, unless ``keep_header_key``. Master records join first, while
-    there is one row per order; items and changes come in any number per order.
+    master record, unless ``keep_header_key``. Any side may hold any number of
+    rows per key. Each side's own key columns are published by one side only.
     """
     require_columns(header, ["AUFNR", "GLTRP"], "header")
     require_columns(items, ["AUFNR", "MATNR"], "items")
@@ -96,27 +102,42 @@ def integrate_orders(
     for name, kind in (("OBJNR", "string"), ("ZZGLTRP_ORIG", "date")):
         if name not in master.columns:
             master = master.withColumn(name, F.lit(None).cast(kind))
-    afko, afpo = prefix_columns(header, "afko"), prefix_columns(items, "afpo")
-    aufk, mara = prefix_columns(master, "aufk"), prefix_columns(material, "mara")
 
-    orders = afko.join(aufk, F.col("afko_AUFNR") == F.col("aufk_AUFNR"), "left")
-    rows = left_join_many(orders, afpo, "afko_AUFNR", "afpo_AUFNR")
-    rows = rows.join(mara, F.col("afpo_MATNR") == F.col("mara_MATNR"), "left")
-    sides = [(afko, {"AUFNR"}), (afpo, {"AUFNR", "MATNR"}), (aufk, set()), (mara, {"MATNR"})]
+    rows = with_master(header, master)
+    rows = left_join_many(rows, items, "header.AUFNR", "AUFNR", "item",
+                          keys=header.select("AUFNR"))
+    rows = left_join_many(rows, material, "item.MATNR", "MATNR", "material",
+                          keys=_or_null(items.select("MATNR")))
+    published = [(f"header.{c}", c) for c in header.columns if c != "AUFNR"]
+    published += [(f"item.{c}", c) for c in items.columns if c not in ("AUFNR", "MATNR")]
+    published += [(f"master.{c}", c) for c in master.columns]
+    published += [(f"material.{c}", c) for c in material.columns if c != "MATNR"]
     if changes is not None:
         require_columns(changes, ["OBJNR"], "changes")
-        cdpos = prefix_columns(changes, "cdpos")
-        rows = left_join_many(rows, cdpos, "aufk_OBJNR", "cdpos_OBJNR")
-        sides.append((cdpos, {"AUFNR", "MATNR", "OBJNR"}))
+        rows = left_join_many(rows, changes, "master.OBJNR", "OBJNR", "change",
+                              keys=_or_null(master.select("OBJNR")))
+        published += [(f"change.{c}", c) for c in changes.columns
+                      if c not in ("AUFNR", "MATNR", "OBJNR")]
+
+    require_distinct([c for _, c in published], "the integrated orders")
+    number = F.col("master.AUFNR")
+    values = {
+        "master.ZZGLTRP_ORIG": planned_finish(),
+        "master.AUFNR": F.coalesce(number, F.col("header.AUFNR")) if keep_header_key else number,
+    }
+    return rows.select(*[values.get(source, F.col(source)).alias(c) for source, c in published])
+
+
+def _or_null(keys: DataFrame) -> DataFrame:
+    """The keys, and null for rows that found no partner to take a key from."""
+    return keys.union(keys.sparkSession.range(1).select(
+        F.lit(None).cast(keys.schema[0].dataType).alias(keys.columns[0])))
+
 
-    rows = rows.withColumn("aufk_ZZGLTRP_ORIG", planned_finish())
-    if keep_header_key:
-        rows = rows.withColumn("aufk_AUFNR", F.coalesce("aufk_AUFNR", "afko_AUFNR"))
-    kept = [c for side, dropped in sides for c in side.columns
-            if c.partition("_")[2] not in dropped]
-    result = strip_prefixes(rows.select(*kept))
-    require_distinct(result.columns, "the integrated orders")
-    return result
+def order_times() -> dict[str, Column]:
+    """Actual finish and start as timestamps."""
+    return {"order_finish_timestamp": F.col("FTRMI").cast("timestamp"),
+            "order_start_timestamp": F.col("GSTRI").cast("timestamp")}
 
 
 def finish_process_order(df: DataFrame, lateness_sign: str = PLANNED_MINUS_ACTUAL) -> DataFrame:
@@ -130,8 +151,7 @@ def finish_process_order(df: DataFrame, lateness_sign: str = PLANNED_MINUS_ACTUA
     }).withColumns({
         "late_delivery_bucket": lateness(sign=lateness_sign),
         "mto_vs_mts_flag": order_type(),
-        "order_finish_timestamp": F.col("FTRMI").cast("timestamp"),
-        "order_start_timestamp": F.col("GSTRI").cast("timestamp"),
+        **order_times(),
     })
 
 

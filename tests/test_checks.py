@@ -84,10 +84,10 @@ def test_prefixes(spark):
 def test_schema_diff():
     one, two = (StructType.fromDDL(d) for d in (
         "a int, b string NOT NULL, c date", "c timestamp, d double, b string"))
-    left, right, differ = schema_diff(one, two)
-    assert list(left) == ["a"] and list(right) == ["d"]
-    assert {n: (x.simpleString(), y.simpleString()) for n, (x, y) in differ.items()} == {
-        "c": ("date", "timestamp")}
+    assert schema_diff(one, two) == [
+        ("a", "only in one", "int", None), ("c", "type", "date", "timestamp"),
+        ("d", "only in two", None, "double")]
+    assert schema_diff(one, one) == []
 
 
 def test_contract_violations(spark):
