@@ -35,7 +35,7 @@ GRADES = 3
 FIT_ROWS = 12000
 FEATURES = 1 << 20
 LEAST_ROWS = 20
-STEPS, RATE, PENALTY = 150, 0.1, 3e-4
+STEPS, RATE, PENALTY = 150, 0.1, 1e-3
 KEEP_FROM = 0.5
 SEED = 11
 WORD = re.compile(r"[^\x20\x09-\x0D]+")

@@ -1,0 +1,84 @@
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from plantloom.llm import mixing as mx
+from tests.llm.cases import awkward, documents, words
+
+
+def plain_targets(sizes):
+    """Reshare, again and again, until nothing is above its cap."""
+    names = sorted(sizes, key=lambda s: (s is None, s or ""))
+    weight = {s: 1 + i % 3 for i, s in enumerate(names)}
+    capped = {}
+    while True:
+        left = sum(sizes.values()) - sum(capped.values())
+        free = [s for s in names if s not in capped]
+        share = {s: left * weight[s] / sum(weight[x] for x in free) for s in free}
+        above = [s for s in free if share[s] > 3 * sizes[s] + 1e-9]
+        if not above:
+            return {**share, **capped}
+        capped.update({s: 3.0 * sizes[s] for s in above})
+
+
+def test_targets_by_definition():
+    rng = random.Random(8)
+    for _ in range(300):
+        sizes = {s: rng.choice([0, 1, 10, 1000, rng.randint(0, 10 ** 6)])
+                 for s in rng.sample(["a", "b", "é", "z", "", None, "ab"], rng.randint(1, 7))}
+        got = {s.source: s.target for s in mx.recipe(sizes)}
+        assert got == pytest.approx(plain_targets(sizes))
+
+
+def taken(docs):
+    rows = mx.taken_words(mx.sized(docs, "text", "source", "doc_id"))
+    return rows.select("doc_id", "source", "size", "source_size", "target", "taken").collect()
+
+
+def test_mix_meets_its_targets(spark):
+    rng = random.Random(3)
+    texts = [words(rng, rng.choice([0, 1, 5, 50, 900, 5000])) for _ in range(400)]
+    docs = documents(spark, *texts, sources=[rng.choice(["a", "b", "b", "b", "c", None]) for _ in texts])
+    got = taken(docs)
+    assert len(got) == 400
+    by = {}
+    for r in got:
+        assert 0 <= r.taken <= 3 * r.size
+        total = by.setdefault(r.source, [0, r.target])
+        total[0] += r.taken
+    assert all(abs(n - target) <= 1 for n, target in by.values())
+    assert sorted(map(tuple, taken(docs.repartition(7))), key=repr) == sorted(map(tuple, got), key=repr)
+
+
+def test_schedule_is_even(spark):
+    shares = mx.recipe({"a": 30_000, "b": 60_000, "c": 10_000})
+    slots = mx.schedule(spark, shares, block=10).orderBy("slot").collect()
+    total = sum(s.quota for s in shares)
+    seen = {s.number: 0 for s in shares}
+    for n, r in enumerate(slots[:-3], 1):
+        assert r.rank == seen[r.number]
+        seen[r.number] += 1
+        if n % 100 == 0:  # any prefix is close to the shares
+            assert all(abs(seen[s.number] - n * s.quota / total) < 6 for s in shares)
+
+
+def test_pieces_do_not_overlap(spark):
+    rng = random.Random(5)
+    docs = documents(spark, *[words(rng, rng.randint(1, 300)) for _ in range(60)])
+    _, pieces = mx.mix(mx.sized(docs, "text", "source", "doc_id"), block=64)
+    by = {}
+    for p in pieces.collect():
+        by.setdefault((p.row_no, p.epoch), []).append((p.start, p.end))
+    for runs in by.values():
+        runs.sort()
+        assert all(a < b for a, b in runs) and all(x[1] == y[0] for x, y in zip(runs, runs[1:]))
+
+
+def test_awkward_rows(spark):
+    assert len(taken(awkward(spark))) == 12
+    mixed = mx.mixed(awkward(spark))
+    assert mixed.columns == awkward(spark).columns
+    assert mixed.filter("text IS NULL OR trim(text) = ''").count() == 0
+    assert mx.mixed(documents(spark)).count() == 0 and taken(documents(spark)) == []
+    assert mixed.agg(F.sum(F.size(F.split("text", " ")))).first()[0] > 0

@@ -1,0 +1,58 @@
+import random
+
+import public_tokenizers
+import pytest
+import sentencepiece
+
+from plantloom.llm import piece_bpe as pb
+from tests.llm.cases import awkward, documents
+
+
+@pytest.fixture(scope="module")
+def library():
+    return sentencepiece.SentencePieceProcessor(model_file=public_tokenizers.path(pb.MODEL))
+
+
+def texts():
+    rng = random.Random(2)
+    pieces = [p.replace("▁", " ") for p in pb.model(public_tokenizers.path(pb.MODEL)).id_of]
+    letters = "abcdetheringon  \n,.▁éß你🤖<>s/1230\t'\"()"
+    yield from ["", " ", "   a", "a  b ", "▁x", " " * 47 + "x", " " * 15, "<s></s><unk>", "\x00", "\r\n\t x"]
+    for _ in range(1500):
+        yield "".join(rng.choice(letters) for _ in range(rng.randint(0, 40)))
+        yield "".join(rng.choice(pieces) for _ in range(rng.randint(0, 12)))
+        yield "".join(rng.choice("aab") for _ in range(rng.randint(0, 50)))
+    yield "".join(rng.choice("abcdefghij") for _ in range(50_000))
+
+
+def test_same_as_the_library(library):
+    model = pb.model(public_tokenizers.path(pb.MODEL))
+    for text in texts():
+        want = library.encode(text, add_eos=True)
+        assert model.encode(text).tolist() == want, text
+        assert model.decode(want) == library.decode(want), text
+
+
+def test_decoding_any_ids(library):
+    model, rng = pb.model(public_tokenizers.path(pb.MODEL)), random.Random(4)
+    for _ in range(2000):
+        ids = [rng.choice([rng.randint(0, 300), rng.randint(0, 31999)]) for _ in range(rng.randint(0, 8))]
+        assert model.decode(ids) == library.decode(ids), ids
+
+
+def test_memory_is_bounded():
+    recent = pb.Recent(lambda key: key * 2, 10, key_limit=3)
+    for n in range(200):
+        assert recent[str(n)] == str(n) * 2
+        assert len(recent) <= 10 and len(recent.older) <= 10
+    assert recent["long key"] == "long key" * 2 and "long key" not in recent
+
+
+def test_awkward_rows(spark, library):
+    got = awkward(spark).withColumn("ids", pb.encoder(spark)(pb.text_of("text"))).withColumn(
+        "back", pb.decoder(spark)("ids")).select("text", "ids", "back").collect()
+    for r in got:
+        assert r.ids == library.encode(r.text or "", add_eos=True)
+        assert r.back == library.decode(r.ids)
+    assert pb.digests(awkward(spark)).count() == 12
+    assert pb.digests(documents(spark)).count() == 0

@@ -1,0 +1,65 @@
+"""Every stage on its own input against brute force, at the smallest scale."""
+
+import hashlib
+
+import public_tokenizers
+import sentencepiece
+from pyspark.sql import functions as F
+
+import corpus_pipeline as cp
+from plantloom.llm import mixing, piece_bpe
+from plantloom.session import materialize
+from tests.llm.cases import awkward, documents
+from tests.llm.test_exact_dedup import normal
+from tests.llm.test_simhash import groups, plain
+
+SF = "/root/testdata/sf0.001"
+
+
+def test_stages_by_definition(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    inputs = [docs]
+    for _, stage in cp.STAGES:
+        inputs.append(materialize(stage(spark, inputs[-1], SF)))
+    for made in inputs[1:-1]:
+        assert made.columns == docs.columns
+    texts = [[(r.doc_id, r.text, r.source) for r in d.collect()] for d in inputs[:-1]]
+    # all documents here are in a learnt language
+    assert sorted(texts[1]) == sorted(texts[0])
+    first = {}
+    for i, t, _ in texts[1]:
+        first[normal(t)] = min(i, first.get(normal(t), i))
+    assert sorted(first.values()) == sorted(i for i, _, _ in texts[2])
+    root = groups(sorted({plain(t) for _, t, _ in texts[2]}), lambda a, b: (a ^ b).bit_count() <= 2)
+    least = {}
+    for i, t, _ in texts[2]:
+        least[root[plain(t)]] = min(i, least.get(root[plain(t)], i))
+    assert sorted(least.values()) == sorted(i for i, _, _ in texts[3])
+    sizes, got = {}, {}
+    for rows, into in ((texts[3], sizes), (texts[4], got)):
+        for _, t, s in rows:
+            into[s] = into.get(s, 0) + len(t.split())
+    longest = max(len(t.split()) for _, t, _ in texts[3])
+    for share in mixing.recipe(sizes):
+        assert abs(got.get(share.source, 0) - share.target) <= longest / 2 + 1
+    library = sentencepiece.SentencePieceProcessor(model_file=public_tokenizers.path(piece_bpe.MODEL))
+    want = sorted((i, hashlib.sha256(" ".join(map(str, library.encode(t, add_eos=True))).encode()).hexdigest())
+                  for i, t, _ in texts[4])
+    assert sorted((r.doc_id, r.ids_sha256) for r in inputs[-1].collect()) == want
+    run = cp.run(spark, SF).select("doc_id", "ids_sha256")
+    assert sorted(map(tuple, run.collect())) == want
+
+
+def test_other_languages_go(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    odd = documents(spark, "Привет мир как дела сегодня", "12 34", None, ids=[-1, -2, -3], langs=[None] * 3)
+    both = docs.unionByName(odd.select(*docs.columns))
+    kept = cp.identify_language(spark, both, SF)
+    assert kept.filter("doc_id < 0").count() == 0 and kept.count() == docs.count()
+
+
+def test_stages_take_awkward_and_empty_tables(spark):
+    for docs in (awkward(spark), documents(spark)):
+        for _, stage in cp.STAGES:
+            out = stage(spark, docs, SF)
+            assert out.select(F.count("*")).first()[0] >= 0

@@ -1,0 +1,113 @@
+import random
+import re
+
+import pytest
+import xxhash
+
+from plantloom.llm import simhash as sh
+from plantloom.llm.components import components
+from tests.llm.cases import awkward, documents, words
+
+
+def plain(text):
+    low = re.sub("[A-Z]", lambda m: m[0].lower(), text or "")
+    found = re.findall(r"[^\x20\x09-\x0D]+", low)
+    if not found:
+        return 0
+    grams = [" ".join(found[i:i + 3]) for i in range(len(found) - 2)] or [" ".join(found)]
+    hashes = [xxhash.xxh64_intdigest(g.encode(), 42) for g in grams]
+    return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
+
+
+def signed(x):
+    return x - (1 << 64) if x >> 63 else x
+
+
+def groups(items, linked):
+    """Smallest member of each item's component."""
+    parent = {i: i for i in items}
+
+    def root(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for n, a in enumerate(items):
+        for b in items[n + 1:]:
+            if linked(a, b):
+                x, y = sorted((root(a), root(b)))
+                parent[y] = x
+    return {i: root(i) for i in items}
+
+
+def test_fingerprint_by_definition(monkeypatch):
+    rng = random.Random(2)
+    texts = [None, "", " \n", "A", "a B", "É a b", "x " * 300, "ab\tc"]
+    texts += [words(rng, rng.randint(0, 90)) for _ in range(60)]
+    for chunk in (1 << 14, 7):
+        monkeypatch.setattr(sh, "CHUNK", chunk)
+        assert [sh.fingerprint(t) for t in texts] == [plain(t) for t in texts]
+
+
+@pytest.mark.parametrize("crowd", [256, 3])
+def test_links_by_definition(spark, monkeypatch, crowd):
+    monkeypatch.setattr(sh, "CROWD", crowd)
+    rng, found = random.Random(crowd), set()
+    for _ in range(15):
+        base = rng.getrandbits(64)
+        for _ in range(20):
+            near = base
+            for _ in range(rng.randint(0, 4)):
+                near ^= 1 << rng.choice([rng.randint(0, 63), rng.randint(0, 3), 63, 31, 32])
+            found.add(near)
+    found = sorted(map(signed, found))
+    want = {(a, b) for n, a in enumerate(found) for b in found[n + 1:]
+            if ((a ^ b) & (1 << 64) - 1).bit_count() <= 2}
+    got = sh.links(spark.createDataFrame([(f,) for f in found], "fp long")).collect()
+    assert len(got) == len(want) and {(r.a, r.b) for r in got} == want
+
+
+def test_components_by_definition(spark):
+    rng = random.Random(9)
+    edges = {(i, i + 1) for i in range(0, 70)}  # a long path
+    edges |= {(200, 200 + i) for i in range(1, 40)}  # a star
+    edges |= {tuple(sorted((rng.randint(300, 380), rng.randint(300, 380)))) for _ in range(50)}
+    edges = {(a, b) for a, b in edges if a != b}
+    nodes = sorted({n for e in edges for n in e})
+    want = groups(nodes, lambda a, b: (a, b) in edges)
+    mixed = [(b, a) if rng.random() < 0.5 else (a, b) for a, b in edges]
+    got = {r.node: r.root for r in components(spark.createDataFrame(mixed, "a long, b long")).collect()}
+    assert got == want
+    assert components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def check(docs):
+    rows = docs.select("doc_id", "text").collect()
+    root = groups(sorted({plain(r.text) for r in rows}), lambda a, b: (a ^ b).bit_count() <= 2)
+    least = {}
+    for r in rows:
+        g = root[plain(r.text)]
+        known = [i for i in (least.get(g), r.doc_id) if i is not None]
+        least[g] = min(known, default=None)
+    want = sorted(((r.doc_id, signed(plain(r.text)), least[root[plain(r.text)]]) for r in rows), key=repr)
+    got = sh.near_duplicates(docs).select("doc_id", "fp", "component_id").collect()
+    assert sorted(map(tuple, got), key=repr) == want
+    kept = sh.keep_one(docs)
+    assert kept.columns == docs.columns
+    stays = kept.collect()
+    assert sorted(root[plain(r.text)] for r in stays) == sorted(set(root.values()))
+    assert all(r.doc_id == least[root[plain(r.text)]] for r in stays)
+
+
+def test_groups_by_definition(spark):
+    rng = random.Random(12)
+    long = words(rng, 3000, tuple(f"w{i}" for i in range(500)))
+    near = [long + f" tail{i}" for i in range(6)]
+    check(documents(spark, *near, *["same words here"] * 5, "other words there", *[f"lone {i} text" for i in range(9)]))
+
+
+def test_awkward_rows(spark):
+    check(awkward(spark))
+    # the same id in two groups, and a group without ids
+    check(documents(spark, "one thing", "quite another", "third", "third", "fourth", ids=[5, 5, None, None, None]))
+    assert sh.near_duplicates(documents(spark)).count() == sh.keep_one(documents(spark)).count() == 0
