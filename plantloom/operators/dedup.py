@@ -34,29 +34,22 @@ def with_group_size(df: DataFrame, keys: Sequence[str], name: str) -> DataFrame:
     return df.join(sizes, same_key, "inner").select(*df.columns, name)
 
 
-def collapse(
-    df: DataFrame,
-    keys: Sequence[str],
-    count: str,
-    weight: str | None = None,
-) -> DataFrame:
+def collapse(df: DataFrame, keys: Sequence[str], count: str) -> DataFrame:
     """One row per key plus the number of rows it stands for.
 
     The surviving values are the first in order of the remaining columns, left
     to right, nulls last, so the outcome does not depend on partitioning.
-    ``weight`` names a column telling how many rows each input row stands for.
     """
     require_columns(df, keys)
-    rest = [c for c in df.columns if c not in keys and c != weight]
-    total = "count(1)" if weight is None else f"coalesce(sum({_quoted(weight)}), 0)"
-    aggregates = [F.expr(f"CAST({total} AS bigint)").alias(count)]
+    rest = [c for c in df.columns if c not in keys]
+    aggregates = [F.count(F.lit(1)).alias(count)]
     if rest:
         ranked = ", ".join(f"'no{i}', {_quoted(c)} IS NULL, 'v{i}', {_quoted(c)}"
                            for i, c in enumerate(rest))
         aggregates.append(F.expr(f"min(named_struct({ranked}))").alias("_first"))
     kept = {c: f"_first.v{i} AS {_quoted(c)}" for i, c in enumerate(rest)}
     return df.groupBy(*keys).agg(*aggregates).selectExpr(
-        *[kept.get(c, _quoted(c)) for c in df.columns if c != weight], _quoted(count))
+        *[kept.get(c, _quoted(c)) for c in df.columns], _quoted(count))
 
 
 def _quoted(name: str) -> str:

@@ -169,15 +169,12 @@ def integrate_material(
     return rows.select(*_published(plant))
 
 
-def finish_local_material(df: DataFrame, weight: str | None = None) -> DataFrame:
-    """One row per system, material and plant, with labels, keys and duplicate count.
-
-    ``weight`` names a column telling how many integrated rows a row stands for.
-    """
+def finish_local_material(df: DataFrame) -> DataFrame:
+    """One row per system, material and plant, with labels, keys and duplicate count."""
     require_frame(df, "df")
     require_columns(df, ["WERKS", "NAME1", "global_material_number", "MATNR",
                          "SOURCE_SYSTEM_ERP"])
-    single = collapse(df, GRAIN, "no_of_duplicates", weight)
+    single = collapse(df, GRAIN, "no_of_duplicates")
     labelled = add_primary_keys(
         single.withColumns({
             "mtl_plant_emd": plant_label(),
@@ -192,31 +189,17 @@ def local_material(
 ) -> DataFrame:
     """The local material entity from one system's tables.
 
-    Same rows as ``finish_local_material(integrate_material(...))``, but copies
-    are counted before the joins instead of being carried through them: every
-    side is first reduced to one row per join key and onward key with the number
-    of rows it stands for, and the numbers are multiplied. That is exact, since
-    rows merged here differ only in columns no later join looks at, and the
-    order the survivor is chosen by compares those columns side by side.
+    Copies are counted after the joins, in one aggregation that starts in the
+    map tasks.
     """
-    count = "_rows"
-    plant = plant_data(tables["MARC"], options.check_plant_deleted,
-                       options.drop_duplicate_plants)
-    plant_rows = collapse(plant, GRAIN, count)
-    material = collapse(
+    return finish_local_material(integrate_material(
+        plant_data(tables["MARC"], options.check_plant_deleted, options.drop_duplicate_plants),
         general_material(tables["MARA"], options.global_number_columns,
                          options.check_old_number, options.check_material_deleted),
-        ["MANDT", "MATNR"], count)
-    site = collapse(plants(tables["T001W"]), ["MANDT", "WERKS", "BWKEY"], count)
-    currency = collapse(
-        area_currency(valuation_areas(tables["T001K"]), company_codes(tables["T001"])),
-        ["MANDT", "BWKEY"], count)
-    rows = _enrich(plant_rows, material, site, material_valuation(tables["MBEW"]), currency)
-    weight = F.col(f"plant.{count}")
-    for side in ("material", "site", "currency"):
-        weight = weight * F.coalesce(F.col(f"{side}.{count}"), F.lit(1))
-    return finish_local_material(
-        rows.select(*_published(plant), weight.alias(count)), weight=count)
+        plants(tables["T001W"]),
+        material_valuation(tables["MBEW"]),
+        valuation_areas(tables["T001K"]),
+        company_codes(tables["T001"])))
 
 
 def dedup_metrics(df: DataFrame) -> DataFrame:
