@@ -39,7 +39,7 @@ MODEL = "piece_bpe_32k.model"
 MARK = "▁"
 UNKNOWN_SURFACE = " ⁇ "  # fixed value: how an unknown piece decodes
 # Parts and pairs remembered per worker (twice that at most); longer parts are not kept.
-PARTS, PAIRS = 1 << 19, 1 << 18
+PARTS, PAIRS = 1 << 18, 1 << 17
 PART_LIMIT = 64
 
 
