@@ -46,9 +46,10 @@ PART_LIMIT = 64
 class Recent(dict):
     """A memory of bounded size: the older half goes when the newer half is full."""
 
-    def __init__(self, make, most, key_limit=None):
+    def __init__(self, make, most, key_limit=None, own=None):
         super().__init__()
         self.make, self.most, self.key_limit, self.older = make, most, key_limit, {}
+        self.own = own  # an equal key that takes less room
 
     def __missing__(self, key):
         if self.key_limit and len(key) > self.key_limit:
@@ -59,7 +60,7 @@ class Recent(dict):
         value = self.older.get(key)
         if value is None:
             value = self.make(key)
-        self[key] = value
+        self[self.own(key) if self.own else key] = value
         return value
 
 
@@ -97,7 +98,10 @@ class PieceModel:
         self.shorter = {p: next((p[:k] for k in range(len(p) - 1, 0, -1) if p[:k] in self.id_of),
                                 None) for p in self.id_of}
         self.part = re.compile(self._parts())
-        self.compatible = Recent(lambda pair: self.merged(pair[0] + pair[1]) == list(pair), PAIRS)
+        # pairs are kept with the vocabulary's strings, not with slices of texts
+        own = {p: p for p in self.id_of}
+        self.compatible = Recent(lambda pair: self.merged(pair[0] + pair[1]) == list(pair), PAIRS,
+                                 own=lambda pair: (own.get(pair[0], pair[0]), own.get(pair[1], pair[1])))
         self.stable = Recent(lambda piece: self.merged(piece) == [piece], PAIRS)
         self.part_ids = Recent(self.encode_part, PARTS, PART_LIMIT)
 
@@ -119,9 +123,10 @@ class PieceModel:
             starts |= more
         line = "\n" if not any("\n" in p for p in self.id_of) else ""
         first = re.escape("".join(sorted(starts)))
-        rest = f"[^{MARK}{line}{first}]"
-        choices = [f"{MARK}*[{first}]+{rest}*"] if starts else []
-        choices += [f"{MARK}*{rest}+", f"{MARK}+"] + (["\n"] if line else [])
+        rest = f"[^ {MARK}{line}{first}]"
+        marks = f"[ {MARK}]"
+        choices = [f"{marks}*[{first}]+{rest}*"] if starts else []
+        choices += [f"{marks}*{rest}+", f"{marks}+"] + (["\n"] if line else [])
         return "|".join(choices)
 
     def merged(self, text: str) -> list[str]:
@@ -165,9 +170,13 @@ class PieceModel:
                 piece = shorter.get(piece)
 
     def encode_part(self, part: str) -> bytes:
-        """A part's ids as 32-bit integers; bytes for characters outside the vocabulary."""
+        """A part's ids as 32-bit integers; bytes for characters outside the vocabulary.
+
+        A space in a part is a space mark: texts are cut as they are, since with
+        marks in them each character of texts and remembered parts takes more room.
+        """
         ids = array("i")
-        for piece in self.split(part):
+        for piece in self.split(part.replace(" ", MARK)):
             known = self.id_of.get(piece)
             if known is None:
                 ids.extend(self.byte_id[b] for b in piece.encode())
@@ -178,7 +187,7 @@ class PieceModel:
     def encode(self, text: str | None, end: bool = True) -> np.ndarray:
         """All ids of a text."""
         tail = array("i", [self.end_id] if end else []).tobytes()
-        parts = self.part.findall(MARK + text.replace(" ", MARK)) if text else []
+        parts = self.part.findall(" " + text) if text else []
         return np.frombuffer(b"".join(map(self.part_ids.__getitem__, parts)) + tail, np.intc)
 
     def decode(self, ids: Sequence[int] | None) -> str | None:
