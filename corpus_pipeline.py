@@ -15,6 +15,8 @@ from plantloom.session import materialize
 
 # A document in none of the learnt languages shares few of their trigrams.
 LEAST_LANGUAGE_SCORE = 0.25
+# Python workers outlive a stage, so the last one shares memory with what the others left.
+REMEMBERED_PARTS = 1 << 16
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -43,7 +45,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def encode_pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Per document its ids, their digest, and the digest of what they decode to."""
-    return piece_bpe.digests(docs)
+    return piece_bpe.digests(docs, REMEMBERED_PARTS)
 
 
 STAGES = [

@@ -38,8 +38,9 @@ from plantloom.llm.tables import read, ready_for_python, text_of
 MODEL = "piece_bpe_32k.model"
 MARK = "▁"
 UNKNOWN_SURFACE = " ⁇ "  # fixed value: how an unknown piece decodes
-# Parts and pairs remembered per worker (twice that at most); longer parts are not kept.
-PARTS, PAIRS = 1 << 18, 1 << 17
+# Parts remembered per worker, and half as many pairs (twice that at most); longer parts are not
+# kept. Fewer cost time and spare memory, the outcome is the same.
+REMEMBERED = 1 << 18
 PART_LIMIT = 64
 
 
@@ -67,7 +68,7 @@ class Recent(dict):
 class PieceModel:
     """Vocabulary of a merge-type model with byte fallback and no text normalisation."""
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, remembered: int = REMEMBERED):
         source = sentencepiece.SentencePieceProcessor(model_file=path)
         ids = range(source.get_piece_size())
         self.end_id = source.eos_id()
@@ -100,10 +101,11 @@ class PieceModel:
         self.part = re.compile(self._parts())
         # pairs are kept with the vocabulary's strings, not with slices of texts
         own = {p: p for p in self.id_of}
-        self.compatible = Recent(lambda pair: self.merged(pair[0] + pair[1]) == list(pair), PAIRS,
+        self.compatible = Recent(lambda pair: self.merged(pair[0] + pair[1]) == list(pair),
+                                 remembered // 2,
                                  own=lambda pair: (own.get(pair[0], pair[0]), own.get(pair[1], pair[1])))
-        self.stable = Recent(lambda piece: self.merged(piece) == [piece], PAIRS)
-        self.part_ids = Recent(self.encode_part, PARTS, PART_LIMIT)
+        self.stable = Recent(lambda piece: self.merged(piece) == [piece], remembered // 2)
+        self.part_ids = Recent(self.encode_part, remembered, PART_LIMIT)
 
     def _parts(self) -> str:
         """A pattern that cuts texts where no piece reaches across.
@@ -225,14 +227,14 @@ class PieceModel:
         return "".join(out)
 
 
-_MODELS: dict[str, PieceModel] = {}
+_MODELS: dict[tuple[str, int], PieceModel] = {}
 
 
-def model(path: str) -> PieceModel:
+def model(path: str, remembered: int = REMEMBERED) -> PieceModel:
     """The model at a path, loaded once per process."""
-    if path not in _MODELS:
-        _MODELS[path] = PieceModel(path)
-    return _MODELS[path]
+    if (path, remembered) not in _MODELS:
+        _MODELS[path, remembered] = PieceModel(path, remembered)
+    return _MODELS[path, remembered]
 
 
 def _file(path: str | None) -> str:
@@ -263,22 +265,24 @@ def decoder(spark: SparkSession, path: str | None = None):
     return decode
 
 
-def round_trip(spark: SparkSession, path: str | None = None, end: bool = True):
+def round_trip(spark: SparkSession, path: str | None = None, end: bool = True,
+               remembered: int = REMEMBERED):
     """A column function text -> struct(ids, decoded): what it becomes, and what that becomes."""
     ready_for_python(spark)
 
     @F.pandas_udf("ids array<int>, decoded string")
     def code(texts: pd.Series) -> pd.DataFrame:
-        pieces = model(_file(path))
+        pieces = model(_file(path), remembered)
         ids = [pieces.encode(t, end) for t in texts]
         return pd.DataFrame({"ids": ids, "decoded": [pieces.decode(x) for x in ids]})
 
     return code
 
 
-def digests(docs: DataFrame) -> DataFrame:
+def digests(docs: DataFrame, remembered: int = REMEMBERED) -> DataFrame:
     """Per document: number and digest of its ids, digest of what they decode to."""
-    both = docs.select("doc_id", round_trip(docs.sparkSession)(text_of("text")).alias("c")).select(
+    code = round_trip(docs.sparkSession, remembered=remembered)
+    both = docs.select("doc_id", code(text_of("text")).alias("c")).select(
         "doc_id", "c.ids", "c.decoded")
     return both.select(
         "doc_id", F.size("ids").cast("long").alias("n_tokens"),
