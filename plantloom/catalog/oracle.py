@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from plantloom.catalog.views import VIEWS, view_sql
+from plantloom.contracts import SOURCE_DDL, SYSTEMS
 
 AS_OF = "DATE '2024-01-15'"
 
@@ -12,6 +13,7 @@ EMPTY_TO_NULL = {"MARA": ["LVORM", "ZZMDGM"], "MARC": ["LVORM"], "MBEW": ["LVORM
 
 IN_USE = "(LVORM IS NULL OR LVORM = '')"
 OLD_OK = "(BISMT IS NULL OR BISMT NOT IN ('ARCHIVE', 'DUPLICATE', 'RENUMBERED'))"
+# Published columns of valuations, order headers and order masters.
 VALUATION = "MANDT, MATNR, BWKEY, VPRSV, VERPR, STPRS, PEINH, BKLAS"
 PRICE_ORDER = ("LAEPR DESC NULLS LAST, sur_pkey NULLS LAST, "
                + ", ".join(f"{c} NULLS LAST" for c in VALUATION.split(", ")))
@@ -98,8 +100,7 @@ ORDERS = "MARA AFKO AFPO AUFK header order_material master order_rows"
 FINISHED = f"{ORDERS} finished"
 
 
-def sql(steps: str, select: str, via_csv: bool = False, only: str | None = None,
-        **other: str) -> str:
+def sql(steps: str, select: str, via_csv: bool = False, **other: str) -> str:
     """``select`` over the named tables and steps; ``other`` replaces single steps."""
     parts = []
     for name in sorted(steps.split(), key=ORDER.index):
@@ -107,16 +108,24 @@ def sql(steps: str, select: str, via_csv: bool = False, only: str | None = None,
         if via_csv and name in EMPTY_TO_NULL:
             cleared = ", ".join(f"NULLIF({c}, '') AS {c}" for c in EMPTY_TO_NULL[name])
             text = f"SELECT * REPLACE ({cleared}) FROM ({text})"
-        if only and name in ("MARC", "AFKO"):
-            text = f"SELECT * FROM ({text}) WHERE SOURCE_SYSTEM_ERP = '{only}'"
         parts.append(f"{name} AS ({text})")
     return "WITH " + ",\n".join(parts) + "\n" + select
 
 
-def _counts() -> str:
-    names = [n for n in VIEWS if n != "CDPOS"]
-    return sql(" ".join(names), "\nUNION ALL ".join(
-        f"SELECT '{n}' AS table_name, COUNT(*) AS row_count FROM {n}" for n in names), only="PRE")
+def _cells() -> str:
+    def cell(column: str) -> str:
+        name, kind = column.split()
+        value = f"CAST({name} AS DECIMAL(18,2))" if kind == "double" else name
+        return f"COALESCE(CAST({value} AS VARCHAR), '~')"
+
+    def rows(system: str, table: str) -> str:
+        cells = ", ".join(map(cell, SOURCE_DDL[table].split(", ")))
+        mine = f" WHERE SOURCE_SYSTEM_ERP = '{system}'" if table in ("MARC", "AFKO") else ""
+        return (f"SELECT '{system}' AS system_name, '{table}' AS table_name, "
+                f"CONCAT_WS('|', {cells}) AS cells FROM {table}{mine}")
+
+    return sql(" ".join(SOURCE_DDL), "\nUNION ALL ".join(
+        rows(s, t) for s in SYSTEMS for t in SOURCE_DDL), via_csv=True)
 
 
 SAME_KEY = "PARTITION BY SOURCE_SYSTEM_ERP, MATNR, WERKS"
@@ -125,8 +134,10 @@ ALL_MARA = "SELECT MANDT, MATNR, MEINS, ZZMDGM AS global_material_number FROM MA
 
 ORACLE = {
     "scan_typed_csv": sql("MBEW", "SELECT * FROM MBEW", via_csv=True),
-    "load_system_tables": _counts(),
-    "validated_write_roundtrip": sql(LOCAL, "SELECT * FROM local", only="PRE"),
+    "load_system_tables": _cells(),
+    "load_extra_columns": sql("MARC_WIDE", "SELECT SOURCE_SYSTEM_ERP, MATNR, WERKS, EISBE, AUSDT, "
+                                           f"WEBAZ FROM MARC_WIDE WHERE {IN_USE}"),
+    "validated_write_roundtrip": sql(LOCAL, "SELECT * FROM local"),
 
     "prep_general_material": sql("MARA general", "SELECT * FROM general"),
     "filter_old_material_number": sql("MARA", f"{ALL_MARA} WHERE {OLD_OK}"),
@@ -255,8 +266,7 @@ ORACLE = {
     "harmonized_process_order": sql(FINISHED, "SELECT * FROM finished", via_csv=True),
     "process_system": sql(
         f"{LOCAL} {ORDERS} finished".replace(" MARA AFKO", " AFKO"),
-        "SELECT 'local_material' AS entity, COUNT(*) AS row_count, "
-        "COUNT(DISTINCT primary_key_inter) AS key_count FROM local UNION ALL "
-        "SELECT 'process_order', COUNT(*), COUNT(DISTINCT primary_key_inter) FROM finished",
-        via_csv=True, only="PRD"),
+        "SELECT 'local_material' AS entity, * FROM local UNION ALL BY NAME "
+        "SELECT 'process_order' AS entity, * FROM finished",
+        via_csv=True),
 }

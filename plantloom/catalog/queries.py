@@ -4,12 +4,13 @@ from __future__ import annotations
 
 import datetime
 from collections.abc import Callable, Iterable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from plantloom.catalog.views import view, views
-from plantloom.contracts import SOURCE_DDL
+from plantloom.contracts import SOURCE_DDL, SYSTEMS, source_contract
 from plantloom.functions import materials as mat
 from plantloom.functions import orders as odr
 from plantloom.operators.columns import prefix_columns, strip_prefixes
@@ -26,6 +27,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 AS_OF = datetime.date(2024, 1, 15)
 OPTIONS = orders.OrderOptions(as_of=AS_OF)
+EXTRA = "EISBE double, AUSDT date, WEBAZ int"
 QUERIES: dict[str, Query] = {}
 
 
@@ -67,23 +69,39 @@ def scan_typed_csv(spark, sf_dir):
 
 @query
 def load_system_tables(spark, sf_dir):
-    config = write_extracts(spark, sf_dir, scratch_folder(spark), "PRE", SOURCE_DDL)
-    loaded = load_system(spark, config, SOURCE_DDL)
-    counts = [df.agg(F.lit(name).alias("table_name"), F.count(F.lit(1)).alias("row_count"))
-              for name, df in loaded.items()]
-    result = counts[0]
-    for more in counts[1:]:
-        result = result.union(more)
-    return result
+    """Every typed cell of every table of both systems, a row's cells as one text."""
+    folder, rows = scratch_folder(spark), []
+    for name in SYSTEMS:
+        config = write_extracts(spark, sf_dir, folder, name, SOURCE_DDL)
+        for table, df in load_system(spark, config, SOURCE_DDL).items():
+            cells = [F.col(f.name).cast("decimal(18,2)") if f.dataType.simpleString() == "double"
+                     else F.col(f.name) for f in source_contract(name, table)]
+            rows.append(df.select(
+                F.lit(name).alias("system_name"), F.lit(table).alias("table_name"),
+                F.concat_ws("|", *[F.coalesce(c.cast("string"), F.lit("~")) for c in cells])
+                .alias("cells")))
+    return reduce(DataFrame.union, rows)
+
+
+@query
+def load_extra_columns(spark, sf_dir):
+    """Columns no contract knows, typed as declared, carried by the plant data."""
+    folder, rows = scratch_folder(spark), []
+    for name in SYSTEMS:
+        wide = view(spark, sf_dir, "MARC_WIDE").filter(F.col("SOURCE_SYSTEM_ERP") == name)
+        wide.write.csv(f"{folder}/{name}_MARC.csv", header=True)
+        loaded = load_system(spark, {"name": name, "path": f"{folder}/"}, ["MARC"], {"MARC": EXTRA})
+        rows.append(material.plant_data(loaded["MARC"], additional=["EISBE", "AUSDT", "WEBAZ"]))
+    return reduce(DataFrame.unionByName, rows)
 
 
 @query
 def validated_write_roundtrip(spark, sf_dir):
     root = scratch_folder(spark)
-    entity = material.local_material(tables(spark, sf_dir, material.TABLES, "PRE"))
-    if not write_entity(entity, root, material.ENTITY, "PRE"):
-        raise RuntimeError("local material breaks its contract")
-    return spark.read.parquet(entity_path(root, material.ENTITY, "PRE"))
+    for name, entity in _per_system(spark, sf_dir, material.local_material, material.TABLES).items():
+        if not write_entity(entity, root, material.ENTITY, name):
+            raise RuntimeError("local material breaks its contract")
+    return spark.read.parquet(*[entity_path(root, material.ENTITY, name) for name in SYSTEMS])
 
 
 # ---- preparation of the material side ------------------------------------------------------
@@ -380,7 +398,7 @@ def process_order(spark, sf_dir):
 # ---- both systems --------------------------------------------------------------------------
 
 def _per_system(spark, sf_dir, build, names):
-    return {s: build(tables(spark, sf_dir, names, s)) for s in ("PRE", "PRD")}
+    return {s: build(tables(spark, sf_dir, names, s)) for s in SYSTEMS}
 
 
 @query
@@ -427,12 +445,12 @@ def harmonized_process_order(spark, sf_dir):
 
 @query
 def process_system(spark, sf_dir):
-    folder = scratch_folder(spark)
-    config = write_extracts(spark, sf_dir, folder, "PRD", SOURCE_DDL)
-    built = system.process_system(spark, config, f"{folder}/output",
-                                  system.SystemOptions(orders=OPTIONS), stage=False)
-    rows = [df.agg(F.lit(name).alias("entity"), F.count(F.lit(1)).alias("row_count"),
-                   F.countDistinct("primary_key_inter").alias("key_count"))
-            for name, df in built.items()]
-    return rows[0].union(rows[1])
+    """All rows of both entities of both systems; each row has the columns of its entity."""
+    folder, rows = scratch_folder(spark), []
+    for name in SYSTEMS:
+        config = write_extracts(spark, sf_dir, folder, name, SOURCE_DDL)
+        built = system.process_system(spark, config, f"{folder}/output",
+                                      system.SystemOptions(orders=OPTIONS), stage=False)
+        rows += [df.select(F.lit(entity).alias("entity"), "*") for entity, df in built.items()]
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), rows)
 

@@ -6,8 +6,9 @@ key of their own. Planted on purpose: retired old numbers, deletion flags that
 are set, empty and null, split valuations, unknown price dates, repeated plant
 rows, plants, valuation areas and companies without partner, null and empty
 global numbers, orders without item or master record, and deviations on both
-sides of every lateness limit. The client is computed from the row, since a
-constant would be folded out of the join keys, unlike a column read from a file.
+sides of every lateness limit. There are two clients: materials, plants,
+valuations, areas and companies belong to either by their number, some materials
+and plants to both, and some plants and companies have copies that differ.
 """
 
 from __future__ import annotations
@@ -18,7 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 VIEWS = {
     "MARA": """
-        SELECT CASE WHEN p_partkey < 0 THEN '000' ELSE '100' END AS MANDT,
+        SELECT CASE WHEN p_partkey % 9 = 4 THEN '200' ELSE '100' END AS MANDT,
                CAST(p_partkey AS STRING) AS MATNR,
                CASE p_partkey % 13 WHEN 0 THEN 'X' WHEN 1 THEN '' ELSE NULL END AS LVORM,
                p_type AS MTART,
@@ -28,7 +29,11 @@ VIEWS = {
                p_retailprice AS NTGEW,
                CASE p_partkey % 7 WHEN 0 THEN NULL WHEN 1 THEN ''
                     ELSE 'G' || CAST(p_partkey AS STRING) END AS ZZMDGM
-        FROM {part}""",
+        FROM {part}
+        UNION ALL
+        SELECT '200', CAST(p_partkey AS STRING), NULL, p_type, p_name, 'PC', p_retailprice,
+               'S' || CAST(p_partkey AS STRING)
+        FROM {part} WHERE p_partkey % 9 = 2""",
     "MARC": """
         SELECT CASE l_suppkey % 2 WHEN 0 THEN 'PRE' ELSE 'PRD' END AS SOURCE_SYSTEM_ERP,
                CAST(l_partkey AS STRING) AS MATNR, CAST(l_suppkey AS STRING) AS WERKS,
@@ -36,7 +41,7 @@ VIEWS = {
                CAST(l_orderkey AS STRING) AS sur_pkey
         FROM {lineitem}""",
     "MBEW": """
-        SELECT CASE WHEN l_partkey < 0 THEN '000' ELSE '100' END AS MANDT,
+        SELECT CASE WHEN l_orderkey % 6 = 5 THEN '200' ELSE '100' END AS MANDT,
                CAST(l_partkey AS STRING) AS MATNR,
                CAST(l_suppkey AS STRING) AS BWKEY,
                CASE WHEN l_linenumber = 7 THEN 'SPLIT' ELSE NULL END AS BWTAR,
@@ -47,26 +52,38 @@ VIEWS = {
                CAST(l_orderkey AS STRING) AS sur_pkey
         FROM {lineitem}""",
     "T001W": """
-        SELECT CASE WHEN s_suppkey < 0 THEN '000' ELSE '100' END AS MANDT,
+        SELECT CASE WHEN s_suppkey % 8 = 1 THEN '200' ELSE '100' END AS MANDT,
                CASE WHEN s_suppkey % 23 = 5 THEN 'closed-' ELSE '' END
                     || CAST(s_suppkey AS STRING) AS WERKS,
                CAST(s_suppkey AS STRING) AS BWKEY,
                CASE WHEN s_suppkey % 10 = 0 THEN NULL ELSE s_name END AS NAME1
-        FROM {supplier}""",
+        FROM {supplier}
+        UNION ALL
+        SELECT CASE WHEN s_suppkey % 8 = 1 THEN '100' ELSE '200' END,
+               CAST(s_suppkey AS STRING), CAST(s_suppkey AS STRING), 'Branch ' || s_name
+        FROM {supplier} WHERE s_suppkey % 5 = 2
+        UNION ALL
+        SELECT CASE WHEN s_suppkey % 8 = 1 THEN '200' ELSE '100' END,
+               CAST(s_suppkey AS STRING), CAST(s_suppkey AS STRING), s_name || ' annex'
+        FROM {supplier} WHERE s_suppkey % 6 = 0""",
     "T001K": """
-        SELECT CASE WHEN s_suppkey < 0 THEN '000' ELSE '100' END AS MANDT,
+        SELECT CASE WHEN s_suppkey % 7 = 0 THEN '200' ELSE '100' END AS MANDT,
                CAST(s_suppkey AS STRING) AS BWKEY,
                CAST(s_nationkey AS STRING) AS BUKRS FROM {supplier}
         UNION ALL
-        SELECT CASE WHEN s_suppkey < 0 THEN '000' ELSE '100' END AS MANDT,
+        SELECT CASE WHEN s_suppkey % 7 = 0 THEN '200' ELSE '100' END AS MANDT,
                CAST(s_suppkey AS STRING) AS BWKEY,
                CAST(s_nationkey AS STRING) AS BUKRS FROM {supplier}""",
     "T001": """
-        SELECT CASE WHEN n_nationkey < 0 THEN '000' ELSE '100' END AS MANDT,
+        SELECT CASE WHEN n_nationkey % 5 = 1 THEN '200' ELSE '100' END AS MANDT,
                CASE WHEN n_nationkey % 8 = 3 THEN 'closed-' ELSE '' END
                     || CAST(n_nationkey AS STRING) AS BUKRS,
                'CUR' || CAST(n_regionkey AS STRING) AS WAERS
-        FROM {nation}""",
+        FROM {nation}
+        UNION ALL
+        SELECT CASE WHEN n_nationkey % 5 = 1 THEN '200' ELSE '100' END,
+               CAST(n_nationkey AS STRING), 'ALT' || CAST(n_regionkey AS STRING)
+        FROM {nation} WHERE n_nationkey % 6 = 0""",
     "AFKO": """
         SELECT CASE o_orderkey % 2 WHEN 0 THEN 'PRE' ELSE 'PRD' END AS SOURCE_SYSTEM_ERP,
                CASE WHEN o_orderkey < 0 THEN '000' ELSE '100' END AS MANDT,
@@ -109,6 +126,11 @@ VIEWS = {
         FROM {lineitem}""",
 }
 
+# Plant data with columns of their own types that no contract knows.
+VIEWS["MARC_WIDE"] = VIEWS["MARC"].replace(
+    "AS sur_pkey", "AS sur_pkey, CAST(l_quantity AS DOUBLE) AS EISBE, "
+    "CAST(l_shipdate AS DATE) AS AUSDT, CAST(l_linenumber AS INT) AS WEBAZ")
+
 INPUTS = ("part", "lineitem", "supplier", "nation", "orders")
 
 

@@ -19,18 +19,24 @@ from plantloom.plans.keys import add_primary_keys
 TABLES = ("MARA", "MARC", "MBEW", "T001W", "T001K", "T001")
 ENTITY = "LOCAL_MATERIAL"
 GRAIN = ["SOURCE_SYSTEM_ERP", "MATNR", "WERKS"]
+# The valuation columns that are published.
 VALUATION = ["MANDT", "MATNR", "BWKEY", "VPRSV", "VERPR", "STPRS", "PEINH", "BKLAS"]
 
 
 @dataclass(frozen=True)
 class MaterialOptions:
-    """Switches of the local material run."""
+    """Switches of the local material run.
+
+    ``additional`` columns of the plant data follow the grain. The entity then is
+    not the published shape any more, so the schema gate refuses it.
+    """
 
     global_number_columns: Sequence[str] = ("ZZMDGM",)
     check_old_number: bool = True
     check_material_deleted: bool = True
     check_plant_deleted: bool = True
     drop_duplicate_plants: bool = False
+    additional: Sequence[str] = ()
 
 
 def general_material(
@@ -193,7 +199,8 @@ def local_material(
     map tasks.
     """
     return finish_local_material(integrate_material(
-        plant_data(tables["MARC"], options.check_plant_deleted, options.drop_duplicate_plants),
+        plant_data(tables["MARC"], options.check_plant_deleted, options.drop_duplicate_plants,
+                   options.additional),
         general_material(tables["MARA"], options.global_number_columns,
                          options.check_old_number, options.check_material_deleted),
         plants(tables["T001W"]),

@@ -5,6 +5,7 @@ import datetime
 import pytest
 from pyspark.sql import functions as F
 
+from plantloom.catalog.views import views
 from plantloom.operators.dedup import collapse, first_by, with_group_size
 from plantloom.operators.union import harmonize
 from plantloom.plans import material
@@ -223,3 +224,15 @@ def test_harmonize_fills_missing_columns(spark):
     both = harmonize(pre, prd)
     assert both.columns == ["q", "a", "p"]
     assert rows(both) == [("y", 2, None), ("y", 2, None), (None, 1, "x")]
+
+
+def test_additional_plant_columns_reach_the_entity(spark):
+    folder = "/root/testdata/sf0.001"
+    found = views(spark, folder, [*material.TABLES, "MARC_WIDE"])
+    wide = {**found, "MARC": found["MARC_WIDE"]}
+    more = material.local_material(wide, material.MaterialOptions(additional=("EISBE", "AUSDT")))
+    assert more.columns[:5] == [*material.GRAIN, "EISBE", "AUSDT"]
+    assert dict(more.dtypes)["AUSDT"] == "date"
+    plain = material.local_material(found)
+    keyed = ["primary_key_inter", "no_of_duplicates"]
+    assert sorted(more.select(keyed).collect()) == sorted(plain.select(keyed).collect())
