@@ -44,6 +44,7 @@ def lateness(
     if sign not in (PLANNED_MINUS_ACTUAL, ACTUAL_MINUS_PLANNED):
         raise ValueError(f"unknown sign {sign!r}")
     days = F.col(deviation) if sign == PLANNED_MINUS_ACTUAL else -F.col(deviation)
+    # fixed values: the labels and their limits in days
     return (F.when(days > 10, ">10 days late")
             .when(days > 5, "6-10 days late")
             .when(days > 0, "1-5 days late")
@@ -52,4 +53,5 @@ def lateness(
 
 def order_type(sales_order: str = "KDAUF") -> Column:
     """Made to order when a sales order is given (even an empty one), else to stock."""
+    # fixed values: the two labels
     return F.when(F.col(sales_order).isNull(), "MTS").otherwise("MTO")
