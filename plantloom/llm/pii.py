@@ -3,21 +3,25 @@
 Emails, addresses, card and phone numbers are protected entities. A term beside
 an entity gives it away in so far as seeing the term tells the entity: with
 n(t), n(e), n(e, t) documents of N holding the term, the entity, and the term
-within ``WINDOW`` words of the entity, the disclosure is
+within ``WINDOW`` words of the entity, the disclosure is PMI(e; t) / PMI(e; e),
+where, with P(e) = n(e) / N and ``PRIOR`` documents that follow P(e) added to
+those that hold t,
 
-    PMI(e; t) / IC(e) = log(N n(e,t) / (n(e) n(t))) / log(N / n(e))
+    PMI(e; t) = log((n(e,t) + PRIOR P(e)) / (n(t) + PRIOR) / P(e))
 
-which is 1 when the term occurs beside that entity only. Pairs seen in at least
-``SUPPORT`` documents whose disclosure reaches ``GENERALISE`` have the term
+Without the prior PMI(e; e) is the information content log(N / n(e)). The
+disclosure is 1 when the term occurs beside that entity only and in every
+document of it, and less the fewer of them hold the term. Every pair is scored,
+however rare. Pairs whose disclosure reaches ``GENERALISE`` have the term
 generalised (to a class: number, name, word) wherever it stands beside the
 entity; from ``REMOVE`` on it is removed. Entities themselves become their kind.
-Copies of a document count as documents.
+Equal texts count as one document in all of these numbers, and each is marked.
 
 Kinds: email, ip, card, phone, then term. Base kinds are leftmost and do not
 overlap within a kind; a match failing its check is dropped, without retry.
 
-Defined results: null and empty texts have no spans; a corpus in which an entity
-is everywhere (IC 0) discloses nothing; repeated rows are rows of their own.
+Defined results: null and empty texts have no spans; an entity that is in every
+document has nothing to disclose; repeated rows are rows of their own.
 """
 
 from __future__ import annotations
@@ -28,11 +32,11 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from plantloom.llm import spans as sp
-from plantloom.llm.tables import quoted, read, ready_for_python
+from plantloom.llm.tables import quoted, read, ready_for_python, text_of
 from plantloom.session import materialize
 
 # Kinds in their order and their patterns.
@@ -47,7 +51,7 @@ WORD = re.compile(r"[^\x20\x09-\x0D]+")
 NOT_DIGITS = re.compile(r"[^0-9]+")
 
 WINDOW = 5
-SUPPORT = 3
+PRIOR = 0.5
 GENERALISE, REMOVE = 0.9, 0.98
 BLOOM_LOG2, BLOOM_HASHES = 23, 4
 
@@ -146,7 +150,7 @@ CONTEXTS = "array<struct<entity: string, term: string, start: long, end: long>>"
 
 
 def _observed(docs: DataFrame, text: str, keep: list[str]) -> DataFrame:
-    """Per row a number, the kept columns, base spans and contexts; written once."""
+    """Per row a number, the kept columns, the text's digest, base spans and contexts; written once."""
     ready_for_python(docs.sparkSession)
 
     @F.pandas_udf(f"base {sp.TYPE}, contexts {CONTEXTS}")
@@ -156,13 +160,18 @@ def _observed(docs: DataFrame, text: str, keep: list[str]) -> DataFrame:
                              "contexts": [find_contexts(t, e) for t, e in found]})
 
     rows = docs.select(F.struct(*[quoted(c) for c in keep]).alias("row"),
-                       F.monotonically_increasing_id().alias("row_no"),
+                       F.monotonically_increasing_id().alias("row_no"), _digest(text).alias("digest"),
                        observe(quoted(text)).alias("o"))
-    return materialize(rows.select("row", "row_no", "o.base", "o.contexts"))
+    return materialize(rows.select("row", "row_no", "digest", "o.base", "o.contexts"))
 
 
-def _term_documents(docs: DataFrame, text: str, terms: DataFrame) -> DataFrame:
-    """In how many rows each of the given terms occurs anywhere.
+def _digest(text: str) -> Column:
+    """Equal for copies; null counts as empty."""
+    return F.md5(text_of(quoted(text)).cast("binary"))
+
+
+def _term_documents(docs: DataFrame, text: str, terms: DataFrame, copies: DataFrame) -> DataFrame:
+    """In how many distinct texts each of the given terms occurs anywhere.
 
     A Bloom filter of fixed size, shared with all tasks, keeps other words out
     of the shuffle; its false positives fall to the join with the terms.
@@ -196,28 +205,40 @@ def _term_documents(docs: DataFrame, text: str, terms: DataFrame) -> DataFrame:
             out.append([term for term in found if tried[term]])
         return pd.Series(out)
 
-    seen = docs.select(F.explode(known(quoted(text))).alias("term")).groupBy("term").agg(
-        F.count(F.lit(1)).alias("n_term"))
+    # n copies weigh 1/n each, so that their sum rounds to a whole number
+    rows = docs.select(known(quoted(text)).alias("terms"), _digest(text).alias("digest")).filter(
+        F.size("terms") > 0).join(copies, "digest", "left")
+    seen = rows.select(F.explode("terms").alias("term"), "n_copies").groupBy("term").agg(
+        F.round(F.sum(1 / F.coalesce("n_copies", F.lit(1)))).alias("n_term"))
     return seen.join(terms, "term", "left_semi")
 
 
+def _disclosure(total: int, n_entity: Column, n_pair: Column, n_term: Column) -> Column:
+    share = n_entity / F.lit(float(total))
+
+    def information(together: Column, n: Column) -> Column:
+        return F.log2((together + PRIOR * share) / (n + PRIOR) / share)
+
+    return information(n_pair, n_term) / information(n_entity, n_entity)
+
+
 def disclosures(observed: DataFrame, docs: DataFrame, text: str = "text") -> DataFrame:
     """Pairs (entity, term) over the threshold with their disclosure."""
-    total = docs.count()
-    pairs = observed.select("row_no", F.explode(F.array_distinct(F.transform(
+    copies = materialize(observed.groupBy("digest").agg(F.count(F.lit(1)).alias("n_copies")).filter(
+        "n_copies > 1"))
+    total = observed.count() - (copies.agg(F.sum(F.col("n_copies") - 1)).first()[0] or 0)
+    once = observed.filter(F.size("contexts") > 0).select("digest", "contexts").dropDuplicates(["digest"])
+    pairs = once.select(F.explode(F.array_distinct(F.transform(
         "contexts", lambda c: F.struct(c.entity.alias("entity"), c.term.alias("term"))))).alias("p"))
-    pairs = pairs.groupBy("p.entity", "p.term").agg(F.count(F.lit(1)).alias("n_pair")).filter(
-        F.col("n_pair") >= SUPPORT)
-    pairs = materialize(pairs)
-    entities = observed.select(F.explode(F.array_distinct(F.transform(
+    pairs = materialize(pairs.groupBy("p.entity", "p.term").agg(F.count(F.lit(1)).alias("n_pair")))
+    entities = once.select(F.explode(F.array_distinct(F.transform(
         "contexts", lambda c: c.entity))).alias("entity")).groupBy("entity").agg(
         F.count(F.lit(1)).alias("n_entity"))
-    terms = _term_documents(docs, text, pairs.select("term").distinct())
-    content = F.log2(F.lit(float(total)) / F.col("n_entity"))
-    shared = F.log2(F.lit(float(total)) * F.col("n_pair") / (F.col("n_entity") * F.col("n_term")))
+    terms = _term_documents(docs, text, pairs.select("term").distinct(), copies)
     scored = (pairs.join(entities, "entity").join(terms, "term")
               .filter(F.col("n_entity") < total)
-              .select("entity", "term", (shared / content).alias("disclosure")))
+              .select("entity", "term", _disclosure(
+                  total, F.col("n_entity"), F.col("n_pair"), F.col("n_term")).alias("disclosure")))
     return scored.filter(F.col("disclosure") >= GENERALISE)
 
 

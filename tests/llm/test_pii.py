@@ -55,6 +55,23 @@ def test_disclosing_terms(spark):
     assert all(clean[i] == texts[i] for i in range(200))
 
 
+def test_rare_entities_disclose(spark):
+    rng = random.Random(2)
+    common = [f"w{i}" for i in range(30)]
+    prose = lambda n: " ".join(rng.choice(common) for _ in range(n))
+    texts = [prose(30) for _ in range(300)]
+    texts += [f"{prose(8)} Quendal ann@x.org {prose(8)}"]  # a mail that occurs once
+    texts += [f"{prose(8)} Brimwick bob@x.org {prose(8)}" for _ in range(2)]  # and one that occurs twice
+    copy = f"{prose(8)} shared cat@x.org {prose(8)}"
+    texts += [f"{prose(8)} shared {i}" for i in range(20)] + [copy] * 40
+    rows = pii.find_personal(documents(spark, *texts)).collect()
+    for r in rows:
+        said = {r.row.text[t.start:t.end] for t in r.terms}
+        assert said == {w for w in ("Quendal", "Brimwick") if w in r.row.text}
+    # copies are one document: 21 texts hold "shared", one of them the mail
+    assert sum(r.row.text == copy for r in rows) == 40
+
+
 def test_sanitised_marks():
     text = "call Bob on 42 now +1 555 123 4567"
     base = [{"kind": "phone", "start": 19, "end": 34}]
