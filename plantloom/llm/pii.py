@@ -1,20 +1,24 @@
 """Information-theoretic sanitisation of personal data.
 
-Emails, addresses, card and phone numbers are protected entities. A term beside
-an entity gives it away in so far as seeing the term tells the entity: with
-n(t), n(e), n(e, t) documents of N holding the term, the entity, and the term
-within ``WINDOW`` words of the entity, the disclosure is PMI(e; t) / PMI(e; e),
-where, with P(e) = n(e) / N and ``PRIOR`` documents that follow P(e) added to
-those that hold t,
+Emails, addresses, card and phone numbers are protected entities. A term in a
+document with an entity gives it away in so far as seeing the term tells the
+entity: with n(t), n(e), n(e, t) documents of N holding the term, the entity,
+and both, wherever they stand, the disclosure is PMI(e; t) / PMI(e; e), where,
+with P(e) = n(e) / N and ``PRIOR`` documents that follow P(e) added to those
+that hold t,
 
     PMI(e; t) = log((n(e,t) + PRIOR P(e)) / (n(t) + PRIOR) / P(e))
 
 Without the prior PMI(e; e) is the information content log(N / n(e)). The
-disclosure is 1 when the term occurs beside that entity only and in every
-document of it, and less the fewer of them hold the term. Every pair is scored,
-however rare. Pairs whose disclosure reaches ``GENERALISE`` have the term
-generalised (to a class: number, name, word) wherever it stands beside the
-entity; from ``REMOVE`` on it is removed. Entities themselves become their kind.
+disclosure is 1 when the term occurs in the documents of that entity only and in
+every one of them, and less the fewer of them hold the term. Every pair is
+scored, however rare. A term whose disclosure reaches ``GENERALISE`` is
+generalised (to a class: number, name, word) at each of its places in the
+documents that hold the entity; from ``REMOVE`` on it is removed. Of several
+entities in a document the most disclosed decides. Documents that hold none of
+them keep the term: there it stands beside nothing it gives away, though at
+0.9 there may be some. Words that are part of an entity are no terms; entities
+themselves become their kind.
 Equal texts count as one document in all of these numbers, and each is marked.
 
 Kinds: email, ip, card, phone, then term. Base kinds are leftmost and do not
@@ -50,10 +54,10 @@ PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 NOT_DIGITS = re.compile(r"[^0-9]+")
 
-WINDOW = 5
 PRIOR = 0.5
 GENERALISE, REMOVE = 0.9, 0.98
-BLOOM_LOG2, BLOOM_HASHES = 23, 4
+BLOOM_LOG2, BLOOM_SHIFTS = 24, (0, 20, 40)
+REMEMBERED_WORDS = 1 << 15
 
 
 def _emails(text: str) -> Iterator[tuple[int, int]]:
@@ -109,6 +113,15 @@ def term_of(word: str) -> str:
     return word[slice(*_inner(word))].lower()
 
 
+def distinct_words(text: str) -> set[str]:
+    """What ``WORD`` finds, once each."""
+    for space in "\t\n\v\f\r":
+        text = text.replace(space, " ")
+    words = set(text.split(" "))
+    words.discard("")
+    return words
+
+
 def _inner(word: str) -> tuple[int, int]:
     a, b = 0, len(word)
     while a < b and not word[a].isalnum():
@@ -118,56 +131,46 @@ def _inner(word: str) -> tuple[int, int]:
     return a, b
 
 
-def find_contexts(text: str | None, entities: list[tuple[str, int, int]]) -> list[dict]:
-    """Terms within ``WINDOW`` words of each entity that are part of none: entity, term, place."""
-    if not entities:
-        return []
+def find_terms(text: str, entities: list[tuple[str, int, int]]) -> list[tuple[str, int, int]]:
+    """Terms of a text with their places, in order; words that touch an entity are none."""
     words = [m.span() for m in WORD.finditer(text)]
     ends = np.fromiter((b for _, b in words), np.int64, len(words))
     starts = np.fromiter((a for a, _ in words), np.int64, len(words))
     taken = np.zeros(len(words), bool)
-    ranges = []
-    for kind, a, b in entities:
-        first, after = int(np.searchsorted(ends, a, "right")), int(np.searchsorted(starts, b))
-        taken[first:after] = True
-        ranges.append((f"{kind}:{text[a:b].lower()}", first, after))
+    for _, a, b in entities:
+        taken[int(np.searchsorted(ends, a, "right")):int(np.searchsorted(starts, b))] = True
     out = []
-    for entity, first, after in ranges:
-        near = [*range(max(0, first - WINDOW), first), *range(after, min(len(words), after + WINDOW))]
-        for i in near:
-            if taken[i]:
-                continue
-            a, b = _inner(text[words[i][0]:words[i][1]])
-            if a < b:
-                start = words[i][0] + a
-                end = words[i][0] + b
-                out.append({"entity": entity, "term": text[start:end].lower(),
-                            "start": start, "end": end})
+    for i in np.flatnonzero(~taken):
+        at, word = words[i][0], text[slice(*words[i])]
+        a, b = _inner(word)
+        if a < b:
+            out.append((word[a:b].lower(), at + a, at + b))
     return out
 
 
-CONTEXTS = "array<struct<entity: string, term: string, start: long, end: long>>"
-
-
 def _observed(docs: DataFrame, text: str, keep: list[str]) -> DataFrame:
-    """Per row a number, the kept columns, the text's digest, base spans and contexts; written once."""
+    """Per row the kept columns, the text's digest and base spans; written once.
+
+    Rows with a span also have the text and the distinct entities.
+    """
     ready_for_python(docs.sparkSession)
 
-    @F.pandas_udf(f"base {sp.TYPE}, contexts {CONTEXTS}")
+    @F.pandas_udf(f"base {sp.TYPE}, entities array<string>")
     def observe(texts: pd.Series) -> pd.DataFrame:
         found = [(t, find_entities(t)) for t in texts]
         return pd.DataFrame({"base": [sp.as_rows(e) for _, e in found],
-                             "contexts": [find_contexts(t, e) for t, e in found]})
+                             "entities": [sorted({f"{k}:{t[a:b].lower()}" for k, a, b in e})
+                                          for t, e in found]})
 
-    rows = docs.select(F.struct(*[quoted(c) for c in keep]).alias("row"),
-                       F.monotonically_increasing_id().alias("row_no"), _digest(text).alias("digest"),
-                       observe(quoted(text)).alias("o"))
-    return materialize(rows.select("row", "row_no", "digest", "o.base", "o.contexts"))
+    rows = docs.select(F.struct(*[quoted(c) for c in keep]).alias("row"), _digest(text).alias("digest"),
+                       quoted(text).alias("text"), observe(quoted(text)).alias("o"))
+    return materialize(rows.select("row", "digest", "o.base", "o.entities", F.when(
+        F.size("o.base") > 0, F.col("text")).alias("text")))
 
 
 def _digest(text: str) -> Column:
     """Equal for copies; null counts as empty."""
-    return F.md5(text_of(quoted(text)).cast("binary"))
+    return F.unhex(F.md5(text_of(quoted(text)).cast("binary")))
 
 
 def _term_documents(docs: DataFrame, text: str, terms: DataFrame, copies: DataFrame) -> DataFrame:
@@ -177,33 +180,41 @@ def _term_documents(docs: DataFrame, text: str, terms: DataFrame, copies: DataFr
     of the shuffle; its false positives fall to the join with the terms.
     """
     mask = (1 << BLOOM_LOG2) - 1
+    hashed = F.xxhash64("term")
     bits = terms.select(F.explode(F.array(*[
-        F.xxhash64(F.concat(F.lit(str(i)), F.col("term"))).bitwiseAND(F.lit(mask))
-        for i in range(BLOOM_HASHES)])).alias("bit"))
+        F.shiftrightunsigned(hashed, n).bitwiseAND(F.lit(mask)) for n in BLOOM_SHIFTS])).alias("bit"))
     words = bits.groupBy(F.shiftright("bit", 6).alias("word")).agg(
         F.bit_or(F.expr("shiftleft(1L, cast(bit & 63 as int))")).alias("bits")).toPandas()
-    bloom = np.zeros(1 << (BLOOM_LOG2 - 6), np.uint64)
-    bloom[words["word"].to_numpy(np.int64)] = words["bits"].to_numpy(np.int64).view(np.uint64)
-    shared = docs.sparkSession.sparkContext.broadcast(bloom)
+    bloom = np.zeros(1 << (BLOOM_LOG2 - 6), "<i8")
+    bloom[words["word"].to_numpy(np.int64)] = words["bits"].to_numpy(np.int64)
+    shared = docs.sparkSession.sparkContext.broadcast(bloom.tobytes())
 
     @F.pandas_udf("array<string>")
-    def known(texts: pd.Series) -> pd.Series:
-        filled, tried = shared.value, {}
-
-        def inside(term: str) -> bool:
-            for i in range(BLOOM_HASHES):
-                bit = xxhash.xxh64_intdigest(f"{i}{term}", 42) & mask
-                if not int(filled[bit >> 6]) >> (bit & 63) & 1:
-                    return False
-            return True
-
-        out = []
-        for t in texts:
-            found = {term_of(w) for w in set(WORD.findall(t or ""))}
-            for term in found - tried.keys():
-                tried[term] = inside(term)
-            out.append([term for term in found if tried[term]])
-        return pd.Series(out)
+    def known(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        filled = shared.value
+        tried: dict[str, str | None] = {}  # words to their terms, none if not given
+
+        def given(word: str) -> str | None:
+            term = term_of(word)
+            h = xxhash.xxh64_intdigest(term, 42)
+            for n in BLOOM_SHIFTS:
+                bit = h >> n & mask
+                if not filled[bit >> 3] >> (bit & 7) & 1:
+                    return None
+            return term
+
+        for texts in batches:
+            out = []
+            for t in texts:
+                if len(tried) > REMEMBERED_WORDS:
+                    tried.clear()
+                words = distinct_words(t or "")
+                for word in words.difference(tried):
+                    tried[word] = given(word)
+                found = set(map(tried.get, words))
+                found.discard(None)
+                out.append(list(found))
+            yield pd.Series(out)
 
     # n copies weigh 1/n each, so that their sum rounds to a whole number
     rows = docs.select(known(quoted(text)).alias("terms"), _digest(text).alias("digest")).filter(
@@ -222,24 +233,56 @@ def _disclosure(total: int, n_entity: Column, n_pair: Column, n_term: Column) ->
     return information(n_pair, n_term) / information(n_entity, n_entity)
 
 
+def _most_documents(total: int, n_entity: Column) -> Column:
+    """A term in more documents cannot reach ``GENERALISE`` with an entity of so many."""
+    share = n_entity / F.lit(float(total))
+    own = (n_entity + PRIOR * share) / (n_entity + PRIOR) / share
+    # a little more than exact, for rounding
+    return (n_entity + PRIOR * share) / (share * F.pow(own, GENERALISE)) * (1 + 1e-6) - PRIOR
+
+
 def disclosures(observed: DataFrame, docs: DataFrame, text: str = "text") -> DataFrame:
-    """Pairs (entity, term) over the threshold with their disclosure."""
+    """Per digest of a text the ``known`` terms that disclose an entity in it: term, disclosure.
+
+    Terms too common to reach the threshold with any entity of their text go
+    before pairs are made, first by how many texts with entities hold them, then
+    by how many texts do. That changes no result: for a pair over the threshold
+    all texts that hold it stay.
+    """
     copies = materialize(observed.groupBy("digest").agg(F.count(F.lit(1)).alias("n_copies")).filter(
         "n_copies > 1"))
     total = observed.count() - (copies.agg(F.sum(F.col("n_copies") - 1)).first()[0] or 0)
-    once = observed.filter(F.size("contexts") > 0).select("digest", "contexts").dropDuplicates(["digest"])
-    pairs = once.select(F.explode(F.array_distinct(F.transform(
-        "contexts", lambda c: F.struct(c.entity.alias("entity"), c.term.alias("term"))))).alias("p"))
-    pairs = materialize(pairs.groupBy("p.entity", "p.term").agg(F.count(F.lit(1)).alias("n_pair")))
-    entities = once.select(F.explode(F.array_distinct(F.transform(
-        "contexts", lambda c: c.entity))).alias("entity")).groupBy("entity").agg(
-        F.count(F.lit(1)).alias("n_entity"))
-    terms = _term_documents(docs, text, pairs.select("term").distinct(), copies)
-    scored = (pairs.join(entities, "entity").join(terms, "term")
-              .filter(F.col("n_entity") < total)
-              .select("entity", "term", _disclosure(
-                  total, F.col("n_entity"), F.col("n_pair"), F.col("n_term")).alias("disclosure")))
-    return scored.filter(F.col("disclosure") >= GENERALISE)
+
+    @F.pandas_udf("array<string>")
+    def terms_of(texts: pd.Series, base: pd.Series) -> pd.Series:
+        return pd.Series([sorted({x for x, _, _ in find_terms(t, _as_spans(b))})
+                          for t, b in zip(texts, base)])
+
+    once = observed.filter(F.size("base") > 0).dropDuplicates(["digest"])
+    once = materialize(once.select("digest", "entities", terms_of("text", "base").alias("terms")))
+    held = once.select("digest", F.explode("entities").alias("entity"))
+    entities = held.groupBy("entity").agg(F.count(F.lit(1)).alias("n_entity")).filter(
+        F.col("n_entity") < total).withColumn("most", _most_documents(total, F.col("n_entity")))
+    held = materialize(held.join(entities, "entity"))
+    reach = held.groupBy("digest").agg(F.max("most").alias("reach"))
+    words = once.select("digest", F.explode("terms").alias("term"))
+    # both tables are written, so that a common word's rows can be split
+    least = materialize(words.groupBy("term").agg(F.count(F.lit(1)).alias("n_least")))
+    rare = materialize(words.join(least, "term").join(reach, "digest").filter(
+        F.col("n_least") <= F.col("reach")).select("digest", "term"))
+    n_term = materialize(_term_documents(docs, text, rare.select("term").distinct(), copies))
+    placed = materialize(rare.join(n_term, "term").join(held, "digest").filter(
+        F.col("n_term") <= F.col("most")).select("digest", "entity", "term", "n_entity", "n_term"))
+    score = _disclosure(total, F.first("n_entity"), F.count(F.lit(1)), F.first("n_term"))
+    over = placed.groupBy("entity", "term").agg(score.alias("disclosure")).filter(
+        F.col("disclosure") >= GENERALISE)
+    return materialize(placed.join(over, ["entity", "term"]).groupBy("digest", "term").agg(
+        F.max("disclosure").alias("disclosure")).groupBy("digest").agg(
+        F.collect_list(F.struct("term", "disclosure")).alias("known")))
+
+
+def _as_spans(base: list) -> list[tuple[str, int, int]]:
+    return [(s["kind"], s["start"], s["end"]) for s in base]
 
 
 def find_personal(docs: DataFrame, text: str = "text", keep: list[str] | None = None) -> DataFrame:
@@ -249,17 +292,19 @@ def find_personal(docs: DataFrame, text: str = "text", keep: list[str] | None =
     """
     keep = docs.columns if keep is None else keep
     observed = _observed(docs, text, keep)
-    over = disclosures(observed, docs, text)
-    placed = observed.select("row_no", F.explode("contexts").alias("c")).select("row_no", "c.*")
-    # the table of pairs has unique keys, so a pair found in very many rows is
-    # split by adaptive execution; per row the terms are few
-    found = placed.join(over, ["entity", "term"]).groupBy("row_no", "start", "end").agg(
-        F.max("disclosure").alias("disclosure"))
-    per_row = found.groupBy("row_no").agg(F.sort_array(F.collect_list(
-        F.struct("start", "end", "disclosure"))).alias("terms"))
-    none = F.from_json(F.lit("[]"), "array<struct<start: long, end: long, disclosure: double>>")
-    return observed.join(per_row, "row_no", "left").select(
-        "row", "base", F.coalesce("terms", none).alias("terms"))
+
+    @F.pandas_udf("array<struct<start: long, end: long, disclosure: double>>")
+    def places(texts: pd.Series, base: pd.Series, known: pd.Series) -> pd.Series:
+        out = []
+        for t, b, k in zip(texts, base, known):
+            by_term = {x["term"]: x["disclosure"] for x in k} if k is not None else {}
+            found = find_terms(t, _as_spans(b)) if by_term else []
+            out.append([{"start": start, "end": end, "disclosure": by_term[x]}
+                        for x, start, end in found if x in by_term])
+        return pd.Series(out)
+
+    return observed.join(disclosures(observed, docs, text), "digest", "left").select(
+        "row", "base", places("text", "base", "known").alias("terms"))
 
 
 def sanitised(text: str | None, base: list, terms: list) -> str | None:

@@ -72,6 +72,57 @@ def test_rare_entities_disclose(spark):
     assert sum(r.row.text == copy for r in rows) == 40
 
 
+def test_terms_anywhere_in_the_document(spark):
+    rng = random.Random(3)
+    common = [f"w{i}" for i in range(30)]
+    prose = lambda n: " ".join(rng.choice(common) for _ in range(n))
+    texts = [prose(30) for _ in range(300)]
+    texts += [f"Quendal {prose(40)} ann@x.org {prose(40)} (quendal) {prose(9)} Quendal," for _ in range(4)]
+    docs = documents(spark, *texts)
+    for r in pii.find_personal(docs).collect():
+        said = [(r.row.text[t.start:t.end], round(t.disclosure, 9)) for t in r.terms]
+        assert said == ([("Quendal", 1), ("quendal", 1), ("Quendal", 1)] if r.row.doc_id >= 300 else [])
+    assert not any("quendal" in r.text.lower() for r in pii.sanitise(docs).collect())
+
+
+def test_terms_by_definition(spark):
+    """All pairs of whole texts, with no limit on how common a term may be."""
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    texts = {r.text for r in docs.collect()}
+    entities, terms, n_pair, n_entity, n_term = {}, {}, {}, {}, {}
+    for t in texts:
+        base = pii.find_entities(t)
+        entities[t] = {f"{k}:{t[a:b].lower()}" for k, a, b in base}
+        terms[t] = pii.find_terms(t, base) if base else []
+        for e in entities[t]:
+            n_entity[e] = n_entity.get(e, 0) + 1
+            for x in {x for x, _, _ in terms[t]}:
+                n_pair[e, x] = n_pair.get((e, x), 0) + 1
+        for x in {pii.term_of(w) for w in re.findall(r"[^\x20\x09-\x0D]+", t or "")}:
+            n_term[x] = n_term.get(x, 0) + 1
+
+    def disclosure(e, x):
+        share = n_entity[e] / len(texts)
+        pmi = lambda both, n: math.log((both + 0.5 * share) / (n + 0.5) / share)
+        return pmi(n_pair[e, x], n_term[x]) / pmi(n_entity[e], n_entity[e])
+
+    marked = 0
+    for r in pii.find_personal(docs).collect():
+        t, want = r.row.text, []
+        for x, start, end in terms[t]:
+            most = max(disclosure(e, x) for e in entities[t])
+            if most >= 0.9:
+                want.append((start, end, round(most, 9)))
+        assert [(s.start, s.end, round(s.disclosure, 9)) for s in r.terms] == want
+        marked += len(want)
+    assert marked > 0
+
+
+def test_distinct_words():
+    text = "a b\tb\n\nc\x0bd\x0ce\r f\x1cg\xa0h\u2028i  "
+    assert pii.distinct_words(text) == set(pii.WORD.findall(text)) and pii.distinct_words("") == set()
+
+
 def test_sanitised_marks():
     text = "call Bob on 42 now +1 555 123 4567"
     base = [{"kind": "phone", "start": 19, "end": 34}]
