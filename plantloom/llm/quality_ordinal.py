@@ -8,9 +8,12 @@ Grades from the labels: 0 toxic, 1 of low quality, 2 neither. Of several labels
 of a document the lowest grade counts; labels with a null, and documents
 without, are not learnt from.
 
-The fit takes a bounded sample, ``FIT_ROWS`` labelled documents with the
-smallest hash of their id, and runs on the driver over their hashed features.
-Documents that ``held_out`` names are never in it. Every document is scored.
+The fit takes a bounded sample, ``FIT_ROWS`` labelled documents, and runs on the
+driver over their hashed features. Each grade has an equal part of the sample,
+or all its documents if they are fewer, those with the smallest hash of their
+id; in the fit a grade weighs what it does among all labelled documents. Rare
+words count too, the ridge keeps them small. Documents that ``held_out`` names
+are never in it. Every document is scored.
 
 Defined results: null and empty texts have no features and get the prior of the
 grades; with no labels at all every grade is as likely as the others. Repeated
@@ -30,11 +33,11 @@ from pyspark.sql import functions as F
 
 from plantloom.llm.language_id import held_out
 from plantloom.llm.tables import quoted, read, ready_for_python
+from plantloom.session import materialize
 
 GRADES = 3
 FIT_ROWS = 12000
 FEATURES = 1 << 20
-LEAST_ROWS = 20
 STEPS, RATE, PENALTY = 150, 0.1, 1e-3
 KEEP_FROM = 0.5
 SEED = 11
@@ -83,23 +86,25 @@ def _logistic(x: np.ndarray) -> np.ndarray:
     return 0.5 * (1 + np.tanh(x / 2))
 
 
-def fit(rows: list[np.ndarray], grades: np.ndarray, n_grades: int = GRADES) -> OrdinalModel:
+def fit(rows: list[np.ndarray], grades: np.ndarray, n_grades: int = GRADES,
+        counts: np.ndarray | None = None) -> OrdinalModel:
     """Maximum likelihood with a ridge, by Adam on the whole sample.
 
-    Thresholds are the first plus exponentials, and so stay in order. Features
-    of fewer than ``LEAST_ROWS`` rows say little and keep weight zero.
+    Thresholds are the first plus exponentials, and so stay in order. With
+    ``counts``, documents per grade, rows weigh what makes up these shares.
     """
+    sampled = np.bincount(grades, minlength=n_grades)
+    counts = sampled if counts is None else counts
+    weight = (counts / np.maximum(sampled, 1) * len(rows) / max(counts.sum(), 1))[grades]
     # the start: thresholds that give the grades' shares, one of each added
-    share = (np.cumsum(np.bincount(grades, minlength=n_grades) + 1.0) / (len(grades) + n_grades))[:-1]
+    share = (np.cumsum(counts + 1.0) / (counts.sum() + n_grades))[:-1]
     start = np.log(share / (1 - share))
     if not len(rows):
         return OrdinalModel(np.zeros(FEATURES), start)
     columns = np.concatenate([*rows, np.empty(0, np.int32)])
     owner = np.repeat(np.arange(len(rows)), [len(r) for r in rows])
-    often = np.bincount(columns, minlength=FEATURES) >= LEAST_ROWS
-    used, size = np.flatnonzero(often), int(often.sum())
-    owner, columns = owner[often[columns]], columns[often[columns]]
-    columns = np.searchsorted(used, columns)
+    used, columns = np.unique(columns, return_inverse=True)
+    size = len(used)
     param = np.concatenate([np.zeros(size), start[:1], np.log(np.diff(start))])
     mean, square = np.zeros_like(param), np.zeros_like(param)
     for step in range(1, STEPS + 1):
@@ -109,7 +114,7 @@ def fit(rows: list[np.ndarray], grades: np.ndarray, n_grades: int = GRADES) -> O
         edges = np.concatenate([[-np.inf], thresholds, [np.inf]])
         upper, lower = _logistic(edges[grades + 1] - scores), _logistic(edges[grades] - scores)
         p = np.maximum(upper - lower, 1e-12)
-        d_upper, d_lower = upper * (1 - upper) / p, lower * (1 - lower) / p
+        d_upper, d_lower = weight * upper * (1 - upper) / p, weight * lower * (1 - lower) / p
         by_score = d_upper - d_lower  # of minus the log likelihood
         grad = np.zeros_like(param)
         grad[:size] = np.bincount(columns, by_score[owner], size) / len(rows) + PENALTY * weights
@@ -131,6 +136,15 @@ def grades_of(labels: DataFrame) -> DataFrame:
         F.when(F.col("toxic") != 0, 0).when(F.col("quality") == 0, 1).otherwise(2)).alias("grade"))
 
 
+def quotas(counts: np.ndarray, fit_rows: int) -> list[int]:
+    """Rows to take of each grade: equal parts, what a grade lacks going to the others."""
+    out, left = [0] * len(counts), fit_rows
+    for i, grade in enumerate(np.argsort(counts, kind="stable")):
+        out[grade] = min(int(counts[grade]), left // (len(counts) - i))
+        left -= out[grade]
+    return out
+
+
 def learn(docs: DataFrame, labels: DataFrame, text: str = "text", fit_rows: int = FIT_ROWS) -> OrdinalModel:
     """A model from a bounded sample of the labelled documents that are not held out."""
     ready_for_python(docs.sparkSession)
@@ -139,13 +153,19 @@ def learn(docs: DataFrame, labels: DataFrame, text: str = "text", fit_rows: int
     def extract(texts: pd.Series) -> pd.Series:
         return pd.Series([features(t) for t in texts])
 
-    sample = grades_of(labels).filter(~held_out("doc_id")).orderBy(
-        F.xxhash64(F.lit(SEED), "doc_id"), "doc_id").limit(fit_rows)
+    graded = materialize(grades_of(labels).filter(~held_out("doc_id")))
+    counts = np.zeros(GRADES, np.int64)
+    for r in graded.groupBy("grade").agg(F.count(F.lit(1)).alias("n")).collect():
+        counts[r.grade] = r.n
+    order = F.xxhash64(F.lit(SEED), "doc_id"), "doc_id"
+    sample = graded.limit(0)
+    for grade, n in enumerate(quotas(counts, fit_rows)):
+        sample = sample.union(graded.filter(F.col("grade") == grade).orderBy(*order).limit(n))
     # ``fit_rows`` ids and grades at most, whatever the size of the tables
     rows = docs.select(F.col("doc_id"), quoted(text).alias("text")).join(F.broadcast(sample), "doc_id")
     first = rows.groupBy("doc_id", "grade").agg(F.min("text").alias("text"))
     found = first.select("doc_id", "grade", extract("text").alias("features")).toPandas().sort_values("doc_id")
-    return fit(list(found["features"]), found["grade"].to_numpy(np.int64))
+    return fit(list(found["features"]), found["grade"].to_numpy(np.int64), counts=counts)
 
 
 def scorer(spark: SparkSession, model: OrdinalModel):

@@ -39,3 +39,29 @@ def test_awkward_rows(spark):
         assert len(got) == 12 and all(0 <= r.s.expected_grade <= 2 for r in got)
     assert np.allclose(qo.fit([], np.array([], np.int64)).thresholds, [np.log(1 / 2), np.log(2)])
     assert documents(spark).select(qo.scorer(spark, model)("text").alias("s")).count() == 0
+
+
+def test_rare_toxic_rows_of_each_language(spark):
+    """Markers in fewer than twenty rows each, in a sample far smaller than the table."""
+    rng = np.random.default_rng(1)
+    texts, labels = [], []
+    for i in range(3000):
+        lang = "xyz"[i % 3]
+        toxic = i % 100 < 3  # a hundredth of each language
+        words = [f"{lang}{chr(97 + k // 26)}{chr(97 + k % 26)}" for k in rng.integers(0, 200, 25)]
+        texts.append(" ".join(words + [f"{lang}bad", f"{lang}vile", f"{lang}foul"] * toxic))
+        labels.append((i, 1, int(toxic)))
+    docs = documents(spark, *texts)
+    model = qo.learn(docs, spark.createDataFrame(labels, "doc_id long, quality int, toxic int"), fit_rows=600)
+    got = docs.select("doc_id", qo.held_out("doc_id").alias("held_out"),
+                      qo.scorer(spark, model)("text").alias("s")).filter("held_out").collect()
+    for lang in range(3):
+        toxic = [r.s.tail_probability for r in got if r.doc_id % 3 == lang and r.doc_id % 100 < 3]
+        good = [r.s.tail_probability for r in got if r.doc_id % 3 == lang and r.doc_id % 100 >= 3]
+        assert toxic and max(toxic) < min(good), lang
+        assert np.mean(np.array(toxic) < qo.KEEP_FROM) > 0.5, lang
+
+
+def test_quotas():
+    assert qo.quotas(np.array([10, 500, 9000]), 900) == [10, 445, 445]
+    assert qo.quotas(np.array([10, 50, 90]), 900) == [10, 50, 90] and qo.quotas(np.zeros(3, int), 9) == [0] * 3
