@@ -310,7 +310,7 @@ def _order_sides(spark, sf_dir):
 def join_order_items(spark, sf_dir):
     header, items, _, _ = _order_sides(spark, sf_dir)
     return left_join_many(header.select("SOURCE_SYSTEM_ERP", "AUFNR"),
-                          prefix_columns(items, "item"), "AUFNR", "item_AUFNR")
+                          prefix_columns(items, "item"), [("AUFNR", "item_AUFNR")])
 
 
 @query

@@ -13,7 +13,7 @@ from plantloom.functions.materials import (
     global_material_id, not_deleted, not_retired, not_split_valued, plant_label)
 from plantloom.operators.columns import first_present, pick
 from plantloom.operators.dedup import collapse, first_by
-from plantloom.operators.joins import left_lookup
+from plantloom.operators.joins import left_join_many, left_lookup
 from plantloom.plans.keys import add_primary_keys
 
 TABLES = ("MARA", "MARC", "MBEW", "T001W", "T001K", "T001")
@@ -122,8 +122,13 @@ def area_currency(areas: DataFrame, companies: DataFrame) -> DataFrame:
 
 def with_material(plant: DataFrame, material: DataFrame) -> DataFrame:
     """Plant data left-joined to the material, as ``plant`` and ``material``."""
-    return plant.alias("plant").join(
-        material.alias("material"), F.col("plant.MATNR") == F.col("material.MATNR"), "left")
+    return left_join_many(plant.alias("plant"), material, [("plant.MATNR", "MATNR")], "material")
+
+
+def with_plant(known: DataFrame, plants: DataFrame) -> DataFrame:
+    """The result of ``with_material`` left-joined to the plant of the material's client, as ``site``."""
+    return left_join_many(known, plants, [
+        ("material.MANDT", "MANDT"), ("plant.WERKS", "WERKS")], "site")
 
 
 def _enrich(
@@ -140,10 +145,7 @@ def _enrich(
     The material number is taken from the always-filled plant side, so rows
     without material spread over all partitions instead of meeting as nulls.
     """
-    known = with_material(plant, material).join(
-        plants.alias("site"),
-        (F.col("material.MANDT") == F.col("site.MANDT"))
-        & (F.col("plant.WERKS") == F.col("site.WERKS")), "left")
+    known = with_plant(with_material(plant, material), plants)
     valued = left_lookup(known, valuation.alias("value"), [
         ("material.MANDT", "value.MANDT"), ("plant.MATNR", "value.MATNR"),
         ("site.BWKEY", "value.BWKEY")])

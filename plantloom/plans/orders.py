@@ -78,8 +78,7 @@ def planned_finish():
 
 def with_master(header: DataFrame, master: DataFrame) -> DataFrame:
     """Headers left-joined to their master records, as ``header`` and ``master``."""
-    return left_join_many(header.alias("header"), master, "header.AUFNR", "AUFNR", "master",
-                          keys=header.select("AUFNR"))
+    return left_join_many(header.alias("header"), master, [("header.AUFNR", "AUFNR")], "master")
 
 
 def integrate_orders(
@@ -104,18 +103,15 @@ def integrate_orders(
             master = master.withColumn(name, F.lit(None).cast(kind))
 
     rows = with_master(header, master)
-    rows = left_join_many(rows, items, "header.AUFNR", "AUFNR", "item",
-                          keys=header.select("AUFNR"))
-    rows = left_join_many(rows, material, "item.MATNR", "MATNR", "material",
-                          keys=_or_null(items.select("MATNR")))
+    rows = left_join_many(rows, items, [("header.AUFNR", "AUFNR")], "item", again=True)
+    rows = left_join_many(rows, material, [("item.MATNR", "MATNR")], "material")
     published = [(f"header.{c}", c) for c in header.columns if c != "AUFNR"]
     published += [(f"item.{c}", c) for c in items.columns if c not in ("AUFNR", "MATNR")]
     published += [(f"master.{c}", c) for c in master.columns]
     published += [(f"material.{c}", c) for c in material.columns if c != "MATNR"]
     if changes is not None:
         require_columns(changes, ["OBJNR"], "changes")
-        rows = left_join_many(rows, changes, "master.OBJNR", "OBJNR", "change",
-                              keys=_or_null(master.select("OBJNR")))
+        rows = left_join_many(rows, changes, [("master.OBJNR", "OBJNR")], "change")
         published += [(f"change.{c}", c) for c in changes.columns
                       if c not in ("AUFNR", "MATNR", "OBJNR")]
 
@@ -128,12 +124,6 @@ def integrate_orders(
     return rows.select(*[values.get(source, F.col(source)).alias(c) for source, c in published])
 
 
-def _or_null(keys: DataFrame) -> DataFrame:
-    """The keys, and null for rows that found no partner to take a key from."""
-    return keys.union(keys.sparkSession.range(1).select(
-        F.lit(None).cast(keys.schema[0].dataType).alias(keys.columns[0])))
-
-
 def order_times() -> dict[str, Column]:
     """Actual finish and start as timestamps."""
     return {"order_finish_timestamp": F.col("FTRMI").cast("timestamp"),

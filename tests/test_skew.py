@@ -7,9 +7,10 @@ partitions of some ten kilobytes are heavy.
 import pytest
 from pyspark.sql import functions as F
 
+from plantloom.contracts import SOURCE_DDL
 from plantloom.operators.dedup import collapse, with_group_size
-from plantloom.operators.joins import left_join_many
-from plantloom.plans import material
+from plantloom.operators.joins import heavy_keys, left_join_many
+from plantloom.plans import material, orders
 from tests.frames import rows
 
 SETTINGS = {
@@ -43,17 +44,48 @@ def hot(spark, n=60000, keys=4000):
     return spark.range(0, n, 1, 8).select(key.alias("k"), F.col("id").cast("string").alias("v"))
 
 
+def tasks_of(df, condition):
+    """Rows of each task that holds some of those under the condition."""
+    shares = df.filter(condition).groupBy(F.spark_partition_id()).count().collect()
+    return [r["count"] for r in shares]
+
+
 def test_heavy_right_key_of_an_outer_join_is_split(large):
     left = large.range(0, 5000, 1, 8).select(
-        F.when(F.col("id") == 0, "hot").otherwise(F.col("id").cast("string")).alias("l"))
+        F.when(F.col("id") == 0, "hot").when(F.col("id") == 1, None)
+        .otherwise((F.col("id") * 3).cast("string")).alias("l"), "id")
     right = hot(large)
-    got = left_join_many(left, right, "l", "k")
+    got = left_join_many(left, right, [("l", "k")])
     outer = left.join(right, F.col("l") == F.col("k"), "left")
-    assert "SortMergeJoin(skew=true)" in final_plan(got)
-    # the plain outer join has no way to do that
-    assert "skew=true" not in final_plan(outer)
-    assert got.count() == outer.count()
-    assert got.exceptAll(outer).isEmpty()
+    # the plain outer join has no way to spread a key
+    assert len(tasks_of(outer, "l = 'hot'")) == 1
+    shares = tasks_of(got, "l = 'hot'")
+    assert len(shares) > 1 and sum(shares) == 20000 and max(shares) < 15000
+    assert got.columns == outer.columns and got.count() == outer.count()
+    assert got.exceptAll(outer).isEmpty() and outer.exceptAll(got).isEmpty()
+
+
+def test_heavy_keys_are_known_with_their_share(large):
+    assert heavy_keys(hot(large), ["k"], 8) == {"hot": 6}
+    assert heavy_keys(hot(large).filter("k <> 'hot'"), ["k"], 8) == {}
+    pairs = hot(large).select("k", F.lit(None).cast("string").alias("none"), F.lit("x").alias("x"))
+    assert heavy_keys(pairs, ["x", "k"], 8) == {"1:x3:hot": 6}
+    assert heavy_keys(pairs, ["k", "none"], 8) == {}
+    assert heavy_keys(pairs.limit(0), ["k"], 8) == {}
+
+
+def test_equal_rows_of_a_heavy_key_are_spread(large):
+    left = large.range(3).select(F.col("id").cast("string").alias("l"))
+    right = large.range(0, 40000, 1, 8).select(F.lit("1").alias("k"), F.lit("same").alias("v"))
+    got = left_join_many(left, right, [("l", "k")])
+    assert len(tasks_of(got, "l = '1'")) > 1
+    assert rows(got.groupBy("l", "v").count()) == [("0", None, 1), ("1", "same", 40000), ("2", None, 1)]
+
+
+def test_tables_below_a_skewed_partition_are_not_measured(spark):
+    left = spark.range(3).select(F.col("id").cast("string").alias("l"))
+    got = left_join_many(left, hot(spark), [("l", "k")])
+    assert "_salt" not in got._jdf.queryExecution().analyzed().toString()
 
 
 @pytest.mark.parametrize("key", ["hot", None])
@@ -62,7 +94,7 @@ def test_heavy_left_key_is_split(large, key):
         F.when(F.col("k") != "hot", F.col("k")).otherwise(F.lit(key)).alias("l"), "v")
     right = large.range(0, 3000, 1, 8).select(
         F.when(F.col("id") == 0, "hot").otherwise(F.col("id").cast("string")).alias("r"))
-    got = left_join_many(left, right, "l", "r")
+    got = left_join_many(left, right, [("l", "r")])
     assert "SortMergeJoin(skew=true)" in final_plan(got)
     assert got.count() == left.count()
 
@@ -130,3 +162,61 @@ def test_heavy_material_on_the_plant_side(large):
     assert final_plan(df).count("SortMergeJoin(skew=true)") == 3
     counts = df.agg(F.count("*"), F.count("MEINS"), F.count("NAME1"), F.count("WAERS")).first()
     assert tuple(counts) == (60000, 59990, 6000, 6000)
+
+
+def test_heavy_material_and_heavy_plant_on_the_right(large):
+    """A third of the materials in one number, a third of the plants in one key."""
+    nothing = F.lit(None).cast("string")
+    client = F.when(F.col("id") >= 0, "100").alias("MANDT")
+    key = F.when(F.col("id") % 3 == 0, "hot").otherwise(F.col("id").cast("string"))
+    mara = large.range(0, 30000, 1, 8).select(
+        client, key.alias("MATNR"), F.col("id").cast("string").alias("MEINS"), nothing.alias("BISMT"),
+        nothing.alias("LVORM"), nothing.alias("ZZMDGM"))
+    t001w = large.range(0, 30000, 1, 8).select(
+        client, key.alias("WERKS"), key.alias("BWKEY"), F.col("id").cast("string").alias("NAME1"))
+    # the heavy material stands in an ordinary plant, the heavy plant has an ordinary material
+    plant = large.createDataFrame(
+        [("PRE", m, w) for m, w in [("hot", "1"), ("1", "hot"), ("2", "4"), ("x", "hot"), ("2", "x")]],
+        "SOURCE_SYSTEM_ERP string, MATNR string, WERKS string")
+    empty = {name: large.createDataFrame([], SOURCE_DDL[name]) for name in ("MBEW", "T001K", "T001")}
+    material_rows, plant_rows = material.general_material(mara), material.plants(t001w)
+    known = material.with_material(plant, material_rows)
+    placed = material.with_plant(known, plant_rows)
+    for df, hot_rows in ((known, "plant.MATNR = 'hot'"), (placed, "plant.WERKS = 'hot'")):
+        shares = tasks_of(df, hot_rows)
+        assert len(shares) > 1 and sum(shares) in (10000, 10001) and max(shares) < 9000
+    got = material.integrate_material(
+        plant, material_rows, plant_rows, material.material_valuation(empty["MBEW"]),
+        material.valuation_areas(empty["T001K"]), material.company_codes(empty["T001"]))
+    text = got._jdf.queryExecution().analyzed().toString()
+    assert "_salt_material" in text and "_salt_site" in text
+    assert rows(got.filter("MATNR IN ('hot', '1')").groupBy("MATNR").count()) == [("1", 10000), ("hot", 10000)]
+    assert rows(got.filter("MATNR <> 'hot' AND MATNR <> '1'"), "MATNR", "WERKS", "MEINS", "NAME1") == [
+        ("2", "4", "2", "4"), ("2", "x", "2", None), ("x", "hot", None, None)]
+
+
+def test_heavy_change_documents(large):
+    """A third of all change documents belong to one order, found by way of the master."""
+    def table(name, n, **columns):
+        known = [c.split()[0] for c in SOURCE_DDL[name].split(", ")]
+        typed = {f.name: f.dataType for f in large.createDataFrame([], SOURCE_DDL[name]).schema}
+        return large.range(0, n, 1, 8).select(*[
+            columns.get(c, F.lit(None)).cast(typed[c]).alias(c) for c in known])
+
+    number = F.col("id").cast("string")
+    header, items = table("AFKO", 2000, AUFNR=number), table("AFPO", 2000, AUFNR=number)
+    master = table("AUFK", 1500, AUFNR=number, OBJNR=F.concat(F.lit("OR"), number))
+    changes = hot(large, keys=1000).select(
+        F.when(F.col("k") == "hot", "OR7").otherwise(F.concat(F.lit("OR"), F.col("k"))).alias("OBJNR"),
+        F.col("v").alias("CHANGENR"))
+    got = orders.integrate_orders(
+        header, orders.order_items(items), master,
+        orders.order_material(table("MARA", 0)), changes)
+    assert len(tasks_of(got, "OBJNR = 'OR7'")) > 1
+    counts = rows(got.groupBy(F.col("OBJNR") == "OR7").agg(F.count("*"), F.count("CHANGENR")))
+    heavy = changes.filter("OBJNR = 'OR7'").count()
+    # the rest: orders with documents, orders with a master only, orders without
+    documented = changes.filter("OBJNR <> 'OR7'").join(master, "OBJNR").count()
+    bare = master.filter("OBJNR <> 'OR7'").join(changes, "OBJNR", "left_anti").count()
+    assert counts == sorted([(True, heavy, heavy), (False, documented + bare, documented), (None, 500, 0)],
+                            key=repr)
