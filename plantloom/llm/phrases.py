@@ -16,6 +16,11 @@ phrases active early, no more: a phrase is counted in a shard in the first step
 whose filter passes it and not again, as the tasks also hold the filters with
 which their shard was scanned before, and phrases whose cycle was not complete
 are rarer than asked, as otherwise the filter would have been sure to pass them.
+
+A phrase that occurs ``LEAST`` times does so ``LEAST / SHARDS`` times in one
+shard. After each step only counts of that size are added up, a small part of
+all; whenever a cycle ends, all counts of the last two cycles are, so phrases
+that are just frequent become known then.
 In a corpus whose frequent phrases outgrow ``MOST_BITS`` the filter lets ever
 more pass, and the cost tends to that of counting every phrase; counts stay exact.
 
@@ -34,6 +39,7 @@ from __future__ import annotations
 from collections import defaultdict
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -232,7 +238,7 @@ def frequent_phrases(
     """Phrases (lang, k, phrase, n) of up to ``longest`` words seen ``least`` times; words per lang.
 
     Intermediate tables lie in shared storage: the shards, and one table of
-    counts a step, of which there are ``longest * shards + 1`` at most.
+    counts a step, of which there are some ``longest * shards``.
     """
     spark = docs.sparkSession
     ready_for_python(spark)
@@ -243,16 +249,26 @@ def frequent_phrases(
         "shard").option("compression", "zstd").parquet(f"{folder}/shards")
     schema = "lang string, text binary, shard long"
     dealt = spark.read.schema(schema).parquet(f"{folder}/shards")
+    # a frequent phrase has this many occurrences in one shard at least
+    strong = -(-least // shards)
     steps, sizes, filters = [], [], []
+    exact = spark.createDataFrame([], "lang string, phrase binary")
     while True:
         step = len(steps)
+        size, now = 0, None
         if step:
-            seen = _added_up(spark, steps).filter((F.col("n") >= least) & (F.col("k") < longest))
-            size, now = _filter_of(materialize(seen.select("lang", "phrase")), most_bits)
-        else:
-            size, now = 0, None
+            if step % shards == 0:
+                exact = materialize(exact.union(_completed(spark, steps, least, longest, shards)).distinct())
+            reached = materialize(exact.union(_often(
+                _counts(spark, steps).filter("strong"), least, longest)).distinct())
+            size, now = _filter_of(reached, most_bits)
         if step >= shards and size == sizes[step - shards]:
-            break
+            # nothing new for a cycle: unless the last cycle's sums say otherwise, all is counted
+            more = _completed(spark, steps, least, longest, shards)
+            if not more.join(reached, ["lang", "phrase"], "left_anti").limit(1).count():
+                break
+            exact = materialize(exact.union(more).distinct())
+            size, now = _filter_of(materialize(exact.union(reached).distinct()), most_bits)
         sizes.append(size)
         filters.append(now)
         shared = spark.sparkContext.broadcast((now, filters[step - shards::-shards] if step >= shards else []))
@@ -267,18 +283,32 @@ def frequent_phrases(
 
         found = dealt.filter(F.col("shard") == step % shards).select("lang", "text").mapInArrow(count, COUNTS)
         path = f"{folder}/counts-{step}"
-        found.groupBy("lang", "k", "phrase").agg(F.sum("n").alias("n")).write.parquet(path)
+        found.groupBy("lang", "k", "phrase").agg(F.sum("n").alias("n")).withColumn(
+            "strong", F.col("n") >= strong).write.partitionBy("strong").parquet(path)
         steps.append(path)
         shared.unpersist()
-    counts = _added_up(spark, steps)
+    counts = _counts(spark, steps)
     words = materialize(counts.filter("k = 1").groupBy("lang").agg(F.sum("n").alias("n")))
-    often = materialize(counts.filter(F.col("n") >= least).select(
-        "lang", "k", F.col("phrase").cast("string").alias("phrase"), "n"))
+    often = materialize(counts.groupBy("lang", "k", "phrase").agg(F.sum("n").alias("n")).filter(
+        F.col("n") >= least).select("lang", "k", F.col("phrase").cast("string").alias("phrase"), "n"))
     return often, words
 
 
-def _added_up(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
-    return spark.read.schema(COUNTS).parquet(*paths).groupBy("lang", "k", "phrase").agg(F.sum("n").alias("n"))
+def _counts(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
+    """The steps' counts; a partition tells those that are large in their shard."""
+    parts = [spark.read.schema(f"{COUNTS}, strong boolean").parquet(p) for p in paths]
+    return reduce(DataFrame.union, parts)
+
+
+def _often(counts: DataFrame, least: int, longest: int) -> DataFrame:
+    """Phrases, short enough to be part of a longer one, that the counts show to be frequent."""
+    return counts.filter(F.col("k") < longest).groupBy("lang", "phrase").agg(
+        F.sum("n").alias("n")).filter(F.col("n") >= least).select("lang", "phrase")
+
+
+def _completed(spark: SparkSession, paths: Sequence[str], least: int, longest: int, shards: int) -> DataFrame:
+    """Frequent phrases among those whose cycle ended during the last one: two cycles hold all of theirs."""
+    return _often(_counts(spark, paths[-2 * shards:]), least, longest)
 
 
 # ---- scores ------------------------------------------------------------------------------------
