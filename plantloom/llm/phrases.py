@@ -9,20 +9,18 @@ by side. An active phrase is counted until it has met every shard once, a full
 cycle, and then stops. The scans end when a whole cycle activated nothing.
 
 A step scans one shard. Its tasks hold a text block's words as numbers, find the
-active phrases of all lengths and emit a count per distinct phrase and block,
-which are added up in one shuffle. What is often enough reaches the tasks as a
-Bloom filter: some 10 bits a phrase, at most ``MOST_BITS``. False positives make
-phrases active early, no more: a phrase is counted in a shard in the first step
-whose filter passes it and not again, as the tasks also hold the filters with
-which their shard was scanned before, and phrases whose cycle was not complete
-are rarer than asked, as otherwise the filter would have been sure to pass them.
-
-A phrase that occurs ``LEAST`` times does so ``LEAST / SHARDS`` times in one
-shard. After each step only counts of that size are added up, a small part of
-all; whenever a cycle ends, all counts of the last two cycles are, so phrases
-that are just frequent become known then.
-In a corpus whose frequent phrases outgrow ``MOST_BITS`` the filter lets ever
-more pass, and the cost tends to that of counting every phrase; counts stay exact.
+active phrases of all lengths and write a count per distinct phrase and block,
+with the step in which the phrase became active. When that step's phrases have
+met all shards their counts are added up, in one shuffle, and are exact; in
+between, large counts alone are added up, a small part of all, which shows most
+frequent phrases long before their cycle ends.
+
+What is often enough reaches the tasks as a Bloom filter of a byte a slot, the
+first step that set it, so one look tells since when a phrase passes. It has
+``SLOTS`` slots, or fewer for little text. False positives make phrases active
+early, no more: whether and since when is the same in all tasks and later steps.
+In a corpus whose frequent phrases outgrow the slots ever more pass, and the
+cost tends to that of counting every phrase; counts stay exact.
 
 Scores: for a phrase of count a and each cut, with counts l and r of the parts,
 floor(2000000 a / (l + r)); the lowest counts, the first of equal ones. Phrases
@@ -38,7 +36,6 @@ from __future__ import annotations
 
 from collections import defaultdict
 from collections.abc import Iterator, Sequence
-from dataclasses import dataclass
 from functools import reduce
 
 import numpy as np
@@ -57,15 +54,19 @@ LEAST = 30
 LONGEST = 4
 PER_LANG = 2000
 SHARDS = 3
-MOST_BITS = 1 << 28
+SLOTS = 1 << 26
+# Counts of a block that are added up before their cycle ends.
+LARGE = 5
 HASHES = 4
+# In a slot: set in no step.
+NEVER = 255
 # Bytes of text worked on at a time, and held over all languages.
 BLOCK, HELD = 1 << 23, 1 << 25
 SPACE, BREAK = 32, 10
 # A-Z in lower case, tab as space, what ends a piece as line feed.
 PLAIN = bytes(BREAK if chr(c) in ".,;:!?\n\x0b\x0c\r" else SPACE if c == 9 else c + 32 if 65 <= c <= 90 else c
               for c in range(256))
-COUNTS = "lang string, k int, phrase binary, n long"
+COUNTS = "lang string, k int, phrase binary, n long, since int, large boolean"
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -82,35 +83,24 @@ def _extended(phrase: np.ndarray, word: np.ndarray) -> np.ndarray:
         return x ^ (x >> np.uint64(32))
 
 
-def _slots(hashes: np.ndarray, bits: int) -> Iterator[np.ndarray]:
+def _places(hashes: np.ndarray, slots: int) -> Iterator[np.ndarray]:
     with np.errstate(over="ignore"):
         x = hashes * _MIX
         step = (x >> np.uint64(33)) | np.uint64(1)
         for i in range(HASHES):
-            yield (x + np.uint64(i) * step) & np.uint64(bits - 1)
+            yield ((x + np.uint64(i) * step) & np.uint64(slots - 1)).astype(np.int64)
 
 
-@dataclass(frozen=True)
-class Filter:
-    """A Bloom filter over phrase hashes, ``bits`` a power of two."""
+def since(filled: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+    """The first step whose filter passes each phrase; ``NEVER`` if none does."""
+    return np.maximum.reduce([filled[at] for at in _places(hashes, len(filled))])
 
-    bits: int
-    words: np.ndarray
 
-    def passes(self, hashes: np.ndarray) -> np.ndarray:
-        found = np.ones(len(hashes), bool)
-        for at in _slots(hashes, self.bits):
-            found &= (self.words[(at >> np.uint64(6)).astype(np.int64)] >> (at & np.uint64(63))) & np.uint64(1) > 0
-        return found
-
-
-def _filter_of(reached: DataFrame, most_bits: int) -> tuple[int, Filter]:
-    """How many phrases there are, and their filter; its words are put together in a shuffle."""
-    size = reached.count()
-    bits = min(max(1 << 12, 1 << (10 * size).bit_length()), most_bits)
+def _set_slots(reached: DataFrame, slots: int) -> np.ndarray:
+    """Which slots the phrases set; put together in a shuffle, 64 of them to a row."""
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = np.zeros(bits >> 6, np.uint64)
+        held = np.zeros(slots, bool)
         for batch in batches:
             if not batch.num_rows:
                 continue
@@ -124,16 +114,17 @@ def _filter_of(reached: DataFrame, most_bits: int) -> tuple[int, Filter]:
             for j in range(int(lengths.max())):
                 longer = lengths > j
                 found[longer] = _extended(found[longer], known[codes[starts[longer] + j]])
-            for at in _slots(found, bits):
-                np.bitwise_or.at(held, (at >> np.uint64(6)).astype(np.int64), np.uint64(1) << (at & np.uint64(63)))
-        used = np.flatnonzero(held)
-        yield pa.RecordBatch.from_pydict({"i": used, "w": held[used].view(np.int64)})
+            for at in _places(found, slots):
+                held[at] = True
+        packed = np.packbits(held, bitorder="little").view(np.int64)
+        used = np.flatnonzero(packed)
+        yield pa.RecordBatch.from_pydict({"i": used, "w": packed[used]})
 
     rows = reached.select("lang", "phrase").mapInArrow(place, "i long, w long").groupBy("i").agg(
         F.bit_or("w").alias("w")).toPandas()
-    words = np.zeros(bits >> 6, np.uint64)
-    words[rows["i"].to_numpy(np.int64)] = rows["w"].to_numpy(np.int64).view(np.uint64)
-    return size, Filter(bits, words)
+    packed = np.zeros(slots >> 6, np.int64)
+    packed[rows["i"].to_numpy(np.int64)] = rows["w"].to_numpy(np.int64)
+    return np.unpackbits(packed.view(np.uint8), bitorder="little").astype(bool)
 
 
 # ---- counting a block of text ------------------------------------------------------------------
@@ -156,48 +147,37 @@ def _words(data: bytes) -> tuple[pa.Array, np.ndarray, np.ndarray]:
             piece[some])
 
 
-def count_block(data: bytes, lang: str, now: Filter | None, before: Sequence[Filter | None],
-                longest: int) -> Iterator[tuple[int, pa.Array, np.ndarray]]:
-    """(length, phrases, counts) of what is to be counted in a block of plain text.
-
-    ``before`` are the filters with which the same text was scanned before, None
-    for a scan of words alone; these are counted in the first scan only.
-    """
+def count_block(data: bytes, lang: str, filled: np.ndarray, step: int, shards: int,
+                longest: int) -> Iterator[tuple[int, pa.Array, np.ndarray, np.ndarray]]:
+    """(length, phrases, counts, active since) of what a step counts in a block of plain text."""
     known, word, piece = _words(data)
     if not len(word):
         return
     by_word = _hashes(known.to_pylist())
     hashes = _extended(np.full(len(by_word), xxhash.xxh64_intdigest(lang.encode()), np.uint64), by_word)
-    if not before:
-        yield 1, known, np.bincount(word, minlength=len(known))
-    if now is None:
-        return
-    filters = [now, *(f for f in before if f is not None)]
-    # per filter and distinct phrase of the length before: whether it is active and passes
-    often = [f.passes(hashes) for f in filters]
+    if step < shards:
+        yield 1, known, np.bincount(word, minlength=len(known)), np.zeros(len(known), np.uint8)
+    # since when each distinct phrase of the length before is known to be frequent
+    often = since(filled, hashes)
     phrase, spelled = word, [np.arange(len(known))]  # number at each place, words of each number
     for k in range(2, longest + 1):
         left, right = phrase[:-1], phrase[1:]
-        if k == 2:
-            there = piece[:-1] == piece[1:]
-        else:
-            there = (left >= 0) & (right >= 0)
-        there = np.flatnonzero(there)
-        there = there[often[0][left[there]] & often[0][right[there]]]
+        there = np.flatnonzero(piece[:-1] == piece[1:] if k == 2 else (left >= 0) & (right >= 0))
+        there = there[np.maximum(often[left[there]], often[right[there]]) <= step]
         if not len(there):
             return
         size = len(spelled[0])
         number, pairs = pd.factorize(left[there] * size + right[there])
         first, last = pairs // size, pairs % size
         spelled = [s[first] for s in spelled] + [spelled[-1][last]]
-        active = [f[first] & f[last] for f in often]
-        fresh = active[0] & ~np.logical_or.reduce([np.zeros_like(active[0]), *active[1:]])
-        wanted = np.flatnonzero(fresh)
+        active = np.maximum(often[first], often[last])
+        wanted = np.flatnonzero(active.astype(int) > step - shards)
         if len(wanted):
             parts = [known.take(pa.array(s[wanted])) for s in spelled]
-            yield k, pc.binary_join_element_wise(*parts, b" "), np.bincount(number, minlength=len(pairs))[wanted]
+            yield (k, pc.binary_join_element_wise(*parts, b" "),
+                   np.bincount(number, minlength=len(pairs))[wanted], active[wanted])
         hashes = _extended(hashes[first], by_word[spelled[-1]])
-        often = [a & f.passes(hashes) for a, f in zip(active, filters)]
+        often = np.maximum(active, since(filled, hashes))
         longer = np.full(len(phrase) - 1, -1)
         longer[there] = number
         phrase = longer
@@ -233,12 +213,12 @@ def frequent_phrases(
     least: int = LEAST,
     longest: int = LONGEST,
     shards: int = SHARDS,
-    most_bits: int = MOST_BITS,
+    slots: int = SLOTS,
 ) -> tuple[DataFrame, DataFrame]:
     """Phrases (lang, k, phrase, n) of up to ``longest`` words seen ``least`` times; words per lang.
 
-    Intermediate tables lie in shared storage: the shards, and one table of
-    counts a step, of which there are some ``longest * shards``.
+    Intermediate tables lie in shared storage: the shards, the counts of each
+    step, of which there are ``longest * shards`` at most, and the exact sums.
     """
     spark = docs.sparkSession
     ready_for_python(spark)
@@ -249,66 +229,43 @@ def frequent_phrases(
         "shard").option("compression", "zstd").parquet(f"{folder}/shards")
     schema = "lang string, text binary, shard long"
     dealt = spark.read.schema(schema).parquet(f"{folder}/shards")
-    # a frequent phrase has this many occurrences in one shard at least
-    strong = -(-least // shards)
-    steps, sizes, filters = [], [], []
-    exact = spark.createDataFrame([], "lang string, phrase binary")
-    while True:
-        step = len(steps)
-        size, now = 0, None
-        if step:
-            if step % shards == 0:
-                exact = materialize(exact.union(_completed(spark, steps, least, longest, shards)).distinct())
-            reached = materialize(exact.union(_often(
-                _counts(spark, steps).filter("strong"), least, longest)).distinct())
-            size, now = _filter_of(reached, most_bits)
-        if step >= shards and size == sizes[step - shards]:
-            # nothing new for a cycle: unless the last cycle's sums say otherwise, all is counted
-            more = _completed(spark, steps, least, longest, shards)
-            if not more.join(reached, ["lang", "phrase"], "left_anti").limit(1).count():
-                break
-            exact = materialize(exact.union(more).distinct())
-            size, now = _filter_of(materialize(exact.union(reached).distinct()), most_bits)
-        sizes.append(size)
-        filters.append(now)
-        shared = spark.sparkContext.broadcast((now, filters[step - shards::-shards] if step >= shards else []))
+    # a slot for every eight letters, as far as there are so many
+    size = dealt.agg(F.sum(F.octet_length("text")).alias("n")).first().n or 0
+    slots = min(slots, max(64, 1 << (size // 8).bit_length()))
+    filled, changed, step, sums = np.full(slots, NEVER, np.uint8), 0, 0, []
+    while step < changed + shards:
+        shared = spark.sparkContext.broadcast(filled)  # ``slots`` bytes
 
         def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            now, before = shared.value
             for name, data in _blocks(batches):
-                for k, phrases, n in count_block(data, name, now, before, longest):
+                for k, phrases, n, active in count_block(data, name, shared.value, step, shards, longest):
                     yield pa.RecordBatch.from_pydict({
                         "lang": pa.array([name] * len(n), pa.string()), "k": pa.array(np.full(len(n), k, np.int32)),
-                        "phrase": phrases, "n": pa.array(n, pa.int64())})
+                        "phrase": phrases, "n": pa.array(n, pa.int64()),
+                        "since": pa.array(active.astype(np.int32)), "large": pa.array(n >= LARGE)})
 
-        found = dealt.filter(F.col("shard") == step % shards).select("lang", "text").mapInArrow(count, COUNTS)
-        path = f"{folder}/counts-{step}"
-        found.groupBy("lang", "k", "phrase").agg(F.sum("n").alias("n")).withColumn(
-            "strong", F.col("n") >= strong).write.partitionBy("strong").parquet(path)
-        steps.append(path)
+        dealt.filter(F.col("shard") == step % shards).select("lang", "text").mapInArrow(
+            count, COUNTS).write.partitionBy("since", "large").parquet(f"{folder}/counts/step={step}")
         shared.unpersist()
-    counts = _counts(spark, steps)
-    words = materialize(counts.filter("k = 1").groupBy("lang").agg(F.sum("n").alias("n")))
-    often = materialize(counts.groupBy("lang", "k", "phrase").agg(F.sum("n").alias("n")).filter(
-        F.col("n") >= least).select("lang", "k", F.col("phrase").cast("string").alias("phrase"), "n"))
+        step += 1
+        counts = spark.read.schema(f"{COUNTS}, step int").parquet(f"{folder}/counts")
+        reached = counts.filter(F.col("large") & (F.col("since") > step - shards) & (F.col("k") < longest))
+        reached = _frequent(reached, least).select("lang", "phrase")
+        if step >= shards:
+            # all shards have met the phrases active since then
+            sums.append(materialize(_frequent(counts.filter(F.col("since") == step - shards), least)))
+            reached = reached.union(sums[-1].filter(F.col("k") < longest).select("lang", "phrase"))
+        fresh = _set_slots(reached, slots) & (filled == NEVER)
+        if fresh.any():
+            filled, changed = np.where(fresh, np.uint8(step), filled), step
+    words = materialize(spark.read.schema(f"{COUNTS}, step int").parquet(f"{folder}/counts").filter(
+        "k = 1").groupBy("lang").agg(F.sum("n").alias("n")))
+    often = reduce(DataFrame.union, sums).select("lang", "k", F.col("phrase").cast("string").alias("phrase"), "n")
     return often, words
 
 
-def _counts(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
-    """The steps' counts; a partition tells those that are large in their shard."""
-    parts = [spark.read.schema(f"{COUNTS}, strong boolean").parquet(p) for p in paths]
-    return reduce(DataFrame.union, parts)
-
-
-def _often(counts: DataFrame, least: int, longest: int) -> DataFrame:
-    """Phrases, short enough to be part of a longer one, that the counts show to be frequent."""
-    return counts.filter(F.col("k") < longest).groupBy("lang", "phrase").agg(
-        F.sum("n").alias("n")).filter(F.col("n") >= least).select("lang", "phrase")
-
-
-def _completed(spark: SparkSession, paths: Sequence[str], least: int, longest: int, shards: int) -> DataFrame:
-    """Frequent phrases among those whose cycle ended during the last one: two cycles hold all of theirs."""
-    return _often(_counts(spark, paths[-2 * shards:]), least, longest)
+def _frequent(counts: DataFrame, least: int) -> DataFrame:
+    return counts.groupBy("lang", "k", "phrase").agg(F.sum("n").alias("n")).filter(F.col("n") >= least)
 
 
 # ---- scores ------------------------------------------------------------------------------------

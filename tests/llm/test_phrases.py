@@ -62,10 +62,10 @@ def corpus(spark):
     return documents(spark, *texts, langs=langs), list(zip(langs, texts))
 
 
-@pytest.mark.parametrize("shards, least, bits", [(1, 2, 1 << 28), (2, 5, 1 << 28), (3, 12, 1 << 12), (5, 30, 64), (3, 1, 1 << 12)])
-def test_counts_equal_brute_force(spark, shards, least, bits):
+@pytest.mark.parametrize("shards, least, slots", [(2, 5, 1 << 26), (3, 12, 1 << 10), (4, 30, 64)])
+def test_counts_equal_brute_force(spark, shards, least, slots):
     docs, rows = corpus(spark)
-    often, total = frequent_phrases(docs, least=least, shards=shards, most_bits=bits)
+    often, total = frequent_phrases(docs, least=least, shards=shards, slots=slots)
     counts, by_lang = counted(rows)
     got = {(r.lang, tuple(r.phrase.split(" "))): r.n for r in often.collect()}
     assert got == {p: n for p, n in counts.items() if n >= least}
@@ -82,15 +82,16 @@ def test_phrases_wait_for_both_parts_and_stop_after_a_cycle(spark, monkeypatch):
     real = phrases.scratch_folder
     monkeypatch.setattr(phrases, "scratch_folder", lambda s: folder.append(real(s)) or folder[0])
     frequent_phrases(docs, least=12, shards=3)
-    lengths, seen = [], set()
-    for step in range(len(list(Path(folder[0].removeprefix("file:")).glob("counts-*")))):
-        part = spark.read.parquet(f"{folder[0]}/counts-{step}").collect()
+    steps = len(list(Path(folder[0].removeprefix("file:")).glob("counts/step=*")))
+    lengths, seen, first = [], set(), {}
+    for step in range(steps):
+        part = spark.read.schema(phrases.COUNTS).parquet(f"{folder[0]}/counts/step={step}").collect()
         lengths.append({r.k for r in part})
-        keys = {(step % 3, r.lang, r.phrase) for r in part}
-        assert not keys & seen and len(keys) == len(part)
-        seen |= keys
+        for r in part:
+            assert r.since <= step < r.since + 3
+            assert first.setdefault((r.lang, r.phrase), r.since) == r.since
     assert lengths[0] == {1} and lengths[1] >= {1, 2} and 1 not in set().union(*lengths[3:])
-    assert 2 in lengths[1] and any({2, 3} <= k for k in lengths)
+    assert any({2, 3} <= k for k in lengths) and any(4 in k for k in lengths) and steps <= 12
 
 
 def test_long_texts_are_cut_at_breaks(monkeypatch):
@@ -106,16 +107,18 @@ def test_long_texts_are_cut_at_breaks(monkeypatch):
 
 def test_filters_pass_what_they_hold(spark):
     rows = [("en", bytearray(f"a{i} b{i % 7} c".encode())) for i in range(500)] + [("de", bytearray(b"a"))]
-    df = spark.createDataFrame(rows, "lang string, phrase binary")
-    size, held = phrases._filter_of(df, 1 << 28)
+    found = phrases._set_slots(spark.createDataFrame(rows, "lang string, phrase binary"), 1 << 13)
+    filled = np.where(found, np.uint8(3), np.uint8(phrases.NEVER))
+
     def hashed(lang, phrase):
         x = phrases._hashes([lang.encode()])
         for w in phrase.split(b" "):
             x = phrases._extended(x, phrases._hashes([w]))
         return x[0]
-    assert size == 501 and held.passes(np.array([hashed(la, bytes(p)) for la, p in rows])).all()
+
+    assert (phrases.since(filled, np.array([hashed(la, bytes(p)) for la, p in rows])) == 3).all()
     others = np.array([hashed("en", f"a{i} b".encode()) for i in range(2000)])
-    assert held.passes(others).mean() < 0.1
+    assert (phrases.since(filled, others) == 3).mean() < 0.1
 
 
 def test_awkward_documents(spark):
