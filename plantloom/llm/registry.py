@@ -11,6 +11,7 @@ from plantloom.llm.pii import op10_pii
 from plantloom.llm.piece_bpe import op4_piece_encoding
 from plantloom.llm.quality_ordinal import op6_quality_ordinal
 from plantloom.llm.quality_rules import OP8_SQL, op8_quality_rules
+from plantloom.llm.repeats import op12_repeats
 from plantloom.llm.secret_scan import op2_secret_scan
 from plantloom.llm.simhash import op9_simhash
 from plantloom.llm.whitening import op13_whitening
@@ -18,7 +19,7 @@ from plantloom.llm.whitening import op13_whitening
 QUERIES = {q.__name__: q for q in (
     op1_language_id, op2_secret_scan, op3_chat_format, op4_piece_encoding, op5_source_mix,
     op6_quality_ordinal, op7_exact_dedup, op8_quality_rules, op9_simhash, op10_pii, op11_phrases,
-    op13_whitening)}
+    op12_repeats, op13_whitening)}
 
 ORACLE = {
     "op3_chat_format": OP3_SQL,
