@@ -54,7 +54,7 @@ LEAST = 30
 LONGEST = 4
 PER_LANG = 2000
 SHARDS = 3
-SLOTS = 1 << 26
+SLOTS = 1 << 24
 # Counts of a block that are added up before their cycle ends.
 LARGE = 5
 HASHES = 4
@@ -229,9 +229,9 @@ def frequent_phrases(
         "shard").option("compression", "zstd").parquet(f"{folder}/shards")
     schema = "lang string, text binary, shard long"
     dealt = spark.read.schema(schema).parquet(f"{folder}/shards")
-    # a slot for every eight letters, as far as there are so many
+    # a slot for every 16 bytes of text, as far as there are so many
     size = dealt.agg(F.sum(F.octet_length("text")).alias("n")).first().n or 0
-    slots = min(slots, max(64, 1 << (size // 8).bit_length()))
+    slots = min(slots, max(64, 1 << (size // 16).bit_length()))
     filled, changed, step, sums = np.full(slots, NEVER, np.uint8), 0, 0, []
     while step < changed + shards:
         shared = spark.sparkContext.broadcast(filled)  # ``slots`` bytes
@@ -255,9 +255,10 @@ def frequent_phrases(
             # all shards have met the phrases active since then
             sums.append(materialize(_frequent(counts.filter(F.col("since") == step - shards), least)))
             reached = reached.union(sums[-1].filter(F.col("k") < longest).select("lang", "phrase"))
-        fresh = _set_slots(reached, slots) & (filled == NEVER)
+        fresh = _set_slots(reached, slots)
+        fresh &= filled == NEVER
         if fresh.any():
-            filled, changed = np.where(fresh, np.uint8(step), filled), step
+            filled[fresh], changed = step, step
     words = materialize(spark.read.schema(f"{COUNTS}, step int").parquet(f"{folder}/counts").filter(
         "k = 1").groupBy("lang").agg(F.sum("n").alias("n")))
     often = reduce(DataFrame.union, sums).select("lang", "k", F.col("phrase").cast("string").alias("phrase"), "n")

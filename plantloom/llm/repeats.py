@@ -21,9 +21,9 @@ only tell where to look: what is removed was matched word by word.
 
 Scale: tables are joined and grouped by anchor or by document, counts and minima
 are taken in the map tasks first. A shard is a document's passages, whatever the
-corpus; if very many passages refer to one, they are dealt to several tasks, ``STREAMED`` of
-an anchor to each, with an automaton of their own, in place of one broadcast
-that no size bounds. Nothing is gathered on the driver.
+corpus; if very many passages refer to one, they are dealt to several tasks,
+``STREAMED`` of an anchor to each, with an automaton of their own, in place of
+one broadcast that no size bounds. Nothing is gathered on the driver.
 
 Defined results: null text is empty; a null id counts as the largest; rows that
 share an id are documents of their own, in the order of the input. Texts shorter
@@ -40,8 +40,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from plantloom.llm.phrases import _extended, _hashes, _words
-from plantloom.llm.tables import packed, quoted, read, ready_for_python, text_of, unpacked
-from plantloom.session import materialize
+from plantloom.llm.tables import quoted, read, ready_for_python, text_of
+from plantloom.session import materialize, scratch_folder
 
 WINDOW = 20
 ANCHOR = 6
@@ -136,10 +136,17 @@ def _windows(texts: list[bytes], anchor: int, window: int):
     run = hashes[:len(hashes) - anchor + 1].copy()
     for j in range(1, anchor):
         run = _extended(run, hashes[j:len(hashes) - anchor + 1 + j])
-    lowest = np.lib.stride_tricks.sliding_window_view(run, window - anchor + 1).argmin(axis=1)
+    # the smallest hash from each word on, over ever longer stretches, and the first place that has it
+    span, smallest, reach = window - anchor + 1, run, 1
+    while reach < span:
+        more = min(reach, span - reach)
+        smallest, reach = np.minimum(smallest[:-more], smallest[more:]), reach + more
     starts = np.flatnonzero(owner[:count] == owner[window - 1:])
-    places = starts + lowest[starts]
-    return data, owner, starts, run[places], places
+    smallest, places = smallest[starts], np.empty(len(starts), np.int64)
+    for j in reversed(range(span)):
+        there = run[starts + j] == smallest
+        places[there] = starts[there] + j
+    return data, owner, starts, smallest, places
 
 
 def _batches(batches: Iterator[pa.RecordBatch], column: str) -> Iterator[pa.RecordBatch]:
@@ -181,11 +188,12 @@ def _passages(texts: DataFrame, anchor: int, window: int, streamed: int) -> Data
     ``target`` is that document, ``parts`` and ``part`` deal out what refers to it;
     ``streamed`` is false for the passages an automaton is made of.
     """
-    found = _anchors(texts, anchor, window)
+    found = materialize(_anchors(texts, anchor, window))
     repeated = found.groupBy("anchor").agg(
         F.sum("n").alias("total"), F.min(F.struct("d", "r")).alias("first")).filter("total > 1")
-    hits = found.join(repeated, "anchor").groupBy("r", "start").agg(
-        F.collect_list(F.struct("anchor", F.col("first.r").alias("target"), "total")).alias("hits"))
+    hits = materialize(found.join(repeated, "anchor").groupBy("r", "start").agg(
+        F.collect_list(F.struct("anchor", F.col("first.r").alias("target"), "total")).alias("hits")))
+    drop_old_shuffles(texts.sparkSession)
     rows = texts.join(hits.withColumnsRenamed({"r": "_r", "start": "_start"}),
                       (F.col("r") == F.col("_r")) & (F.col("start") == F.col("_start"))).select(
         "d", "r", "start", "text", "hits.anchor", "hits.target", "hits.total")
@@ -281,11 +289,26 @@ def _runs(flags: np.ndarray) -> list[tuple[int, int]]:
 # ---- the operator ------------------------------------------------------------------------------
 
 def numbered(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """(row, d, r, start, text): the documents with their place in the order, written once."""
-    rows = packed(docs, d=F.coalesce(quoted(doc_id).cast("long"), F.lit(LAST)),
-                  r=F.monotonically_increasing_id(), start=F.lit(0).cast("long"),
-                  text=text_of(quoted(text)).cast("binary"))
-    return materialize(rows)
+    """(row, d, r, start, text): the documents with their place in the order, written once.
+
+    ``row`` holds the columns beside the text.
+    """
+    rows = docs.select(F.struct(*[quoted(c) for c in docs.columns if c != text]).alias("row"),
+                       F.coalesce(quoted(doc_id).cast("long"), F.lit(LAST)).alias("d"),
+                       F.monotonically_increasing_id().alias("r"), F.lit(0).cast("long").alias("start"),
+                       text_of(quoted(text)).cast("binary").alias("text"))
+    folder = scratch_folder(docs.sparkSession)
+    rows.write.option("compression", "zstd").parquet(folder)
+    return docs.sparkSession.read.schema(rows.schema).parquet(folder)
+
+
+def drop_old_shuffles(spark: SparkSession) -> None:
+    """Have Spark remove the shuffle files of plans that are done with.
+
+    It does so for whatever the driver's garbage collection finds unused, which
+    would otherwise come only when the driver is short of memory.
+    """
+    spark.sparkContext._jvm.System.gc()
 
 
 def repeated_spans(rows: DataFrame, window: int = WINDOW, anchor: int = ANCHOR,
@@ -293,9 +316,13 @@ def repeated_spans(rows: DataFrame, window: int = WINDOW, anchor: int = ANCHOR,
     """(r, start, end): spans of words to remove from ``numbered`` rows; they may touch or overlap."""
     ready_for_python(rows.sparkSession)
     one = materialize(_matched(_passages(rows.select("d", "r", "start", "text"), anchor, window, streamed), window))
+    drop_old_shuffles(rows.sparkSession)
     open_ = one.filter("text IS NOT NULL").select("d", "r", "start", "text")
     two = _matched(_passages(open_, window, window, streamed), window)
-    return one.filter("text IS NULL").union(two.filter("text IS NULL")).select("r", "start", "end")
+    found = one.filter("text IS NULL").union(two.filter("text IS NULL")).select("r", "start", "end")
+    found = materialize(found)
+    drop_old_shuffles(rows.sparkSession)
+    return found
 
 
 def without_repeats(rows: DataFrame, spans: DataFrame) -> DataFrame:
@@ -329,13 +356,13 @@ def drop_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
     """The documents, same columns, their text being the words that stay."""
     rows = numbered(docs, doc_id, text)
     found = without_repeats(rows, repeated_spans(rows))
-    return unpacked(found.select(F.col("row").withField(f"`{text}`", F.col("kept")).alias("row")))
+    return found.select(*[F.col("kept").alias(c) if c == text else F.col("row").getField(c).alias(c)
+                          for c in docs.columns])
 
 
 def op12_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What stays of every document without the passages that occur before."""
     rows = numbered(read(spark, sf_dir, "documents").select("doc_id", "text"))
-    rows = rows.withColumn("row", F.struct("row.doc_id"))
     found = without_repeats(rows, repeated_spans(rows))
     return found.select("row.doc_id", "n_words", "n_removed",
                         F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
