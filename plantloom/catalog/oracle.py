@@ -137,6 +137,12 @@ ORACLE = {
     "load_system_tables": _cells(),
     "load_extra_columns": sql("MARC_WIDE", "SELECT SOURCE_SYSTEM_ERP, MATNR, WERKS, EISBE, AUSDT, "
                                            f"WEBAZ FROM MARC_WIDE WHERE {IN_USE}"),
+    "load_own_columns": sql(
+        "MARC_PRE MARC_PRD T001W_PRE",
+        "SELECT 'PRE' AS system_name, 'MARC' AS table_name, WERKS, CAST(NULL AS DATE) AS own_date, "
+        "ZZPSPER AS own_number FROM MARC_PRE WHERE SOURCE_SYSTEM_ERP = 'PRE' UNION ALL "
+        "SELECT 'PRE', 'T001W', WERKS, ZGOLIVEDATE, NULL FROM T001W_PRE UNION ALL "
+        "SELECT 'PRD', 'MARC', WERKS, ZZREVIEWDT, NULL FROM MARC_PRD WHERE SOURCE_SYSTEM_ERP = 'PRD'"),
     "validated_write_roundtrip": sql(LOCAL, "SELECT * FROM local"),
 
     "prep_general_material": sql("MARA general", "SELECT * FROM general"),

@@ -20,7 +20,7 @@ from plantloom.operators.union import harmonize
 from plantloom.plans import material, orders, system
 from plantloom.plans.keys import add_primary_keys
 from plantloom.session import scratch_folder
-from plantloom.sources.entities import entity_path, write_entity
+from plantloom.sources.entities import read_entity, write_entity
 from plantloom.sources.extracts import load_system, read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -75,7 +75,7 @@ def load_system_tables(spark, sf_dir):
         config = write_extracts(spark, sf_dir, folder, name, SOURCE_DDL)
         for table, df in load_system(spark, config, SOURCE_DDL).items():
             cells = [F.col(f.name).cast("decimal(18,2)") if f.dataType.simpleString() == "double"
-                     else F.col(f.name) for f in source_contract(name, table)]
+                     else F.col(f.name) for f in source_contract(name, table) if f.name in df.columns]
             rows.append(df.select(
                 F.lit(name).alias("system_name"), F.lit(table).alias("table_name"),
                 F.concat_ws("|", *[F.coalesce(c.cast("string"), F.lit("~")) for c in cells])
@@ -95,13 +95,32 @@ def load_extra_columns(spark, sf_dir):
     return reduce(DataFrame.unionByName, rows)
 
 
+@query
+def load_own_columns(spark, sf_dir):
+    """Columns that one system alone has, typed by its contract: dates and a number of either."""
+    folder, rows = scratch_folder(spark), []
+    dates = {"PRE": ("T001W", "ZGOLIVEDATE"), "PRD": ("MARC", "ZZREVIEWDT")}
+    for name in SYSTEMS:
+        own = {"MARC": view(spark, sf_dir, f"MARC_{name}").filter(F.col("SOURCE_SYSTEM_ERP") == name)}
+        if name == "PRE":
+            own["T001W"] = view(spark, sf_dir, "T001W_PRE")
+        for table, df in own.items():
+            df.write.csv(f"{folder}/{name}_{table}.csv", header=True)
+        for table, df in load_system(spark, {"name": name, "path": f"{folder}/"}, own).items():
+            day = F.col(dates[name][1]) if table == dates[name][0] else F.lit(None).cast("date")
+            number = F.col("ZZPSPER") if "ZZPSPER" in df.columns else F.lit(None).cast("int")
+            rows.append(df.select(F.lit(name).alias("system_name"), F.lit(table).alias("table_name"),
+                                  "WERKS", day.alias("own_date"), number.alias("own_number")))
+    return reduce(DataFrame.union, rows)
+
+
 @query
 def validated_write_roundtrip(spark, sf_dir):
     root = scratch_folder(spark)
     for name, entity in _per_system(spark, sf_dir, material.local_material, material.TABLES).items():
         if not write_entity(entity, root, material.ENTITY, name):
             raise RuntimeError("local material breaks its contract")
-    return spark.read.parquet(*[entity_path(root, material.ENTITY, name) for name in SYSTEMS])
+    return reduce(DataFrame.union, [read_entity(spark, root, material.ENTITY, s) for s in SYSTEMS])
 
 
 # ---- preparation of the material side ------------------------------------------------------
@@ -430,7 +449,7 @@ def _run_both(spark, sf_dir, entity):
     done = system.run(spark, configs, f"{folder}/output", options)
     if not done[entity]:
         raise RuntimeError(f"{entity} was not written")
-    return spark.read.parquet(entity_path(f"{folder}/output", entity))
+    return read_entity(spark, f"{folder}/output", entity)
 
 
 @query

@@ -131,6 +131,19 @@ VIEWS["MARC_WIDE"] = VIEWS["MARC"].replace(
     "AS sur_pkey", "AS sur_pkey, CAST(l_quantity AS DOUBLE) AS EISBE, "
     "CAST(l_shipdate AS DATE) AS AUSDT, CAST(l_linenumber AS INT) AS WEBAZ")
 
+# Plant data and plants with columns that one system alone has.
+VIEWS["MARC_PRE"] = VIEWS["MARC"].replace(
+    "AS sur_pkey", "AS sur_pkey, CAST(l_linenumber AS INT) AS ZZPSPER, l_returnflag AS ZZPSREV")
+VIEWS["MARC_PRD"] = VIEWS["MARC"].replace(
+    "AS sur_pkey", "AS sur_pkey, CAST(l_shipdate AS DATE) AS ZZREVIEWDT, l_returnflag AS ZZMSDS_REQ")
+VIEWS["T001W_PRE"] = """
+        SELECT '100' AS MANDT, CAST(s_suppkey AS STRING) AS WERKS, s_name AS NAME1,
+               CAST(s_suppkey AS STRING) AS BWKEY,
+               CASE WHEN s_suppkey % 7 <> 0
+                    THEN CAST('2020-01-01' AS DATE) + CAST(s_suppkey % 900 AS INT) END AS ZGOLIVEDATE,
+               CAST(s_nationkey AS STRING) AS ZVKORG
+        FROM {supplier}"""
+
 INPUTS = ("part", "lineitem", "supplier", "nation", "orders")
 
 

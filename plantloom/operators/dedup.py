@@ -9,6 +9,9 @@ from pyspark.sql import functions as F
 
 from plantloom.checks import require_columns
 
+# Tasks that a heavy key's rows are dealt to where they are counted.
+SPREAD = 16
+
 
 def first_by(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:
     """The first row of each key in the given order.
@@ -24,14 +27,25 @@ def first_by(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> Dat
 def with_group_size(df: DataFrame, keys: Sequence[str], name: str) -> DataFrame:
     """All rows, each with the number of rows that share its key.
 
-    Counts are aggregated (partially per map task) and joined back: a window
-    would need every row of a heavy key in one task.
+    The input is read and shuffled once, by key and one of ``SPREAD`` salts, so
+    that a heavy key's rows come to several tasks. There they are counted; the
+    counts, a row per key and salt, are summed by key and joined back to the same
+    shuffled rows. A window would need every row of a key in one task.
     """
     require_columns(df, keys)
-    sizes = df.groupBy(*[F.col(k).alias(f"_{k}") for k in keys]).agg(
-        F.count(F.lit(1)).alias(name))
-    same_key = [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys]
-    return df.join(sizes, same_key, "inner").select(*df.columns, name)
+    # by place and content, so that neither sorted input nor equal rows end in one salt
+    place = F.spark_partition_id() + F.xxhash64(*[F.col(_quoted(c)) for c in df.columns])
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = df.withColumn("_salt", F.pmod(place, F.lit(SPREAD)).cast("int")).repartition(
+        parts, *[F.col(_quoted(k)) for k in keys], "_salt")
+    counts = dealt.groupBy(*[F.col(_quoted(k)).alias(f"_{k}") for k in keys],
+                           F.col("_salt").alias("__salt")).agg(F.count(F.lit(1)).alias("_n"))
+    sums = counts.groupBy(*[F.col(_quoted(f"_{k}")) for k in keys]).agg(
+        F.sum("_n").alias(name), F.collect_list("__salt").alias("_salts")).withColumn(
+        "__salt", F.explode("_salts")).drop("_salts")
+    same_key = [F.col(_quoted(k)).eqNullSafe(F.col(_quoted(f"_{k}"))) for k in keys]
+    return dealt.join(sums, [*same_key, F.col("_salt") == F.col("__salt")], "inner").select(
+        *[F.col(_quoted(c)) for c in df.columns], _quoted(name))
 
 
 def collapse(df: DataFrame, keys: Sequence[str], count: str) -> DataFrame:

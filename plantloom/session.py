@@ -1,21 +1,55 @@
-"""Where jobs may put intermediate tables."""
+"""Where jobs may put intermediate tables, and small files of shared storage."""
 
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from urllib.parse import urlparse
 
 from pyspark.sql import DataFrame, SparkSession
 
 
-def scratch_folder(spark: SparkSession) -> str:
-    """A new folder below storage that the driver and all executors share.
+def shared_root(checkpoint: str | None, warehouse: str, master: str) -> str:
+    """Storage that the driver and all executors share.
 
     That is ``spark.checkpoint.dir`` where the session names one, else the
-    session's warehouse folder.
+    session's warehouse; a warehouse on a machine's own disk is shared by nobody
+    unless everything runs there.
+    """
+    if checkpoint:
+        return checkpoint.rstrip("/")
+    if urlparse(warehouse).scheme in ("", "file") and not master.startswith("local"):
+        raise RuntimeError(f"{warehouse} is a folder of this machine: set spark.checkpoint.dir "
+                           "to storage that all executors share")
+    return warehouse.rstrip("/")
+
+
+def scratch_folder(spark: SparkSession) -> str:
+    """A new folder in shared storage, gone when the application's JVM ends.
+
+    All of an application's scratch folders lie in one, which Hadoop's file
+    system removes when it is closed. ``scratch`` and ``remove`` are for what can
+    go earlier.
     """
-    shared = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get(
-        "spark.sql.warehouse.dir")
-    return f"{shared.rstrip('/')}/plantloom-{uuid.uuid4().hex}"
+    root = shared_root(spark.conf.get("spark.checkpoint.dir", None),
+                       spark.conf.get("spark.sql.warehouse.dir"), spark.sparkContext.master)
+    own = f"{root}/plantloom-{spark.sparkContext.applicationId}"
+    files, path = storage(spark, own)
+    if not files.exists(path):
+        files.mkdirs(path)
+        files.deleteOnExit(path)
+    return f"{own}/{uuid.uuid4().hex}"
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[str]:
+    """A scratch folder for the length of a block."""
+    folder = scratch_folder(spark)
+    try:
+        yield folder
+    finally:
+        remove(spark, folder)
 
 
 def materialize(df: DataFrame) -> DataFrame:
@@ -27,3 +61,62 @@ def materialize(df: DataFrame) -> DataFrame:
     folder = scratch_folder(df.sparkSession)
     df.write.parquet(folder)
     return df.sparkSession.read.schema(df.schema).parquet(folder)
+
+
+# ---- files -------------------------------------------------------------------------------------
+
+def storage(spark: SparkSession, path: str):
+    """The file system a path lies in, and the path as it wants it."""
+    found = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return found.getFileSystem(spark._jsc.hadoopConfiguration()), found
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    files, found = storage(spark, path)
+    files.delete(found, True)
+
+
+def children(spark: SparkSession, path: str) -> list[str]:
+    """Names of what a folder holds; none if it does not exist."""
+    files, found = storage(spark, path)
+    if not files.exists(found):
+        return []
+    return [s.getPath().getName() for s in files.listStatus(found)]
+
+
+def read_small(spark: SparkSession, path: str) -> str | None:
+    """The text of a small file; None if there is none."""
+    files, found = storage(spark, path)
+    if not files.exists(found):
+        return None
+    stream = files.open(found)
+    try:
+        return spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
+def replace_small(spark: SparkSession, path: str, text: str) -> None:
+    """Put a small file in place of an older one, whole or not at all."""
+    files, found = storage(spark, path)
+    fresh = spark._jvm.org.apache.hadoop.fs.Path(f"{path}-{uuid.uuid4().hex}")
+    stream = files.create(fresh)
+    stream.write(bytearray(text.encode()))
+    stream.close()
+    kinds = spark._jvm.org.apache.hadoop.fs.Options.Rename
+    how = spark.sparkContext._gateway.new_array(kinds, 1)
+    how[0] = kinds.OVERWRITE
+    context = spark._jvm.org.apache.hadoop.fs.FileContext.getFileContext(
+        files.getUri(), spark._jsc.hadoopConfiguration())
+    context.rename(context.makeQualified(fresh), context.makeQualified(found), how)
+
+
+def stamps(spark: SparkSession, paths: Iterator[str]) -> list[str]:
+    """Name, size and time of change of every file that the paths (files, folders, globs) name."""
+    out = []
+    for path in paths:
+        files, found = storage(spark, path)
+        for status in files.globStatus(found) or []:
+            inside = files.listStatus(status.getPath()) if status.isDirectory() else [status]
+            out += [f"{s.getPath()} {s.getLen()} {s.getModificationTime()}" for s in inside]
+    return sorted(out)

@@ -99,13 +99,19 @@ def test_heavy_left_key_is_split(large, key):
     assert got.count() == left.count()
 
 
-def test_group_size_splits_a_heavy_group(large):
-    df = hot(large)
+def test_group_size_spreads_a_heavy_group(large, tmp_path):
+    hot(large).write.parquet(str(tmp_path / "t"))
+    df = large.read.parquet(str(tmp_path / "t"))
     got = with_group_size(df, ["k"], "n")
     plan = final_plan(got)
-    assert "SortMergeJoin(skew=true)" in plan and "Window" not in plan
+    # the input is scanned and shuffled once, and counted and joined from there
+    assert plan.count("FileScan") == 1 and "ReusedExchange" in plan and "Window" not in plan
     assert got.count() == 60000
     assert rows(got.filter("k = 'hot'").select("n").distinct()) == [(20000,)]
+    shares = tasks_of(got, "k = 'hot'")
+    assert len(shares) > 4 and max(shares) < 9000
+    sizes = df.groupBy("k").count()
+    assert got.join(sizes, "k").filter("n <> count").isEmpty()
 
 
 def test_copies_are_reduced_before_the_shuffle(large):

@@ -2,17 +2,21 @@
 
 import datetime
 import logging
-from types import SimpleNamespace
+import subprocess
+import sys
+import time
+from pathlib import Path
 
 import pytest
 from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from plantloom.catalog import queries as catalog
-from plantloom.contracts import SOURCE_DDL
+from plantloom.contracts import OWN_DDL, SOURCE_DDL, source_contract
 from plantloom.plans import material, orders, system
-from plantloom.session import materialize, scratch_folder
-from plantloom.sources.entities import entity_path, write_entity
+from plantloom.session import children, materialize, scratch, scratch_folder, shared_root
+from plantloom.sources import entities
+from plantloom.sources.entities import manifest, read_entity, write_entity
 from plantloom.sources.extracts import load_system, read_table, stage_tables
 from tests.frames import rows
 
@@ -97,18 +101,52 @@ def test_write_is_refused_when_the_contract_is_broken(spark, tmp_path, caplog):
         write_entity(good, root, material.ENTITY, "DEV")
     # without a system there is no check
     assert write_entity(turned, root, "local_material")
-    assert (tmp_path / "out" / "local_material" / "_SUCCESS").exists()
+    assert read_entity(spark, root, "local_material").columns == turned.columns
 
 
-def test_write_overwrites_and_partitions(spark, tmp_path):
+def test_write_replaces_and_partitions(spark, tmp_path):
     good = material.local_material(catalog.tables(spark, SF, material.TABLES))
-    root = str(tmp_path)
-    for _ in range(2):
+    root, folder, versions = str(tmp_path), tmp_path / "PRE" / material.ENTITY, []
+    for _ in range(3):
         assert write_entity(good, root, material.ENTITY, "PRE",
                             partition_by=["SOURCE_SYSTEM_ERP"])
-    back = spark.read.parquet(entity_path(root, material.ENTITY, "PRE"))
-    assert back.count() == good.count()
-    assert (tmp_path / "PRE" / material.ENTITY / "SOURCE_SYSTEM_ERP=PRD").exists()
+        versions.append(manifest(spark, root, material.ENTITY, "PRE")["version"])
+    assert read_entity(spark, root, material.ENTITY, "PRE").count() == good.count()
+    assert (folder / versions[-1] / "SOURCE_SYSTEM_ERP=PRD").exists()
+    # the version before stays for its readers, older ones go
+    assert {f.name for f in folder.iterdir() if not f.name.endswith(".crc")} == {"_current", *versions[1:]}
+
+
+def test_failed_write_leaves_the_published_entity(spark, tmp_path):
+    root = str(tmp_path)
+    with pytest.raises(FileNotFoundError):
+        read_entity(spark, root, "t")
+    assert write_entity(spark.range(100).toDF("n"), root, "t", made_from="a")
+    # some tasks write their files, one fails
+    halfway = spark.range(0, 100, 1, 8).select(
+        F.when(F.col("id") < 90, F.col("id")).otherwise(F.raise_error(F.lit("disk full"))).alias("n"))
+    with pytest.raises(Exception, match="disk full"):
+        write_entity(halfway, root, "t", made_from="b")
+    assert read_entity(spark, root, "t").count() == 100
+    assert manifest(spark, root, "t")["made_from"] == "a"
+    # a reader of the old version goes on while a new one is published
+    old = read_entity(spark, root, "t")
+    assert write_entity(spark.range(7).toDF("n"), root, "t")
+    assert old.count() == 100 and read_entity(spark, root, "t").count() == 7
+    assert len([f for f in (tmp_path / "t").iterdir() if f.is_dir()]) == 2
+
+
+def test_failure_before_the_switch_leaves_the_published_entity(spark, tmp_path, monkeypatch):
+    root = str(tmp_path)
+    assert write_entity(spark.range(5), root, "t")
+
+    def broken(*_):
+        raise OSError("no connection")
+
+    monkeypatch.setattr(entities, "replace_small", broken)
+    with pytest.raises(OSError, match="no connection"):
+        write_entity(spark.range(9), root, "t")
+    assert read_entity(spark, root, "t").count() == 5
 
 
 def test_staged_copies_are_narrow_and_equal(spark, tmp_path):
@@ -118,25 +156,48 @@ def test_staged_copies_are_narrow_and_equal(spark, tmp_path):
     staged = stage_tables(loaded, "PRE", str(tmp_path / "staged"))
     assert "LOADED_BY" in loaded["MARA"].columns
     for name, df in staged.items():
-        assert set(df.columns) == {c.split()[0] for c in SOURCE_DDL[name].split(", ")}
+        assert set(df.columns) == {c.split()[0] for c in SOURCE_DDL[name].split(", ")}  # no own ones here
         assert df.exceptAll(loaded[name].select(*df.columns)).isEmpty()
         assert df.count() == loaded[name].count()
 
 
-def session(**conf):
-    """As much of a session as choosing a folder needs; the settings are fixed at start-up."""
-    return SimpleNamespace(conf=conf)
-
-
-def test_scratch_folder_lies_in_shared_storage(spark):
-    assert scratch_folder(spark) != scratch_folder(spark)
-    named = session(**{"spark.checkpoint.dir": "hdfs://shared/tmp/",
-                       "spark.sql.warehouse.dir": "hdfs://shared/warehouse"})
-    one, two = scratch_folder(named), scratch_folder(named)
-    assert one != two and all(p.startswith("hdfs://shared/tmp/plantloom-") for p in (one, two))
-    # without that setting the warehouse's storage, whatever the master
-    default = session(**{"spark.sql.warehouse.dir": "s3a://bucket/warehouse"})
-    assert scratch_folder(default).startswith("s3a://bucket/warehouse/plantloom-")
+def test_scratch_lies_in_shared_storage(spark):
+    one, two = scratch_folder(spark), scratch_folder(spark)
+    assert one != two
+    assert one.startswith(f"{spark.conf.get('spark.checkpoint.dir')}/plantloom-")
+    assert shared_root("hdfs://shared/tmp/", "hdfs://shared/warehouse", "yarn") == "hdfs://shared/tmp"
+    assert shared_root("file:/mnt/shared", "file:/warehouse", "spark://host:7077") == "file:/mnt/shared"
+    # without that setting the warehouse's storage, unless it is some machine's own disk
+    assert shared_root(None, "s3a://bucket/warehouse", "yarn") == "s3a://bucket/warehouse"
+    assert shared_root(None, "file:/warehouse", "local[4]") == "file:/warehouse"
+    for own in ("file:/warehouse", "/warehouse"):
+        with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+            shared_root(None, own, "yarn")
+
+
+def test_scratch_of_a_block_is_removed(spark):
+    with scratch(spark) as folder:
+        spark.range(5).write.parquet(f"{folder}/rows")
+        assert children(spark, folder) == ["rows"]
+    assert children(spark, folder) == []
+
+
+def test_scratch_goes_with_the_application(tmp_path):
+    code = (
+        "from pyspark.sql import SparkSession\n"
+        "from plantloom.session import materialize\n"
+        "spark = SparkSession.builder.master('local[1]').config('spark.ui.enabled', 'false')"
+        f".config('spark.checkpoint.dir', '{tmp_path}').getOrCreate()\n"
+        "kept = materialize(spark.range(5))\n"
+        "import os\n"
+        f"assert kept.count() == 5 and len(os.listdir('{tmp_path}')) > 0\n"
+        "spark.stop()\n")
+    here = Path(__file__).resolve().parents[1]
+    subprocess.run([sys.executable, "-c", code], check=True, cwd=here, timeout=120)
+    deadline = time.monotonic() + 30  # the JVM ends after Python
+    while (left := [p for p in tmp_path.glob("plantloom-*")]) and time.monotonic() < deadline:
+        time.sleep(0.2)
+    assert not left
 
 
 def test_materialized_rows_are_read_back(spark):
@@ -162,13 +223,13 @@ def test_run_harmonizes_both_systems(spark, extracts, tmp_path, caplog):
         done = system.run(spark, extracts, root, OPTIONS)
     assert done == {"local_material": True, "process_order": True}
     for entity, name in system.ENTITIES.items():
-        both = spark.read.parquet(entity_path(root, entity))
-        parts = {s: spark.read.parquet(entity_path(root, name, s)) for s in ("PRE", "PRD")}
+        both = read_entity(spark, root, entity)
+        parts = {s: read_entity(spark, root, name, s) for s in ("PRE", "PRD")}
         assert both.count() == sum(p.count() for p in parts.values())
         for s, part in parts.items():
             assert {r[0] for r in part.select("SOURCE_SYSTEM_ERP").distinct().collect()} == {s}
     # counts seen while writing equal those of the output
-    local = spark.read.parquet(entity_path(root, "LOCAL_MATERIAL", "PRE"))
+    local = read_entity(spark, root, "LOCAL_MATERIAL", "PRE")
     seen = material.dedup_metrics(local).first()
     assert (f"PRE local material: {seen.rows_after} rows, "
             f"{seen.duplicates_removed} duplicates removed") in caplog.text
@@ -180,17 +241,49 @@ def test_run_with_one_system_harmonizes_nothing(spark, extracts, tmp_path):
     assert (tmp_path / "PRE" / "PROCESS_ORDER_SCHEMA").exists()
 
 
-def test_failing_system_ends_the_run(spark, extracts, tmp_path):
+def test_run_is_taken_up_where_it_failed(spark, extracts, tmp_path, monkeypatch):
+    loaded = []
+    real = system.load_system
+    monkeypatch.setattr(system, "load_system", lambda spark, config, names, extra: (
+        loaded.append((config["name"], set(names))) or real(spark, config, names, extra)))
+    root = str(tmp_path)
     with pytest.raises(AnalysisException):
-        system.run(spark, [extracts[0], {"name": "PRD", "path": f"{tmp_path}/none/"}],
-                   str(tmp_path), OPTIONS)
+        system.run(spark, [extracts[0], {"name": "PRD", "path": f"{tmp_path}/none/"}], root, OPTIONS)
+    # PRE is published all the same, and the next run leaves it alone
+    first = {e: manifest(spark, root, n, "PRE")["version"] for e, n in system.ENTITIES.items()}
+    loaded.clear()
+    done = system.run(spark, extracts, root, OPTIONS)
+    assert done == {"local_material": True, "process_order": True}
+    assert {name for name, _ in loaded} == {"PRD"}
+    assert first == {e: manifest(spark, root, n, "PRE")["version"] for e, n in system.ENTITIES.items()}
+    whole = {e: manifest(spark, root, e)["version"] for e in system.ENTITIES}
+    # a third run has nothing to do, harmonising included
+    loaded.clear()
+    assert system.run(spark, extracts, root, OPTIONS) == done and not loaded
+    assert whole == {e: manifest(spark, root, e)["version"] for e in system.ENTITIES}
+    # other options build what they concern again
+    later = system.SystemOptions(orders=orders.OrderOptions(as_of=datetime.date(2024, 3, 1)))
+    system.run(spark, extracts, root, OPTIONS | {"PRD": later})
+    assert loaded == [("PRD", set(orders.TABLES))]
+    assert manifest(spark, root, "local_material")["version"] == whole["local_material"]
+    assert manifest(spark, root, "process_order")["version"] != whole["process_order"]
+
+
+def test_changed_extracts_are_built_again(spark, tmp_path):
+    config = catalog.write_extracts(spark, SF, str(tmp_path / "in"), "PRE", SOURCE_DDL)
+    made = {e: system.made_from(spark, config, e, OPTIONS["PRE"]) for e in system.ENTITIES}
+    assert made == {e: system.made_from(spark, config, e, OPTIONS["PRE"]) for e in system.ENTITIES}
+    (tmp_path / "in" / "PRE_AUFK.csv" / "part-late.csv").write_text("AUFNR\n")
+    now = {e: system.made_from(spark, config, e, OPTIONS["PRE"]) for e in system.ENTITIES}
+    assert now["local_material"] == made["local_material"]
+    assert now["process_order"] != made["process_order"]
 
 
 def test_failing_harmonization_is_reported(spark, extracts, tmp_path, monkeypatch, caplog):
-    def broken(df, root, table, system=None, partition_by=()):
+    def broken(df, root, table, system=None, partition_by=(), made_from=None):
         if system is None and table == "process_order":
             raise OSError("disk full")
-        return write_entity(df, root, table, system, partition_by)
+        return write_entity(df, root, table, system, partition_by, made_from)
 
     monkeypatch.setattr(system, "write_entity", broken)
     done = system.run(spark, extracts, str(tmp_path), OPTIONS)
@@ -199,7 +292,7 @@ def test_failing_harmonization_is_reported(spark, extracts, tmp_path, monkeypatc
 
 
 def test_unwritten_entity_is_still_harmonized(spark, extracts, tmp_path, monkeypatch):
-    def refuse(df, root, table, system=None, partition_by=()):
+    def refuse(df, root, table, system=None, partition_by=(), made_from=None):
         return system is None and write_entity(df, root, table)
 
     monkeypatch.setattr(system, "write_entity", refuse)
@@ -208,6 +301,26 @@ def test_unwritten_entity_is_still_harmonized(spark, extracts, tmp_path, monkeyp
     assert not (tmp_path / "PRE").exists()
 
 
+def test_own_columns_are_typed_in_their_system_only(spark, tmp_path):
+    for name in ("PRE", "PRD"):
+        (tmp_path / f"{name}_MARC.csv").write_text(
+            "MATNR,ZZREVIEWDT,ZZPSPER,ZZPLT_ICM\n1,2024-01-31,7,x\n2,none,none,\n")
+        (tmp_path / f"{name}_T001W.csv").write_text("WERKS,ZGOLIVEDATE\n1,2020-02-29\n")
+    kinds = {}
+    for name in ("PRE", "PRD"):
+        for table, df in load_system(spark, {"name": name, "path": f"{tmp_path}/"}, ["MARC", "T001W"]).items():
+            kinds[name, table] = dict(df.dtypes)
+            if (name, table) == ("PRE", "MARC"):
+                assert rows(df, "MATNR", "ZZPSPER") == [("1", 7), ("2", None)]
+    assert kinds["PRE", "MARC"]["ZZPSPER"] == "int" and kinds["PRD", "MARC"]["ZZPSPER"] == "string"
+    assert kinds["PRD", "MARC"]["ZZREVIEWDT"] == "date" and kinds["PRE", "MARC"]["ZZREVIEWDT"] == "string"
+    assert kinds["PRE", "T001W"]["ZGOLIVEDATE"] == "date" and kinds["PRD", "T001W"]["ZGOLIVEDATE"] == "string"
+    # declared anew by the caller: that type counts
+    wide = source_contract("PRE", "MARC", "ZZPSPER string, PLIFZ double")
+    assert wide["ZZPSPER"].dataType.simpleString() == "string" and "ZZREVIEWDT" not in wide.names
+    assert sum(len(ddl.split(", ")) for own in OWN_DDL.values() for ddl in own.values()) == 21
+
+
 def test_declared_columns_are_typed_and_staged(spark, tmp_path):
     (tmp_path / "PRE_MARA.csv").write_text("MATNR,BRGEW,ERSDA,OTHER\n1,2.5,2024-01-31,x\n")
     extra = {"MARA": "BRGEW double, ERSDA date"}
