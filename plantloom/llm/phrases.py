@@ -47,7 +47,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from plantloom.llm.tables import quoted, read, ready_for_python, text_of
-from plantloom.session import materialize, scratch_folder
+from plantloom.session import materialize, remove, scratch_folder
 
 UND = "und"
 LEAST = 30
@@ -217,8 +217,9 @@ def frequent_phrases(
 ) -> tuple[DataFrame, DataFrame]:
     """Phrases (lang, k, phrase, n) of up to ``longest`` words seen ``least`` times; words per lang.
 
-    Intermediate tables lie in shared storage: the shards, the counts of each
-    step, of which there are ``longest * shards`` at most, and the exact sums.
+    Intermediate tables lie in shared storage: the shards and the counts of each
+    step, of which there are ``longest * shards`` at most, which are removed in
+    the end, and the exact sums.
     """
     spark = docs.sparkSession
     ready_for_python(spark)
@@ -262,6 +263,7 @@ def frequent_phrases(
     words = materialize(spark.read.schema(f"{COUNTS}, step int").parquet(f"{folder}/counts").filter(
         "k = 1").groupBy("lang").agg(F.sum("n").alias("n")))
     often = reduce(DataFrame.union, sums).select("lang", "k", F.col("phrase").cast("string").alias("phrase"), "n")
+    remove(spark, folder)
     return often, words
 
 
