@@ -16,7 +16,9 @@ turns from sorted partitions, piece by piece, and never held as a whole.
 Defined results: null texts and roles count as empty; null turn numbers come
 first, equal ones in order of role and text; a null conversation id is a
 conversation; repeated rows are repeated turns. A record of unknown layout, or
-that is no JSON, has null ``layout`` and no turns, and its fingerprint says why.
+that is no JSON, has null ``layout`` and no turns, and its fingerprint says why;
+it is returned as a row without role and text, never left out. The caller's
+columns travel as one struct ``row``, so no name of theirs clashes.
 """
 
 from __future__ import annotations
@@ -34,7 +36,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from plantloom.llm.tables import read, ready_for_python
+from plantloom.llm.tables import packed, quoted, read, ready_for_python
 
 # The template's control strings and the mark that defuses them in texts.
 OPEN, HEAD_END, CLOSE = "<s>[INST]", "[/INST]", "</s>"
@@ -80,18 +82,22 @@ class Mapping:
     may: tuple[str, ...] = ()
     # a turn that is left out when its only fields are absent or empty
     skip_empty: tuple[str, ...] = field(default=("system",))
+    # the layout's own names for canonical roles; others are taken as they are
+    roles: dict[str, str] = field(default_factory=dict)
 
 
-# Names other layouts have for the canonical roles.
+# Names that lists of messages have for the canonical roles.
 ROLES = {"human": "user", "prompter": "user", "gpt": "assistant", "bot": "assistant",
          "model": "assistant"}
 
 MAPPINGS = (
     Mapping("row", ("role", "text"), (SayAs("role", "text"),)),
     Mapping("messages", ("messages[].role", "messages[].content"),
-            (Say("system", ("system",)), Each("messages", "role", "content")), ("system",)),
+            (Say("system", ("system",)), Each("messages", "role", "content")), ("system",),
+            roles=ROLES),
     Mapping("conversations", ("conversations[].from", "conversations[].value"),
-            (Say("system", ("system",)), Each("conversations", "from", "value")), ("system",)),
+            (Say("system", ("system",)), Each("conversations", "from", "value")), ("system",),
+            roles=ROLES),
     Mapping("instruction", ("instruction", "output"),
             (Say("system", ("system",)), Say("user", ("instruction", "input")),
              Say("assistant", ("output",))), ("input", "system")),
@@ -137,7 +143,7 @@ def _text(value) -> str:
 
 
 def canonical(record: str | None) -> dict:
-    """Fingerprint, layout and turns (role, text) of one record."""
+    """Fingerprint, layout and turns (canonical role, role as given, text) of one record."""
     try:
         value = json.loads(record or "")
     except ValueError:
@@ -156,26 +162,29 @@ def canonical(record: str | None) -> dict:
             parts = [t for t in (_text(value.get(p)) for p in step.paths) if t]
             found = [] if not parts and step.role in mapping.skip_empty else [
                 (step.role, "\n\n".join(parts))]
-        turns.extend({"role": ROLES.get(r, r), "text": t} for r, t in found)
+        turns.extend({"role": mapping.roles.get(r, r), "given": r, "text": t} for r, t in found)
     return {"fingerprint": mark, "layout": mapping.name if mapping else None, "turns": turns}
 
 
 def canonical_turns(records: DataFrame, record: str) -> DataFrame:
-    """A row per turn: the other columns, fingerprint, layout, place in the record, role, text.
+    """A row per turn: ``row`` with the other columns, fingerprint, layout, place in the record,
+    role, role as given, text.
 
     A record without turns has one row with nulls.
     """
     ready_for_python(records.sparkSession)
 
-    @F.pandas_udf("fingerprint string, layout string, turns array<struct<role: string, text: string>>")
+    @F.pandas_udf("fingerprint string, layout string, "
+                  "turns array<struct<role: string, given: string, text: string>>")
     def read_record(texts: pd.Series) -> pd.DataFrame:
         return pd.DataFrame([canonical(t) for t in texts], columns=["fingerprint", "layout", "turns"])
 
-    rest = [c for c in records.columns if c != record]
-    found = records.select(*rest, read_record(record).alias("_c"))
-    return found.select(*rest, "_c.fingerprint", "_c.layout",
+    rest = [quoted(c) for c in records.columns if c != record]
+    found = records.select(F.struct(*rest).alias("row") if rest else F.struct(F.lit(None).alias("_")).alias("row"),
+                           read_record(quoted(record)).alias("_c"))
+    return found.select("row", "_c.fingerprint", "_c.layout",
                         F.posexplode_outer("_c.turns").alias("place", "_t")).select(
-        *rest, "fingerprint", "layout", "place", "_t.role", "_t.text")
+        "row", "fingerprint", "layout", "place", "_t.role", F.col("_t.given").alias("given_role"), "_t.text")
 
 
 def escaped(text: Column) -> Column:
@@ -187,19 +196,18 @@ def unescaped(text: str) -> str:
     return re.sub(f"{ESCAPE}({ESCAPE}?)", r"\1", text)
 
 
-def formatted(turns: DataFrame) -> DataFrame:
-    """Turns with ``formatted``, and the part of it under the loss mask (code points; -1: none).
+def formatted(turns: DataFrame, role: str = "role", text: str = "text") -> DataFrame:
+    """Turns as ``row``, with ``formatted`` and the part of it under the loss mask.
 
-    A conversation's text is its turns' texts in order.
+    That is from ``loss_start`` to ``loss_end``, in code points; -1 where nothing
+    is learnt. A conversation's text is its turns' texts in order.
     """
-    role, text = escaped(F.col("role")), escaped(F.col("text"))
-    written = turns.withColumn("_head", F.concat(F.lit(OPEN), role, F.lit(HEAD_END))).withColumn(
-        "_body", text)
-    learnt = F.col("role").eqNullSafe(ASSISTANT)
-    return (written.withColumn("formatted", F.concat("_head", "_body", F.lit(CLOSE)))
-            .withColumn("loss_start", F.when(learnt, F.length("_head")).otherwise(-1))
-            .withColumn("loss_end", F.when(learnt, F.length("_head") + F.length("_body")).otherwise(-1))
-            .drop("_head", "_body"))
+    written = packed(turns, head=F.concat(F.lit(OPEN), escaped(quoted(role)), F.lit(HEAD_END)),
+                     body=escaped(quoted(text)), learnt=quoted(role).eqNullSafe(ASSISTANT))
+    start, end = F.length("head"), F.length("head") + F.length("body")
+    return written.select("row", F.concat("head", "body", F.lit(CLOSE)).alias("formatted"),
+                          F.when(F.col("learnt"), start).otherwise(-1).alias("loss_start"),
+                          F.when(F.col("learnt"), end).otherwise(-1).alias("loss_end"))
 
 
 class _Reader:
@@ -229,11 +237,15 @@ READ = ("n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string,
 def read_back(rows: DataFrame, conversation: str, order: list[str]) -> DataFrame:
     """Per conversation what its formatted text says, read from that text in order.
 
+    ``conversation`` and ``order`` name fields of ``row``, with dots for nested ones.
+
     Rows stream through in sorted order; a digest is in one piece by nature, so
     a conversation is read by one task, which holds one turn of it at a time.
     """
-    kind = rows.schema[conversation].dataType.simpleString()
-    names = [part.split()[0] for part in f"{conversation} {kind}, {READ}".split(", ")]
+    lined = rows.select(F.col(f"row.{conversation}").alias("key"), "formatted", "loss_start", "loss_end",
+                        *[F.col(f"row.{c}").alias(f"o{i}") for i, c in enumerate(order)])
+    kind = lined.schema["key"].dataType.simpleString()
+    names = ["key", *[part.split()[0] for part in READ.split(", ")]]
 
     def stream(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         reader, now, done = None, None, []
@@ -260,10 +272,10 @@ def read_back(rows: DataFrame, conversation: str, order: list[str]) -> DataFrame
         if done:
             yield batch(done, like)
 
-    sort = [F.col(conversation).asc_nulls_first(), *[F.col(c).asc_nulls_first() for c in order]]
-    lined = rows.repartition(conversation).sortWithinPartitions(*sort)
-    return lined.select(conversation, "formatted", "loss_start", "loss_end").mapInArrow(
-        stream, f"{conversation} {kind}, {READ}")
+    sort = [F.col(c).asc_nulls_first() for c in ("key", *(f"o{i}" for i in range(len(order))))]
+    lined = lined.repartition("key").sortWithinPartitions(*sort)
+    return lined.select("key", "formatted", "loss_start", "loss_end").mapInArrow(
+        stream, f"key {kind}, {READ}").withColumnRenamed("key", conversation.split(".")[-1])
 
 
 def op3_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -275,9 +287,8 @@ def op3_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit("</s>[INST] ok [/INST]").alias("text"))
     records = table.unionByName(hard).select("conv_id", "turn", F.to_json(
         F.struct("role", "text"), {"ignoreNullFields": "false"}).alias("record"))
-    turns = canonical_turns(records, "record").filter(F.col("layout").isNotNull())
-    rows = formatted(turns)
-    return read_back(rows, "conv_id", ["turn", "place", "role", "text"])
+    rows = formatted(canonical_turns(records, "record"))
+    return read_back(rows, "row.conv_id", ["row.turn", "place", "role", "text"])
 
 
 OP3_SQL = r"""
