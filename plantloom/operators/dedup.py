@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from plantloom.checks import require_columns
 
-# Tasks that a heavy key's rows are dealt to where they are counted.
+# Tasks that a heavy key's rows are dealt to where they are counted, a power of two.
 SPREAD = 16
 
 
@@ -33,19 +33,20 @@ def with_group_size(df: DataFrame, keys: Sequence[str], name: str) -> DataFrame:
     shuffled rows. A window would need every row of a key in one task.
     """
     require_columns(df, keys)
+    columns = [F.col(_quoted(c)) for c in df.columns]
     # by place and content, so that neither sorted input nor equal rows end in one salt
-    place = F.spark_partition_id() + F.xxhash64(*[F.col(_quoted(c)) for c in df.columns])
+    salt = (F.spark_partition_id() + F.xxhash64(*columns)).bitwiseAND(F.lit(SPREAD - 1))
     parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    dealt = df.withColumn("_salt", F.pmod(place, F.lit(SPREAD)).cast("int")).repartition(
-        parts, *[F.col(_quoted(k)) for k in keys], "_salt")
-    counts = dealt.groupBy(*[F.col(_quoted(k)).alias(f"_{k}") for k in keys],
-                           F.col("_salt").alias("__salt")).agg(F.count(F.lit(1)).alias("_n"))
-    sums = counts.groupBy(*[F.col(_quoted(f"_{k}")) for k in keys]).agg(
-        F.sum("_n").alias(name), F.collect_list("__salt").alias("_salts")).withColumn(
-        "__salt", F.explode("_salts")).drop("_salts")
-    same_key = [F.col(_quoted(k)).eqNullSafe(F.col(_quoted(f"_{k}"))) for k in keys]
-    return dealt.join(sums, [*same_key, F.col("_salt") == F.col("__salt")], "inner").select(
-        *[F.col(_quoted(c)) for c in df.columns], _quoted(name))
+    # keys as a struct, in which null equals null; the count reads the row, so that both uses of
+    # the shuffle want the same columns and share it
+    dealt = df.select(F.struct(*[F.col(_quoted(k)) for k in keys]).alias("key"), salt.alias("salt"),
+                      F.struct(*columns).alias("row")).withColumn(
+        "row", F.when(F.col("salt") >= 0, F.col("row"))).repartition(parts, "key", "salt")
+    counts = dealt.groupBy("key", "salt").agg(F.count("row").alias("n"))
+    sums = counts.groupBy("key").agg(F.sum("n").alias("n"), F.collect_list("salt").alias("salts")).select(
+        F.col("key").alias("_key"), "n", F.explode("salts").alias("_salt"))
+    return dealt.join(sums, (F.col("key") == F.col("_key")) & (F.col("salt") == F.col("_salt"))).select(
+        "row.*", F.col("n").alias(name))
 
 
 def collapse(df: DataFrame, keys: Sequence[str], count: str) -> DataFrame:

@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from plantloom.functions import orders as rules
+from plantloom.operators import joins
 from plantloom.operators.joins import left_join_many
 from plantloom.plans import orders
 from tests.frames import frame, rows, table
@@ -142,13 +143,21 @@ def test_text_dates(spark):
     assert got.FTRMI == DAY(2024, 1, 7)
 
 
-def test_many_join_equals_outer_join(spark):
+@pytest.mark.parametrize("heavy", [False, True])
+def test_many_join_equals_outer_join(spark, monkeypatch, heavy):
     left = frame(spark, "k string, l int", ("a", 1), ("a", 2), ("b", 3), (None, 4), (None, 5),
                  ("c", 6), ("c", 7))
     right = frame(spark, "r string, v int", ("a", 1), ("a", 2), ("c", None), (None, 9), ("z", 8))
     outer = left.join(right, F.col("k") == F.col("r"), "left")
-    got = left_join_many(left, right, "k", "r")
-    assert got.columns == outer.columns
-    assert rows(got) == rows(outer)
-    assert rows(left_join_many(left, right.limit(0), "k", "r")) == rows(
+    salted = []
+    monkeypatch.setattr(joins, "_may_be_skewed", lambda df: heavy)
+    real = joins.heavy_keys
+    monkeypatch.setattr(joins, "heavy_keys", lambda *a: salted.append(real(*a)) or salted[-1])
+    for again in (False, True):
+        got = left_join_many(left, right, [("k", "r")], again=again)
+        assert got.columns == outer.columns
+        assert rows(got) == rows(outer)
+    # at eight partitions every key of this table is a heavy one
+    assert salted == ([{"a": 8, "c": 4, "z": 4}] * 2 if heavy else [])
+    assert rows(left_join_many(left, right.limit(0), [("k", "r")])) == rows(
         left.join(right.limit(0), F.col("k") == F.col("r"), "left"))
