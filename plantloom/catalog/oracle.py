@@ -11,6 +11,7 @@ AS_OF = "DATE '2024-01-15'"
 EMPTY_TO_NULL = {"MARA": ["LVORM", "ZZMDGM"], "MARC": ["LVORM"], "MBEW": ["LVORM"],
                  "AFPO": ["KDAUF"]}
 
+# Fixed values, here and in the steps: retirement marks, lateness labels and their limits in days.
 IN_USE = "(LVORM IS NULL OR LVORM = '')"
 OLD_OK = "(BISMT IS NULL OR BISMT NOT IN ('ARCHIVE', 'DUPLICATE', 'RENUMBERED'))"
 # Published columns of valuations, order headers and order masters.
