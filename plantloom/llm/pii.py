@@ -2,25 +2,32 @@
 
 Emails, addresses, card and phone numbers are protected entities. A term in a
 document with an entity gives it away in so far as seeing the term tells the
-entity: with n(t), n(e), n(e, t) documents of N holding the term, the entity,
-and both, wherever they stand, the disclosure is PMI(e; t) / PMI(e; e), where,
-with P(e) = n(e) / N and ``PRIOR`` documents that follow P(e) added to those
-that hold t,
+entity. With n(t), n(e), n(e, t) documents of N holding the term, the entity,
+and both, wherever they stand, P(e) = n(e) / N, and ``PRIOR`` documents that
+follow P(e) added to those that hold t, the chance of the entity beside the term
+and the disclosure, PMI(e; t) over the entity's information content, are
 
-    PMI(e; t) = log((n(e,t) + PRIOR P(e)) / (n(t) + PRIOR) / P(e))
+    chance = (n(e,t) + PRIOR P(e)) / (n(t) + PRIOR)
+    disclosure = log(chance / P(e)) / log(N / n(e))
 
-Without the prior PMI(e; e) is the information content log(N / n(e)). The
-disclosure is 1 when the term occurs in the documents of that entity only and in
-every one of them, and less the fewer of them hold the term. Every pair is
+The disclosure nears 1 as the term is seen more often, and always with that
+entity; it is less the more documents hold the term without it. Every pair is
 scored, however rare. A term whose disclosure reaches ``GENERALISE`` is
 generalised (to a class: number, name, word) at each of its places in the
-documents that hold the entity; from ``REMOVE`` on it is removed. Of several
-entities in a document the most disclosed decides. Documents that hold none of
-them keep the term: there it stands beside nothing it gives away, though at
-0.9 there may be some. Words that are part of an entity are no terms; entities
-themselves become their kind.
+documents that hold the entity. It is removed if the chance reaches ``REMOVE``
+too: one document that holds both gives 2/3 at any size of the corpus and so
+generalises only, from two on a term that is never without the entity goes. Of
+several entities in a document the most disclosed decides. Documents that hold
+none of them keep the term: there it stands beside nothing it gives away, though
+at 0.9 there may be some. Words that are part of an entity are no terms;
+entities themselves become their kind.
 Equal texts count as one document in all of these numbers, and each is marked.
 
+Entities that stand in the same documents have the same numbers with any term,
+and so have terms with the same documents. Pairs are made of such classes: all
+entities and terms that one document alone has are one pair, whatever their
+number, and a document costs as many as its classes of either side multiply to.
+
 Kinds: email, ip, card, phone, then term. Base kinds are leftmost and do not
 overlap within a kind; a match failing its check is dropped, without retry.
 
@@ -55,8 +62,9 @@ WORD = re.compile(r"[^\x20\x09-\x0D]+")
 NOT_DIGITS = re.compile(r"[^0-9]+")
 
 PRIOR = 0.5
-GENERALISE, REMOVE = 0.9, 0.98
-BLOOM_LOG2, BLOOM_SHIFTS = 24, (0, 20, 40)
+GENERALISE, REMOVE = 0.9, 0.75
+# The Bloom filter has at least this many bits a term, within these powers of two (128 KB to 32 MB).
+BLOOM_BITS, BLOOM_LOG2, BLOOM_SHIFTS = 16, (20, 28), (0, 18, 36)
 REMEMBERED_WORDS = 1 << 15
 
 
@@ -173,19 +181,27 @@ def _digest(text: str) -> Column:
     return F.unhex(F.md5(text_of(quoted(text)).cast("binary")))
 
 
+def bloom_log2(terms: int) -> int:
+    """The filter's bits, as a power of two."""
+    least, most = BLOOM_LOG2
+    return min(max((terms * BLOOM_BITS - 1).bit_length(), least), most)
+
+
 def _term_documents(docs: DataFrame, text: str, terms: DataFrame, copies: DataFrame) -> DataFrame:
     """In how many distinct texts each of the given terms occurs anywhere.
 
-    A Bloom filter of fixed size, shared with all tasks, keeps other words out
-    of the shuffle; its false positives fall to the join with the terms.
+    A Bloom filter sized by the number of terms, up to a bound, is shared with all
+    tasks and keeps other words out of the shuffle; its false positives fall to
+    the join with the terms.
     """
-    mask = (1 << BLOOM_LOG2) - 1
+    size = bloom_log2(terms.count())
+    mask = (1 << size) - 1
     hashed = F.xxhash64("term")
     bits = terms.select(F.explode(F.array(*[
         F.shiftrightunsigned(hashed, n).bitwiseAND(F.lit(mask)) for n in BLOOM_SHIFTS])).alias("bit"))
     words = bits.groupBy(F.shiftright("bit", 6).alias("word")).agg(
         F.bit_or(F.expr("shiftleft(1L, cast(bit & 63 as int))")).alias("bits")).toPandas()
-    bloom = np.zeros(1 << (BLOOM_LOG2 - 6), "<i8")
+    bloom = np.zeros(1 << (size - 6), "<i8")
     bloom[words["word"].to_numpy(np.int64)] = words["bits"].to_numpy(np.int64)
     shared = docs.sparkSession.sparkContext.broadcast(bloom.tobytes())
 
@@ -224,25 +240,28 @@ def _term_documents(docs: DataFrame, text: str, terms: DataFrame, copies: DataFr
     return seen.join(terms, "term", "left_semi")
 
 
-def _disclosure(total: int, n_entity: Column, n_pair: Column, n_term: Column) -> Column:
+def _scores(total: int, n_entity: Column, n_pair: Column, n_term: Column) -> Column:
+    """Struct (disclosure, chance), so that the largest is the most disclosed entity's."""
     share = n_entity / F.lit(float(total))
-
-    def information(together: Column, n: Column) -> Column:
-        return F.log2((together + PRIOR * share) / (n + PRIOR) / share)
-
-    return information(n_pair, n_term) / information(n_entity, n_entity)
+    chance = (n_pair + PRIOR * share) / (n_term + PRIOR)
+    return F.struct((1 - F.log2(chance) / F.log2(share)).alias("disclosure"), chance.alias("chance"))
 
 
 def _most_documents(total: int, n_entity: Column) -> Column:
     """A term in more documents cannot reach ``GENERALISE`` with an entity of so many."""
     share = n_entity / F.lit(float(total))
-    own = (n_entity + PRIOR * share) / (n_entity + PRIOR) / share
     # a little more than exact, for rounding
-    return (n_entity + PRIOR * share) / (share * F.pow(own, GENERALISE)) * (1 + 1e-6) - PRIOR
+    return (n_entity + PRIOR * share) / F.pow(share, F.lit(1 - GENERALISE)) * (1 + 1e-6) - PRIOR
+
+
+def _same_documents(rows: DataFrame, key: str, side: str) -> DataFrame:
+    """Per ``key`` its class: two hashes of the set of texts (``digest``) it stands in."""
+    return rows.groupBy(key).agg(*[
+        F.bit_xor(F.xxhash64(F.lit(n), "digest")).alias(f"{side}{n}") for n in (1, 2)])
 
 
 def disclosures(observed: DataFrame, docs: DataFrame, text: str = "text") -> DataFrame:
-    """Per digest of a text the ``known`` terms that disclose an entity in it: term, disclosure.
+    """Per digest of a text the ``known`` terms that disclose an entity in it: term, disclosure, chance.
 
     Terms too common to reach the threshold with any entity of their text go
     before pairs are made, first by how many texts with entities hold them, then
@@ -260,25 +279,31 @@ def disclosures(observed: DataFrame, docs: DataFrame, text: str = "text") -> Dat
 
     once = observed.filter(F.size("base") > 0).dropDuplicates(["digest"])
     once = materialize(once.select("digest", "entities", terms_of("text", "base").alias("terms")))
-    held = once.select("digest", F.explode("entities").alias("entity"))
+    held = materialize(once.select("digest", F.explode("entities").alias("entity")))
     entities = held.groupBy("entity").agg(F.count(F.lit(1)).alias("n_entity")).filter(
         F.col("n_entity") < total).withColumn("most", _most_documents(total, F.col("n_entity")))
-    held = materialize(held.join(entities, "entity"))
+    beside = ["digest", "e1", "e2", "n_entity", "most"]
+    held = materialize(held.join(entities, "entity").join(
+        _same_documents(held, "entity", "e"), "entity").select(beside).distinct())
     reach = held.groupBy("digest").agg(F.max("most").alias("reach"))
     words = once.select("digest", F.explode("terms").alias("term"))
     # both tables are written, so that a common word's rows can be split
     least = materialize(words.groupBy("term").agg(F.count(F.lit(1)).alias("n_least")))
     rare = materialize(words.join(least, "term").join(reach, "digest").filter(
-        F.col("n_least") <= F.col("reach")).select("digest", "term"))
-    n_term = materialize(_term_documents(docs, text, rare.select("term").distinct(), copies))
-    placed = materialize(rare.join(n_term, "term").join(held, "digest").filter(
-        F.col("n_term") <= F.col("most")).select("digest", "entity", "term", "n_entity", "n_term"))
-    score = _disclosure(total, F.first("n_entity"), F.count(F.lit(1)), F.first("n_term"))
-    over = placed.groupBy("entity", "term").agg(score.alias("disclosure")).filter(
-        F.col("disclosure") >= GENERALISE)
-    return materialize(placed.join(over, ["entity", "term"]).groupBy("digest", "term").agg(
-        F.max("disclosure").alias("disclosure")).groupBy("digest").agg(
-        F.collect_list(F.struct("term", "disclosure")).alias("known")))
+        F.col("n_least") <= F.col("reach")).select("digest", "term", "reach"))
+    n_term = materialize(_term_documents(docs, text, materialize(rare.select("term").distinct()), copies))
+    placed = materialize(rare.join(n_term, "term").filter(F.col("n_term") <= F.col("reach")).drop("reach"))
+    placed = materialize(placed.join(_same_documents(placed, "term", "t"), "term"))
+    pair = ["e1", "e2", "t1", "t2", "n_term"]
+    pairs = materialize(placed.select("digest", "t1", "t2", "n_term").distinct().join(held, "digest").filter(
+        F.col("n_term") <= F.col("most")).drop("most"))
+    score = _scores(total, F.first("n_entity"), F.count(F.lit(1)), F.first("n_term"))
+    over = pairs.groupBy(pair).agg(score.alias("score")).filter(
+        F.col("score.disclosure") >= GENERALISE)
+    by_class = pairs.join(over, pair).groupBy("digest", "t1", "t2", "n_term").agg(
+        F.max("score").alias("score"))
+    return materialize(placed.join(by_class, ["digest", "t1", "t2", "n_term"]).groupBy("digest").agg(
+        F.collect_list(F.struct("term", "score.disclosure", "score.chance")).alias("known")))
 
 
 def _as_spans(base: list) -> list[tuple[str, int, int]]:
@@ -288,18 +313,18 @@ def _as_spans(base: list) -> list[tuple[str, int, int]]:
 def find_personal(docs: DataFrame, text: str = "text", keep: list[str] | None = None) -> DataFrame:
     """Per row: struct ``row`` of the kept columns, ``base`` spans, disclosing ``terms``.
 
-    ``terms`` are spans with their disclosure, by start.
+    ``terms`` are spans with their disclosure and chance, by start.
     """
     keep = docs.columns if keep is None else keep
     observed = _observed(docs, text, keep)
 
-    @F.pandas_udf("array<struct<start: long, end: long, disclosure: double>>")
+    @F.pandas_udf("array<struct<start: long, end: long, disclosure: double, chance: double>>")
     def places(texts: pd.Series, base: pd.Series, known: pd.Series) -> pd.Series:
         out = []
         for t, b, k in zip(texts, base, known):
-            by_term = {x["term"]: x["disclosure"] for x in k} if k is not None else {}
+            by_term = {x["term"]: x for x in k} if k is not None else {}
             found = find_terms(t, _as_spans(b)) if by_term else []
-            out.append([{"start": start, "end": end, "disclosure": by_term[x]}
+            out.append([{**by_term[x], "start": start, "end": end}
                         for x, start, end in found if x in by_term])
         return pd.Series(out)
 
@@ -316,7 +341,7 @@ def sanitised(text: str | None, base: list, terms: list) -> str | None:
         word = text[s["start"]:s["end"]]
         general = ("[NUMBER]" if any(c.isdigit() for c in word)
                    else "[NAME]" if word[:1].isupper() else "[WORD]")
-        marks.append((s["start"], s["end"], "" if s["disclosure"] >= REMOVE else general))
+        marks.append((s["start"], s["end"], "" if s["chance"] >= REMOVE else general))
     out, at = [], 0
     for start, end, mark in sorted(marks):
         if start >= at:

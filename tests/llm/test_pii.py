@@ -49,7 +49,8 @@ def test_disclosing_terms(spark):
         said = {r.row.text[t.start:t.end].lower(): t.disclosure for t in r.terms}
         assert {"zorblax", "mail"} <= said.keys() and not said.keys() & set(common)
         # joint, entity and term counts are all six
-        assert math.isclose(said["zorblax"], math.log(total * 6 / 36) / math.log(total / 6))
+        chance = (6 + 0.5 * 6 / total) / 6.5
+        assert math.isclose(said["zorblax"], 1 + math.log(chance) / math.log(total / 6))
     clean = {r.doc_id: r.text for r in pii.sanitise(docs).collect()}
     assert "joe@x.org" not in clean[200] and "[EMAIL]" in clean[200] and "Zorblax" not in clean[200]
     assert all(clean[i] == texts[i] for i in range(200))
@@ -68,6 +69,9 @@ def test_rare_entities_disclose(spark):
     for r in rows:
         said = {r.row.text[t.start:t.end] for t in r.terms}
         assert said == {w for w in ("Quendal", "Brimwick") if w in r.row.text}
+    clean = {r.text for r in pii.sanitise(documents(spark, *texts)).collect()}
+    # one sighting generalises, two remove
+    assert sum("[NAME] [EMAIL]" in t for t in clean) == 1 and not any("Brimwick" in t for t in clean)
     # copies are one document: 21 texts hold "shared", one of them the mail
     assert sum(r.row.text == copy for r in rows) == 40
 
@@ -81,13 +85,19 @@ def test_terms_anywhere_in_the_document(spark):
     docs = documents(spark, *texts)
     for r in pii.find_personal(docs).collect():
         said = [(r.row.text[t.start:t.end], round(t.disclosure, 9)) for t in r.terms]
-        assert said == ([("Quendal", 1), ("quendal", 1), ("Quendal", 1)] if r.row.doc_id >= 300 else [])
+        most = round(1 + math.log((4 + 2 / 304) / 4.5) / math.log(304 / 4), 9)
+        assert said == ([(w, most) for w in ("Quendal", "quendal", "Quendal")] if r.row.doc_id >= 300 else [])
     assert not any("quendal" in r.text.lower() for r in pii.sanitise(docs).collect())
 
 
 def test_terms_by_definition(spark):
     """All pairs of whole texts, with no limit on how common a term may be."""
-    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text")
+    rng = random.Random(4)
+    mails = [f"m{i}@x.org" for i in range(12)]
+    more = [(-i, " ".join(rng.choice(mails) if rng.random() < 0.1 else f"rare{rng.randint(0, 60)}"
+                          for _ in range(rng.randint(1, 25)))) for i in range(1, 60)]
+    docs = docs.union(spark.createDataFrame(more + more[:9], docs.schema))
     texts = {r.text for r in docs.collect()}
     entities, terms, n_pair, n_entity, n_term = {}, {}, {}, {}, {}
     for t in texts:
@@ -101,23 +111,39 @@ def test_terms_by_definition(spark):
         for x in {pii.term_of(w) for w in re.findall(r"[^\x20\x09-\x0D]+", t or "")}:
             n_term[x] = n_term.get(x, 0) + 1
 
-    def disclosure(e, x):
+    def scores(e, x):
         share = n_entity[e] / len(texts)
-        pmi = lambda both, n: math.log((both + 0.5 * share) / (n + 0.5) / share)
-        return pmi(n_pair[e, x], n_term[x]) / pmi(n_entity[e], n_entity[e])
+        chance = (n_pair[e, x] + 0.5 * share) / (n_term[x] + 0.5)
+        return math.log(chance / share) / math.log(1 / share), chance
 
     marked = 0
     for r in pii.find_personal(docs).collect():
         t, want = r.row.text, []
         for x, start, end in terms[t]:
-            most = max(disclosure(e, x) for e in entities[t])
+            most, chance = max(scores(e, x) for e in entities[t])
             if most >= 0.9:
-                want.append((start, end, round(most, 9)))
-        assert [(s.start, s.end, round(s.disclosure, 9)) for s in r.terms] == want
+                want.append((start, end, round(most, 9), round(chance, 9)))
+        assert [(s.start, s.end, round(s.disclosure, 9), round(s.chance, 9)) for s in r.terms] == want
         marked += len(want)
     assert marked > 0
 
 
+def test_crowded_documents(spark):
+    """Two near copies of 2,000 mails and 12,000 rare words: pairs of classes, not 48 million pairs."""
+    rng = random.Random(9)
+    body = [f"u{i}@x.org" for i in range(2000)] + [f"term{i}" for i in range(12_000)]
+    rng.shuffle(body)
+    texts = [" ".join(body), " ".join(body + ["once"])] + [f"plain text {i}" for i in range(300)]
+    found = {r.row.doc_id: r for r in pii.find_personal(documents(spark, *texts)).collect()}
+    assert len(found[0].base) == 2000 and len(found[0].terms) == 12_000 and len(found[1].terms) == 12_001
+    # "once" does not tell the two documents' mails as well as terms in both do
+    assert {round(t.chance, 2) for t in found[1].terms} == {0.67, 0.8} and not found[2].terms
+
+
+def test_filter_grows_with_the_terms():
+    assert [pii.bloom_log2(n) for n in (0, 1, 1 << 16, (1 << 16) + 1, 1 << 24, 1 << 40)] == [20, 20, 20, 21, 28, 28]
+
+
 def test_distinct_words():
     text = "a b\tb\n\nc\x0bd\x0ce\r f\x1cg\xa0h\u2028i  "
     assert pii.distinct_words(text) == set(pii.WORD.findall(text)) and pii.distinct_words("") == set()
@@ -126,8 +152,8 @@ def test_distinct_words():
 def test_sanitised_marks():
     text = "call Bob on 42 now +1 555 123 4567"
     base = [{"kind": "phone", "start": 19, "end": 34}]
-    terms = [{"start": 5, "end": 8, "disclosure": 0.92}, {"start": 12, "end": 14, "disclosure": 0.93},
-             {"start": 15, "end": 18, "disclosure": 1.0}]
+    terms = [{"start": 5, "end": 8, "chance": 0.5}, {"start": 12, "end": 14, "chance": 2 / 3},
+             {"start": 15, "end": 18, "chance": 0.8}]
     assert pii.sanitised(text, base, terms) == "call [NAME] on [NUMBER]  [PHONE]"
     assert pii.sanitised(None, [], []) is None
 
