@@ -12,6 +12,7 @@ slots thus holds the sources close to their shares. A source's slots are ranked.
 Blocks: each source's documents are shuffled (ordered by a hash) and laid end to
 end, ``EPOCHS`` times over. That line, up to the source's target, is cut into as
 many equal blocks as the source has slots, and the slot of rank j gets block j.
+A document stands in the mix where its first word's slot is, once per epoch.
 
 Nothing but the recipe (a row per source) is gathered. Ranks and positions are
 running sums, taken within small ranges and then over the ranges' totals, so
@@ -43,6 +44,8 @@ SEED = 7
 # Slots per range, and ranges of each source's shuffled line.
 SLOT_RANGE = 1 << 16
 LINE_RANGES = 1 << 12
+# Slots a file of the laid out mix holds at most, some 16 million words.
+FILE_SLOTS = 1 << 14
 # The golden ratio's fraction to 30 digits (fixed value), and 2**20 times it, less its whole part.
 PHI = Fraction("0.618033988749894848204586834366")
 PHI_STEP = float(PHI)
@@ -131,7 +134,8 @@ def _recipe_table(spark: SparkSession, shares: list[Share], slots: dict[int, int
 def mix(rows: DataFrame, block: int = BLOCK) -> tuple[DataFrame, DataFrame]:
     """From ``sized`` rows: the recipe as a table, and the pieces of the mix.
 
-    A piece (slot, row_no, epoch, start, end) is a run of words of a document.
+    A piece (slot, row_no, epoch, at, start, end) is a run of words of a document
+    that begins at word ``at`` of its source's line.
     """
     spark = rows.sparkSession
     sizes = {r.source: r.n for r in rows.groupBy("source").agg(F.sum("size").alias("n")).collect()}
@@ -158,15 +162,19 @@ def mix(rows: DataFrame, block: int = BLOCK) -> tuple[DataFrame, DataFrame]:
         F.floor(F.col("at") / F.col("step")), F.floor((F.col("until") - 1) / F.col("step")))))
     piece = blocks.join(slots, ["number", "rank"])
     return table, piece.select(
-        "slot", "row_no", "epoch",
+        "slot", "row_no", "epoch", "at",
         (F.greatest("at", F.col("rank") * F.col("step")) - F.col("at")).alias("start"),
         (F.least("until", (F.col("rank") + 1) * F.col("step")) - F.col("at")).alias("end"))
 
 
 def taken_words(rows: DataFrame) -> DataFrame:
-    """``sized`` rows with source_size, target and the words the mix takes of each."""
+    """``sized`` rows with source_size, target, the words the mix takes of each, and ``first_slot``.
+
+    That is the slot where the document begins for the first time; null if nothing is taken.
+    """
     table, pieces = mix(rows)
-    taken = pieces.groupBy("row_no").agg(F.sum(F.col("end") - F.col("start")).alias("taken"))
+    taken = pieces.groupBy("row_no").agg(F.sum(F.col("end") - F.col("start")).alias("taken"),
+                                         F.min("slot").alias("first_slot"))
     plan = table.select(F.col("source").alias("_source"), "source_size", "target")
     return rows.join(taken, "row_no", "left").join(
         plan, F.col("source").eqNullSafe(F.col("_source"))).drop("_source").withColumn(
@@ -175,20 +183,28 @@ def taken_words(rows: DataFrame) -> DataFrame:
 
 def mixed(docs: DataFrame, text: str = "text", source: str = "source",
           doc_id: str = "doc_id") -> DataFrame:
-    """The documents, same columns, each as often as the mix takes it.
+    """The documents, same columns, each as often as the mix takes it, in the order of the slots.
 
-    Documents stay whole: the one at the end of a source's target counts if the
-    mix takes at least half of it.
+    Partitions hold consecutive slots, in order, and so any stretch of the result
+    is close to the target shares. Documents stay whole: the one at the end of a
+    source's target counts if the mix takes at least half of it.
     """
     rows = packed(docs, text=quoted(text), source=quoted(source), doc_id=quoted(doc_id))
     rows = sized(rows, "text", "source", "doc_id", row=F.col("row"))
-    found = taken_words(rows.drop("row")).filter("size > 0").select(
-        "row_no", F.floor((2 * F.col("taken") + F.col("size")) / (2 * F.col("size"))).alias("copies"))
-    several = rows.join(found.filter("copies > 0"), "row_no")
-    return unpacked(several.select("row", F.explode(F.sequence(F.lit(1), "copies")).alias("_n")))
+    pieces = mix(rows.drop("row"))[1]
+    # a source's ranks rise with its slots, so the least slot is the first piece's
+    copies = materialize(pieces.groupBy("row_no", "epoch").agg(
+        F.sum(F.col("end") - F.col("start")).alias("words"), F.min("slot").alias("slot"),
+        F.first("at").alias("at")))
+    last = copies.agg(F.max("slot")).first()[0] or 0
+    files = max(last // FILE_SLOTS + 1, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    laid = rows.join(copies, "row_no").filter(2 * F.col("words") >= F.col("size"))
+    file = F.floor(F.col("slot") * F.lit(files) / F.lit(last + 1)).cast("int")
+    return unpacked(laid.select("row", "slot", "at", "row_no", file.alias("file")).repartitionById(
+        files, "file").sortWithinPartitions("slot", "at", "row_no"))
 
 
 def op5_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What the mix takes of every document."""
     rows = sized(read(spark, sf_dir, "documents"), "text", "source", "doc_id")
-    return taken_words(rows).select("doc_id", "size", "source_size", "target", "taken")
+    return taken_words(rows).select("doc_id", "size", "source_size", "target", "taken", "first_slot")

@@ -35,8 +35,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from plantloom.llm.components import components
-from plantloom.llm.tables import (first_in_group, packed, quoted, read, ready_for_python,
-                                  unpacked)
+from plantloom.llm.tables import packed, quoted, read, ready_for_python, unpacked
 from plantloom.session import materialize
 
 SHINGLE = 3
@@ -153,9 +152,13 @@ def near_duplicates(
 
     Ids may be null or occur in several groups, so ``group`` is what tells groups apart.
     """
-    rows = materialize(docs.select(
+    return _grouped(materialize(docs.select(
         quoted(doc_id).alias("doc_id"),
-        fingerprints(docs.sparkSession, shingle)(quoted(text)).alias("fp")))
+        fingerprints(docs.sparkSession, shingle)(quoted(text)).alias("fp"))))
+
+
+def _grouped(rows: DataFrame) -> DataFrame:
+    """Written rows with ``doc_id`` and ``fp``, and their ``group`` and ``component_id``."""
     distinct = materialize(rows.groupBy("fp").agg(F.min("doc_id").alias("least")))
     found = components(links(distinct.select("fp")))
     rooted = distinct.join(found.withColumnRenamed("node", "fp"), "fp", "left").select(
@@ -170,17 +173,17 @@ def near_duplicates(
 def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """The documents, same columns, of which one of each group stays: the smallest id.
 
-    Of several rows with that id the first by all values stays.
+    Of several rows with that id the first by a hash of all values stays. The
+    table is written once with its fingerprints; groups are decided on narrow
+    rows, and the documents are shuffled once, by a number of their own.
     """
-    grouped = near_duplicates(docs, doc_id, text)
-    stays = grouped.groupBy("group").agg(
-        F.min(F.struct(F.col("doc_id").isNull().alias("no"), "doc_id", "fp")).alias("w")).select(
-        F.col("w.doc_id").alias("keep_id"), F.col("w.fp").alias("keep_fp"))
-    rows = packed(docs, id=quoted(doc_id),
-                  fp=fingerprints(docs.sparkSession)(quoted(text)))
-    kept = rows.join(stays, F.col("id").eqNullSafe(F.col("keep_id")) & (F.col("fp") == F.col("keep_fp")),
-                     "left_semi")
-    return unpacked(first_in_group(kept, [F.col("id"), F.col("fp")], []))
+    rows = materialize(packed(
+        docs, doc_id=quoted(doc_id), fp=fingerprints(docs.sparkSession)(quoted(text)),
+        row_no=F.monotonically_increasing_id()))
+    narrow = rows.select("doc_id", "fp", "row_no", F.xxhash64("row").alias("hash"))
+    stays = _grouped(narrow).groupBy("group").agg(F.min(F.struct(
+        F.col("doc_id").isNull().alias("no"), "doc_id", "fp", "hash", "row_no")).alias("w")).select("w.row_no")
+    return unpacked(rows.join(stays, "row_no", "left_semi"))
 
 
 def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:

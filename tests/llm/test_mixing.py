@@ -33,7 +33,7 @@ def test_targets_by_definition():
 
 def taken(docs):
     rows = mx.taken_words(mx.sized(docs, "text", "source", "doc_id"))
-    return rows.select("doc_id", "source", "size", "source_size", "target", "taken").collect()
+    return rows.select("doc_id", "source", "size", "source_size", "target", "taken", "first_slot").collect()
 
 
 def test_mix_meets_its_targets(spark):
@@ -44,7 +44,7 @@ def test_mix_meets_its_targets(spark):
     assert len(got) == 400
     by = {}
     for r in got:
-        assert 0 <= r.taken <= 3 * r.size
+        assert 0 <= r.taken <= 3 * r.size and (r.first_slot is None) == (r.taken == 0)
         total = by.setdefault(r.source, [0, r.target])
         total[0] += r.taken
     assert all(abs(n - target) <= 1 for n, target in by.values())
@@ -75,6 +75,30 @@ def test_pieces_do_not_overlap(spark):
         assert all(a < b for a, b in runs) and all(x[1] == y[0] for x, y in zip(runs, runs[1:]))
 
 
+def test_mix_is_laid_out_by_slot(spark):
+    rng = random.Random(11)
+    texts = [words(rng, rng.choice([1, 50, 300])) for _ in range(3000)]
+    docs = documents(spark, *texts, sources=[rng.choice(["a", "b", "b", "b", "c"]) for _ in texts])
+    got = taken(docs)
+    slot = {r.doc_id: r.first_slot for r in got}
+    copies = {r.doc_id: (2 * r.taken + r.size) // (2 * r.size) for r in got}
+    laid = mx.mixed(docs).withColumn("part", F.spark_partition_id()).collect()
+    laid.sort(key=lambda r: r.part)  # stable: rows of a partition stay in order
+    seen = {}
+    for n, r in enumerate(laid):
+        seen.setdefault(r.doc_id, []).append(n)
+    assert {i: len(at) for i, at in seen.items()} == {i: n for i, n in copies.items() if n}
+    firsts = sorted(seen, key=lambda i: seen[i][0])
+    assert [slot[i] for i in firsts] == sorted(slot[i] for i in firsts)
+    # every tenth of the mix has the sources at their shares
+    share = {r.source: r.target for r in got}
+    total = sum(share.values())
+    for k in range(10):
+        part = laid[k * len(laid) // 10:(k + 1) * len(laid) // 10]
+        n = {s: sum(len(r.text.split()) for r in part if r.source == s) for s in share}
+        assert all(abs(n[s] / sum(n.values()) - share[s] / total) < 0.1 for s in share)
+
+
 def test_awkward_rows(spark):
     assert len(taken(awkward(spark))) == 12
     mixed = mx.mixed(awkward(spark))
