@@ -35,7 +35,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from plantloom.llm.components import components
-from plantloom.llm.tables import packed, quoted, read, ready_for_python, unpacked
+from plantloom.llm.tables import (first_in_group, packed, quoted, read, ready_for_python,
+                                  unpacked)
 from plantloom.session import materialize
 
 SHINGLE = 3
@@ -173,17 +174,20 @@ def _grouped(rows: DataFrame) -> DataFrame:
 def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """The documents, same columns, of which one of each group stays: the smallest id.
 
-    Of several rows with that id the first by a hash of all values stays. The
-    table is written once with its fingerprints; groups are decided on narrow
-    rows, and the documents are shuffled once, by a number of their own.
+    Of several rows with that id the first by a hash of all values stays. Groups
+    are decided on narrow rows, written once, in which two hashes stand for a
+    row; the documents are shuffled once, by these.
     """
-    rows = materialize(packed(
-        docs, doc_id=quoted(doc_id), fp=fingerprints(docs.sparkSession)(quoted(text)),
-        row_no=F.monotonically_increasing_id()))
-    narrow = rows.select("doc_id", "fp", "row_no", F.xxhash64("row").alias("hash"))
+    rows = packed(docs, doc_id=quoted(doc_id), text=quoted(text))
+    own = {f"h{n}": F.xxhash64(F.lit(n), "row") for n in (1, 2)}
+    narrow = materialize(rows.select(
+        "doc_id", fingerprints(docs.sparkSession)("text").alias("fp"),
+        *[h.alias(n) for n, h in own.items()]))
     stays = _grouped(narrow).groupBy("group").agg(F.min(F.struct(
-        F.col("doc_id").isNull().alias("no"), "doc_id", "fp", "hash", "row_no")).alias("w")).select("w.row_no")
-    return unpacked(rows.join(stays, "row_no", "left_semi"))
+        F.col("doc_id").isNull().alias("no"), "doc_id", *own)).alias("w")).select("w.h1", "w.h2")
+    # rows equal in everything go first, in the map tasks already
+    distinct = first_in_group(packed(docs).withColumns(own), [F.col(h) for h in own], [])
+    return unpacked(distinct.join(stays, list(own), "left_semi"))
 
 
 def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
