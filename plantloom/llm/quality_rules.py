@@ -67,8 +67,6 @@ def measured(docs: DataFrame, text: str = "text") -> DataFrame:
         F.lit(0).cast("long"), lambda total, x: total + x)).drop("places")
 
 
-
-
 def _rules() -> dict[str, Column]:
     """Rule i sets bit i of ``failed``. New rules go to the end: old ledgers stay readable."""
     c = F.col
@@ -92,7 +90,12 @@ POLICY = "2026-02"
 
 
 def ledger(docs: DataFrame, text: str = "text") -> DataFrame:
-    """``row``, the measurements, and ``failed``: bit i is set if rule i fails."""
+    """``row``, the measurements, and ``failed``: bit i is set if rule i fails.
+
+    Store it (``materialize``, or a table) before applying several policies or an ablation, or
+    each of them measures the texts anew; a filter on a ledger not stored is slow, as Spark
+    pushes the measurements into it.
+    """
     bits = [F.when(rule, F.lit(1 << i)).otherwise(F.lit(0)).cast("long")
             for i, rule in enumerate(_rules().values())]
     total = bits[0]
@@ -111,6 +114,12 @@ def passes(policy: str) -> Column:
     return F.col("failed").bitwiseAND(F.lit(mask(policy))) == 0
 
 
+def only_rule(policy: str = POLICY) -> Column:
+    """The rule of the policy that alone rejects a ledger row; null if none or several do."""
+    names, failed = list(_rules()), F.col("failed").bitwiseAND(F.lit(mask(policy)))
+    return F.coalesce(*[F.when(failed == 1 << names.index(rule), F.lit(rule)) for rule in POLICIES[policy]])
+
+
 def ablation(rows: DataFrame, policy: str = POLICY) -> DataFrame:
     """Per rule of the policy: rows it fails, and rows that only it fails (kept without it).
 
@@ -129,12 +138,16 @@ def ablation(rows: DataFrame, policy: str = POLICY) -> DataFrame:
 
 
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Ledger of every document and the current policy's verdict."""
+    """Ledger of every document, the current and each other policy's verdict, and the rule it hangs on.
+
+    ``only_rule`` names the rule without which the current policy would keep the document.
+    """
     docs = read(spark, sf_dir, "documents").select("doc_id", "text")
     return ledger(docs).select(
         F.col("row.doc_id").alias("doc_id"), "n_words", "word_chars", "n_symbols", "n_dup_lines",
         "n_repeat_words", (~passes("base")).alias("base_failed"), passes(POLICY).alias("kept"),
-        F.col("failed").alias("failed_rules"))
+        F.col("failed").alias("failed_rules"), only_rule().alias("only_rule"),
+        *[passes(policy).alias("kept_" + policy.replace("-", "_")) for policy in POLICIES])
 
 
 OP8_SQL = r"""
@@ -166,6 +179,11 @@ f AS (
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, few OR rep AS base_failed,
        NOT (few OR rep OR sym OR loud OR dup OR odd) AS kept,
        CAST(few::INT + 2 * rep::INT + 4 * sym::INT + 8 * loud::INT + 16 * dup::INT + 32 * odd::INT AS BIGINT)
-         AS failed_rules
+         AS failed_rules,
+       CASE few::INT + rep::INT + sym::INT + loud::INT + dup::INT + odd::INT WHEN 1 THEN
+         CASE WHEN few THEN 'few_words' WHEN rep THEN 'repeats' WHEN sym THEN 'symbols'
+              WHEN loud THEN 'shouting' WHEN dup THEN 'dup_lines' ELSE 'word_length' END END AS only_rule,
+       NOT (few OR rep) AS kept_base, NOT (few OR rep OR sym OR loud) AS kept_2026_01,
+       NOT (few OR rep OR sym OR loud OR dup OR odd) AS kept_2026_02
 FROM f
 """

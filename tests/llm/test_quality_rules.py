@@ -1,7 +1,10 @@
 import random
 import re
 
+import duckdb
+
 from plantloom.llm import quality_rules as qr
+from plantloom.session import materialize
 from tests.llm.cases import awkward, documents, words
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -59,6 +62,30 @@ def test_ablation_counts_what_a_rule_alone_fails(spark):
     assert [r.text for r in kept] == [good]
 
 
+def test_policies_and_ablation_of_a_whole_table(spark):
+    """Bitwise aggregation over every ledger row against sums over the SQL's own rows."""
+    sf = "/root/testdata/sf0.01"
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM read_parquet('{sf}/documents.parquet')")
+    con.execute(f"CREATE TABLE plain AS {qr.OP8_SQL}")
+    rows = materialize(qr.ledger(spark.read.parquet(f"{sf}/documents.parquet")))
+    names = list(qr._rules())
+    for policy, rules in qr.POLICIES.items():
+        got = {r.rule: (r.n_failed, r.n_only) for r in qr.ablation(rows, policy).collect()}
+        want = {}
+        for rule in rules:
+            bit = 1 << names.index(rule)
+            want[rule] = con.execute(
+                f"SELECT count(*) FILTER (failed_rules & {bit} <> 0), "
+                f"count(*) FILTER (failed_rules & {qr.mask(policy)} = {bit}) FROM plain").fetchone()
+        assert got == want
+        kept = con.execute(f"SELECT count(*) FROM plain WHERE kept_{policy.replace('-', '_')}").fetchone()[0]
+        assert rows.filter(qr.passes(policy)).count() == kept
+    # what the current policy would keep without a rule is what hangs on it alone
+    only = dict(con.execute("SELECT only_rule, count(*) FROM plain WHERE only_rule IS NOT NULL GROUP BY 1").fetchall())
+    assert only == {r.rule: r.n_only for r in qr.ablation(rows).collect() if r.n_only} and only
+
+
 def test_no_python_and_no_shuffle_in_the_plan(spark):
     plan = qr.ledger(awkward(spark))._jdf.queryExecution().executedPlan().toString()
     assert "ArrowEval" not in plan and "BatchEval" not in plan and "Exchange" not in plan
