@@ -26,13 +26,15 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from plantloom.llm.tables import read, ready_for_python
+from plantloom.llm.tables import quoted, read, ready_for_python
 from plantloom.session import materialize
 
 UND = "und"
 MIN_RATE = 2e-5
 SLOTS_LOG2 = 20
 HASHES = 3
+# A text in none of the learnt languages shares few of their trigrams, at any table.
+LEAST_SCORE = 0.25
 # Characters worked on at a time, and distinct trigrams a task holds before it emits them.
 CHUNK = 1 << 19
 HELD = 1 << 20
@@ -123,8 +125,8 @@ class LanguageFilters:
             masks = self.slots[at] if masks is None else masks & self.slots[at]
         return masks
 
-    def classify(self, texts: Iterable[str | None]) -> tuple[list[str], np.ndarray]:
-        """Language and score of every text."""
+    def scores(self, texts: Iterable[str | None]) -> tuple[np.ndarray, np.ndarray]:
+        """Corrected share of each text's trigrams per language, and their number."""
         texts = list(texts)
         total = np.zeros(len(texts), np.int64)
         hits = np.zeros((len(texts), len(self.languages)), np.int64)
@@ -138,13 +140,17 @@ class LanguageFilters:
             for i in range(len(self.languages)):
                 bits = (masks[:, i // 64] >> np.uint64(i % 64)) & np.uint64(1)
                 hits[who, i] += np.add.reduceat(bits.astype(np.int64), starts)
-        if not self.languages:
-            return [UND] * len(texts), np.zeros(len(texts))
         share = hits / np.maximum(total, 1)[:, None]
-        score = np.clip((share - self.false_positive) / (1 - self.false_positive), 0.0, 1.0)
+        return np.clip((share - self.false_positive) / (1 - self.false_positive), 0.0, 1.0), total
+
+    def classify(self, texts: Iterable[str | None]) -> tuple[list[str], np.ndarray]:
+        """Language and score of every text."""
+        score, total = self.scores(texts)
+        if not self.languages:
+            return [UND] * len(total), np.zeros(len(total))
         best = score.argmax(axis=1)
         return ([self.languages[b] if n else UND for b, n in zip(best, total)],
-                np.where(total > 0, score[np.arange(len(texts)), best], 0.0))
+                np.where(total > 0, score[np.arange(len(total)), best], 0.0))
 
 
 def learn(
@@ -176,7 +182,7 @@ def learn(
         if held:
             yield emit()
 
-    rows = docs.select(F.col(lang).alias("lang"), F.col(text).alias("text")).dropna()
+    rows = docs.select(quoted(lang).alias("lang"), quoted(text).alias("text")).dropna()
     counts = (rows.mapInPandas(count, "lang string, gram long, n long")
               .groupBy("lang", "gram").agg(F.sum("n").alias("n")))
     counts = materialize(counts)
@@ -204,6 +210,78 @@ def predictor(spark: SparkSession, filters: LanguageFilters):
     return predict
 
 
+def reach(score: np.ndarray, letters: np.ndarray) -> np.ndarray:
+    """What share a text of so many letters may well have: three standard errors above the one seen."""
+    return score + 3 * np.sqrt(score * (1 - score) / np.maximum(letters, 1))
+
+
+def floors(docs: DataFrame, filters: LanguageFilters, text: str = "text", lang: str = "lang") -> dict[str, float]:
+    """Per language, the ``reach`` below which a text is in none of the learnt languages.
+
+    From labelled rows. Those whose best score is a language's are its own, and
+    show how low its texts come: the lowest thousandth. All whose best score and
+    label are another's show what a foreign text gets from its filter: the
+    highest hundredth. The floor is halfway between the two, and at least half as
+    far below the former as that is below the median. A language without rows of
+    its own gets ``LEAST_SCORE``, which no floor goes below. Reaches are counted
+    in thousandths: a few thousand rows a language are what the driver sees.
+    """
+    ready_for_python(docs.sparkSession)
+    shared = docs.sparkSession.sparkContext.broadcast(filters)
+
+    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        names = shared.value.languages
+        for batch in batches:
+            score, letters = shared.value.scores(batch["text"])
+            at = np.floor(1000 * reach(score, letters[:, None])).astype(np.int64)
+            best = score.argmax(axis=1) if names else letters
+            for i, name in enumerate(names):
+                own = best == i
+                used = (letters > 0) & (own | (batch["lang"] != name).to_numpy())
+                part = pd.DataFrame({"own": own[used], "at": at[used, i]}).value_counts().reset_index(name="n")
+                yield part.assign(lang=name)[["lang", "own", "at", "n"]]
+
+    rows = docs.select(quoted(lang).alias("lang"), quoted(text).alias("text")).dropna()
+    found = rows.mapInPandas(count, "lang string, own boolean, at long, n long").groupBy("lang", "own", "at").agg(
+        F.sum("n").alias("n")).toPandas().sort_values("at")
+    out = {}
+    for name in filters.languages:
+        of = {own: part for own, part in found[found["lang"] == name].groupby("own")}
+        if True not in of:
+            out[name] = LEAST_SCORE
+            continue
+        lowest, median = _quantile(of[True], 0.001), _quantile(of[True], 0.5)
+        floor = lowest - (median - lowest) / 2
+        if False in of:
+            floor = min(floor, (lowest + _quantile(of[False], 0.99)) / 2)
+        out[name] = max(LEAST_SCORE, float(floor) / 1000)
+    return out
+
+
+def _quantile(counted: pd.DataFrame, share: float) -> int:
+    """The value below or at which that share of the rows lies."""
+    total = counted["n"].cumsum().to_numpy()
+    return int(counted["at"].to_numpy()[np.searchsorted(total, share * total[-1])])
+
+
+def recognizer(spark: SparkSession, filters: LanguageFilters, least: dict[str, float]):
+    """A column function text -> whether the text reaches the floor of its most likely language."""
+    ready_for_python(spark)
+    shared = spark.sparkContext.broadcast((filters, np.array([least[n] for n in filters.languages])))
+
+    @F.pandas_udf("boolean")
+    def known(texts: pd.Series) -> pd.Series:
+        filters, least = shared.value
+        score, letters = filters.scores(texts)
+        if not filters.languages:
+            return pd.Series(np.zeros(len(letters), bool))
+        best = score.argmax(axis=1)
+        top = score[np.arange(len(best)), best]
+        return pd.Series((letters > 0) & (reach(top, letters) >= least[best]))
+
+    return known
+
+
 def held_out(doc_id: str | Column) -> Column:
     """A quarter of the documents, by checksum of the id, is never learnt from."""
     column = F.col(doc_id) if isinstance(doc_id, str) else doc_id

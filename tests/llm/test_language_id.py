@@ -1,3 +1,6 @@
+import zlib
+from collections import Counter
+
 import numpy as np
 from pyspark.sql import functions as F
 
@@ -59,3 +62,50 @@ def test_awkward_rows(spark):
     assert li.learn(empty).languages == ()
     none = li.predictor(spark, li.learn(empty))
     assert {tuple(r.p) for r in docs.select(none("text").alias("p")).collect()} == {("und", 0.0)}
+
+
+def test_predictions_by_definition(spark):
+    """Every document's scores from exact sets of trigrams; the filters differ by their false positives only."""
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text", "lang").collect()
+    counts = {}
+    for r in docs:
+        if r.lang is not None and zlib.crc32(str(r.doc_id).encode()) % 4 != 2:
+            counts.setdefault(r.lang, Counter()).update(plain(r.text))
+    known = {k: {g for g, n in c.items() if n >= li.MIN_RATE * c.total()} for k, c in counts.items()}
+    got = {r.doc_id: r for r in li.op1_language_id(spark, "/root/testdata/sf0.001").collect()}
+    assert len(got) == len(docs)
+    for r in docs:
+        grams = plain(r.text)
+        share = {k: sum(g in s for g in grams) / max(len(grams), 1) for k, s in known.items()}
+        best = max(sorted(share), key=share.get)
+        assert abs(got[r.doc_id].score - share[best]) < 0.01
+        if grams and share[best] - max([0.0, *(v for k, v in share.items() if k != best)]) > 0.02:
+            assert got[r.doc_id].lang_pred == best
+
+
+def test_a_language_left_out_is_refused(spark):
+    """Filters and floors of the other languages refuse its documents and keep their own, learnt from or not."""
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text", "lang").cache()
+    for out in ("de", "en", "es", "fr"):
+        rest = docs.filter(F.col("lang") != out)
+        filters = li.learn(rest.filter(~li.held_out("doc_id")))
+        least = li.floors(rest, filters)
+        assert sorted(least) == sorted({"de", "en", "es", "fr"} - {out})
+        known = docs.select("lang", li.recognizer(spark, filters, least)("text").alias("known"))
+        foreign, own = known.agg(F.avg(F.when(F.col("lang") == out, F.col("known").cast("int"))),
+                                 F.min(F.when(F.col("lang") != out, F.col("known").cast("int")))).first()
+        assert foreign < 0.1 and own == 1, (out, foreign, least)
+
+
+def test_floors_of_awkward_rows(spark):
+    docs = awkward(spark)
+    filters = li.learn(docs)
+    for rows in (docs, documents(spark)):
+        least = li.floors(rows, filters)
+        assert set(least) == set(filters.languages) and all(0.25 <= v <= 1 for v in least.values())
+        for r in docs.select("text", "lang", li.recognizer(spark, filters, least)("text").alias("known")).collect():
+            letters = any(c.isalpha() for c in r.text or "")
+            assert letters if r.known else not letters or r.lang is None
+    nothing = li.learn(documents(spark))
+    assert li.floors(docs, nothing) == {}
+    assert docs.select(li.recognizer(spark, nothing, {})("text").alias("known")).filter("known").count() == 0
