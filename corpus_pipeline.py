@@ -7,14 +7,11 @@ columns of ``documents``.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from plantloom.llm import exact_dedup, language_id, mixing, piece_bpe, simhash
 from plantloom.llm.tables import packed, read, unpacked
 from plantloom.session import materialize
 
-# A document in none of the learnt languages shares few of their trigrams.
-LEAST_LANGUAGE_SCORE = 0.25
 # Python workers outlive a stage, so the last one shares memory with what the others left.
 REMEMBERED_PARTS = 1 << 16
 
@@ -22,10 +19,9 @@ REMEMBERED_PARTS = 1 << 16
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in a language learnt from the documents' own labels; others go."""
     filters = language_id.learn(docs.filter(~language_id.held_out("doc_id")))
-    predict = language_id.predictor(spark, filters)
-    rows = packed(docs, found=predict("text"))
-    return unpacked(rows.filter((F.col("found.lang") != language_id.UND)
-                                & (F.col("found.score") >= LEAST_LANGUAGE_SCORE)))
+    least = language_id.floors(docs, filters)
+    known = language_id.recognizer(spark, filters, least)
+    return unpacked(packed(docs, known=known("text")).filter("known"))
 
 
 def drop_exact_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
