@@ -211,8 +211,8 @@ def predictor(spark: SparkSession, filters: LanguageFilters):
 
 
 def reach(score: np.ndarray, letters: np.ndarray) -> np.ndarray:
-    """What share a text of so many letters may well have: three standard errors above the one seen."""
-    return score + 3 * np.sqrt(score * (1 - score) / np.maximum(letters, 1))
+    """What share a text of so many letters may well have: four standard errors above the one seen."""
+    return score + 4 * np.sqrt(score * (1 - score) / np.maximum(letters, 1))
 
 
 def floors(docs: DataFrame, filters: LanguageFilters, text: str = "text", lang: str = "lang") -> dict[str, float]:
