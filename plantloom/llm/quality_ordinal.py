@@ -29,7 +29,7 @@ from __future__ import annotations
 import re
 from collections import Counter
 from dataclasses import dataclass
-from functools import lru_cache
+from functools import cached_property, lru_cache
 from itertools import chain
 
 import numpy as np
@@ -46,6 +46,7 @@ GRADES = 3
 FIT_ROWS = 12000
 FEATURES = 1 << 20  # slots; as many again stand for what occurs twice or more in a text
 PREFIXES = range(3, 8)
+REMEMBERED_WORDS = 1 << 16
 EVIDENCE = 15.0
 MOST_FEATURES = 4096
 STEPS, RATE, PENALTY = 150, 0.1, 1e-3
@@ -59,15 +60,24 @@ def _slot(name: str) -> int:
     return xxhash.xxh32_intdigest(name) % FEATURES
 
 
-@lru_cache(1 << 16)
-def _word_slots(word: str) -> tuple[int, ...]:
-    """A word and its beginnings, which inflected and compound words share."""
-    return _slot(f"w:{word}"), *[_slot(f"p:{word[:k]}") for k in PREFIXES if k < len(word)]
+def word_slots(among: frozenset[int] | None = None):
+    """A function word -> slots of the word and of its beginnings, which inflected and compound
+    words share; only slots in ``among``, if given. It remembers a bounded number of words."""
 
+    @lru_cache(REMEMBERED_WORDS)
+    def slots(word: str) -> tuple[int, ...]:
+        every = _slot(f"w:{word}"), *[_slot(f"p:{word[:k]}") for k in PREFIXES if k < len(word)]
+        return every if among is None else tuple(s for s in every if s in among)
 
-def features(text: str | None) -> np.ndarray:
+    return slots
+
+
+_every_slot = word_slots()
+
+
+def features(text: str | None, slots_of=_every_slot) -> np.ndarray:
     """Distinct hashed features: words and their beginnings in lower case, found once or
-    found twice, and how common marks of poor text are."""
+    found twice, and how common marks of poor text are. ``slots_of`` may leave words out."""
     words = WORD.findall(text or "")
     if not words:
         return np.empty(0, np.int32)
@@ -81,7 +91,7 @@ def features(text: str | None) -> np.ndarray:
     # a share of all words in ten steps, each also standing for the lower ones
     marks = [f"s:{n}:{k}" for n, v in shares.items() for k in range(1, 11) if 10 * v >= k * len(words)]
     marks += [f"d:{k}" for k in range(1, 11) if 10 * (len(lines) - len(set(lines))) >= k * len(lines)]
-    counts = Counter(chain.from_iterable(map(_word_slots, map(str.lower, LETTERS.findall(text)))))
+    counts = Counter(chain.from_iterable(map(slots_of, map(str.lower, LETTERS.findall(text)))))
     slots = counts.keys() | set(map(_slot, marks)) | {FEATURES + s for s, n in counts.items() if n > 1}
     return np.fromiter(sorted(slots), np.int32, len(slots))
 
@@ -93,6 +103,11 @@ class OrdinalModel:
     weights: np.ndarray
     thresholds: np.ndarray
 
+    @cached_property
+    def slots_of(self):
+        """``word_slots`` that have a weight, made once per worker."""
+        return word_slots(frozenset((np.flatnonzero(self.weights) % FEATURES).tolist()))
+
     def probabilities(self, scores: np.ndarray) -> np.ndarray:
         """P(grade) for each score, a row each."""
         below = _logistic(self.thresholds[None, :] - scores[:, None])
@@ -239,7 +254,7 @@ def scorer(spark: SparkSession, model: OrdinalModel):
     @F.pandas_udf("expected_grade double, tail_probability double")
     def score(texts: pd.Series) -> pd.DataFrame:
         model = shared.value
-        p = model.probabilities(model.score([features(t) for t in texts]))
+        p = model.probabilities(model.score([features(t, model.slots_of) for t in texts]))
         return pd.DataFrame({"expected_grade": p @ np.arange(p.shape[1]), "tail_probability": p[:, -1]})
 
     return score
