@@ -37,9 +37,7 @@ def heavy_keys(df: DataFrame, columns: Sequence[str], parts: int) -> dict[str, i
     ``HEAVY_KEYS`` keys at most, whatever the table's size. Keys with a null are
     no keys.
     """
-    buckets = max(LEAST_BUCKETS, 4 * parts)
-    keyed = df.select(_one_key(columns).alias("k")).dropna()
-    bucket = F.pmod(F.xxhash64("k"), F.lit(buckets))
+    keyed, bucket = df.select(_one_key(columns).alias("k")).dropna(), _bucket(parts)
     counts = {r.b: r["count"] for r in keyed.groupBy(bucket.alias("b")).count().collect()}
     total = sum(counts.values())
     full = [b for b, n in counts.items() if n * parts > total]
@@ -50,12 +48,35 @@ def heavy_keys(df: DataFrame, columns: Sequence[str], parts: int) -> dict[str, i
     return {t["item"]: ceil(2 * t["count"] * parts / total) for t in top if t["count"] * parts > total}
 
 
+def heavy_right(right: DataFrame, columns: Sequence[str]) -> dict[str, int]:
+    """The ``heavy_keys`` of a join's right side at the session's number of partitions.
+
+    None, and no job, if all of it is smaller than what Spark calls a skewed partition.
+    """
+    return heavy_keys(right, columns, _parts(right)) if _may_be_skewed(right) else {}
+
+
+def uneven(df: DataFrame, columns: Sequence[str]) -> bool:
+    """Whether some key, or the rows without one, would make what Spark calls a skewed partition.
+
+    Counts per hash bucket, as in ``heavy_keys``; a table smaller than such a partition is not read.
+    """
+    if not _may_be_skewed(df):
+        return False
+    parts = _parts(df)
+    factor = float(df.sparkSession.conf.get("spark.sql.adaptive.skewJoin.skewedPartitionFactor"))
+    counts = df.select(_one_key(columns).alias("k")).groupBy(_bucket(parts).alias("b")).count()
+    most, total = counts.agg(F.max("count"), F.sum("count")).first()
+    return bool(total) and most * parts > factor * total
+
+
 def left_join_many(
     left: DataFrame,
     right: DataFrame,
     on: Sequence[tuple[str, str]],
     name: str = "right",
     again: bool = False,
+    heavy: dict[str, int] | None = None,
 ) -> DataFrame:
     """Left outer equi-join for a right side with any number of rows per key.
 
@@ -79,8 +100,8 @@ def left_join_many(
     mine, theirs = [a for a, _ in on], [b for _, b in on]
     for key in theirs:
         right = right.filter(F.col(key).isNotNull())
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    heavy = heavy_keys(right, theirs, parts) if _may_be_skewed(right) else {}
+    if heavy is None:
+        heavy = heavy_right(right, theirs)
     qualified = [(a, f"{name}.{b}") for a, b in on]
     if not heavy:
         if again:
@@ -103,6 +124,15 @@ def left_join_many(
     return joined.filter(F.col(key).isNull() | found).drop(key, salt, at)
 
 
+def _parts(df: DataFrame) -> int:
+    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
+
+def _bucket(parts: int) -> Column:
+    """Hash bucket of a key in column ``k``."""
+    return F.pmod(F.xxhash64("k"), F.lit(max(LEAST_BUCKETS, 4 * parts)))
+
+
 def _may_be_skewed(df: DataFrame) -> bool:
     """Whether Spark expects more bytes than its bound for a skewed partition."""
     bound = df.sparkSession.conf.get("spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes")

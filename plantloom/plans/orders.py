@@ -14,7 +14,7 @@ from plantloom.functions.materials import not_deleted, not_retired
 from plantloom.functions.orders import (
     PLANNED_MINUS_ACTUAL, as_date, deviation_days, lateness, month_of, on_time, order_type)
 from plantloom.operators.columns import pick, pick_present
-from plantloom.operators.joins import left_join_many
+from plantloom.operators.joins import heavy_right, left_join_many, uneven
 from plantloom.plans.keys import add_primary_keys
 
 TABLES = ("AFKO", "AFPO", "AUFK", "MARA")
@@ -81,6 +81,13 @@ def with_master(header: DataFrame, master: DataFrame) -> DataFrame:
     return left_join_many(header.alias("header"), master, [("header.AUFNR", "AUFNR")], "master")
 
 
+def _widened(side: DataFrame, more: DataFrame, key: str, name: str, heavy: dict[str, int]) -> DataFrame:
+    """``side`` left-joined to ``more`` by ``key``, whose other columns get the prefix ``_name_``."""
+    rows = left_join_many(side.alias("side"), more, [(f"side.{key}", key)], name, heavy=heavy)
+    return rows.select("side.*", *[F.col(f"{name}.{c}").alias(f"_{name}_{c}")
+                                   for c in more.columns if c != key])
+
+
 def integrate_orders(
     header: DataFrame,
     items: DataFrame,
@@ -94,6 +101,11 @@ def integrate_orders(
     The order number of the result is the master's, null where there is no
     master record, unless ``keep_header_key``. Any side may hold any number of
     rows per key. Each side's own key columns are published by one side only.
+
+    Materials join the items and changes the master records before either meets
+    the headers: these rows are narrow, and the joins by order number share one
+    shuffle of the headers. Whole rows are not shuffled, unless an order number
+    is heavy among the headers.
     """
     require_columns(header, ["AUFNR", "GLTRP"], "header")
     require_columns(items, ["AUFNR", "MATNR"], "items")
@@ -102,20 +114,28 @@ def integrate_orders(
         if name not in master.columns:
             master = master.withColumn(name, F.lit(None).cast(kind))
 
-    rows = with_master(header, master)
-    rows = left_join_many(rows, items, [("header.AUFNR", "AUFNR")], "item", again=True)
-    rows = left_join_many(rows, material, [("item.MATNR", "MATNR")], "material")
     published = [(f"header.{c}", c) for c in header.columns if c != "AUFNR"]
     published += [(f"item.{c}", c) for c in items.columns if c not in ("AUFNR", "MATNR")]
     published += [(f"master.{c}", c) for c in master.columns]
-    published += [(f"material.{c}", c) for c in material.columns if c != "MATNR"]
+    published += [(f"item._material_{c}", c) for c in material.columns if c != "MATNR"]
     if changes is not None:
         require_columns(changes, ["OBJNR"], "changes")
-        rows = left_join_many(rows, changes, [("master.OBJNR", "OBJNR")], "change")
-        published += [(f"change.{c}", c) for c in changes.columns
+        published += [(f"master._change_{c}", c) for c in changes.columns
                       if c not in ("AUFNR", "MATNR", "OBJNR")]
-
     require_distinct([c for _, c in published], "the integrated orders")
+
+    documents = {} if changes is None else heavy_right(changes, ["OBJNR"])
+    known = master if changes is None else _widened(master, changes, "OBJNR", "change", documents)
+    numbers = heavy_right(material, ["MATNR"])
+    described = _widened(items, material, "MATNR", "material", numbers)
+    sides = [("master", known, heavy_right(known if documents else master, ["AUFNR"])),
+             ("item", described, heavy_right(described if numbers else items, ["AUFNR"]))]
+    # a side with heavy keys joins last, so that their rows stay spread
+    (first, one, heavy), (second, two, heavier) = sorted(sides, key=lambda side: bool(side[2]))
+    rows = left_join_many(header.alias("header"), one, [("header.AUFNR", "AUFNR")], first, heavy=heavy)
+    rows = left_join_many(rows, two, [("header.AUFNR", "AUFNR")], second, heavy=heavier,
+                          again=not heavier and uneven(header, ["AUFNR"]))
+
     number = F.col("master.AUFNR")
     values = {
         "master.ZZGLTRP_ORIG": planned_finish(),

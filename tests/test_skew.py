@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from plantloom.contracts import SOURCE_DDL
 from plantloom.operators.dedup import collapse, with_group_size
-from plantloom.operators.joins import heavy_keys, left_join_many
+from plantloom.operators.joins import heavy_keys, left_join_many, uneven
 from plantloom.plans import material, orders
 from tests.frames import rows
 
@@ -226,3 +226,67 @@ def test_heavy_change_documents(large):
     bare = master.filter("OBJNR <> 'OR7'").join(changes, "OBJNR", "left_anti").count()
     assert counts == sorted([(True, heavy, heavy), (False, documented + bare, documented), (None, 500, 0)],
                             key=repr)
+
+
+def erp_table(spark, name, n, **columns):
+    known = [c.split()[0] for c in SOURCE_DDL[name].split(", ")]
+    typed = {f.name: f.dataType for f in spark.createDataFrame([], SOURCE_DDL[name]).schema}
+    return spark.range(0, n, 1, 8).select(*[
+        columns.get(c, F.lit(None)).cast(typed[c]).alias(c) for c in known])
+
+
+def order_sides(spark, header_number, folder):
+    """Orders with two items each; every table comes from files, so that its size is known."""
+    number = F.col("id").cast("string")
+    made = {
+        "AFKO": erp_table(spark, "AFKO", 6000, AUFNR=header_number, FHORI=F.sha2(number, 256)),
+        "AFPO": erp_table(spark, "AFPO", 12000, AUFNR=(F.col("id") % 6000).cast("string"),
+                          POSNR=number, MATNR=(F.col("id") % 500).cast("string")),
+        "AUFK": erp_table(spark, "AUFK", 5000, AUFNR=number, OBJNR=F.concat(F.lit("OR"), number)),
+        "MARA": erp_table(spark, "MARA", 400, MATNR=number, MTART=F.concat(F.lit("T"), number))}
+    for name, df in made.items():
+        df.write.parquet(f"{folder}/{name}")
+    t = {name: spark.read.parquet(f"{folder}/{name}") for name in made}
+    return (orders.order_header(t["AFKO"]), orders.order_items(t["AFPO"]),
+            orders.order_master(t["AUFK"]), orders.order_material(t["MARA"]))
+
+
+def expected_orders(header, items, master, material):
+    """The joins as they are defined, one after the other."""
+    m = master.toDF(*[f"m_{c}" for c in master.columns])
+    i = items.toDF(*[f"i_{c}" for c in items.columns])
+    k = material.toDF(*[f"k_{c}" for c in material.columns])
+    joined = (header.join(m, F.col("AUFNR") == F.col("m_AUFNR"), "left")
+              .join(i, F.col("AUFNR") == F.col("i_AUFNR"), "left")
+              .join(k, F.col("i_MATNR") == F.col("k_MATNR"), "left"))
+    return rows(joined, "m_AUFNR", "i_POSNR", "m_OBJNR", "k_MTART")
+
+
+@pytest.mark.parametrize("documented", [False, True])
+def test_whole_order_rows_are_not_shuffled(large, tmp_path, documented):
+    sides = order_sides(large, F.col("id").cast("string"), tmp_path)
+    changes = None
+    if documented:
+        large.range(0, 9000, 1, 8).select(
+            F.concat(F.lit("OR"), (F.col("id") % 4500).cast("string")).alias("OBJNR"),
+            F.col("id").cast("string").alias("CHANGENR")).write.parquet(f"{tmp_path}/CDPOS")
+        changes = large.read.parquet(f"{tmp_path}/CDPOS")
+    got = orders.integrate_orders(*sides, changes=changes)
+    plan = final_plan(got)
+    # each table once, the described items once more, and so the documented master records
+    assert plan.count("Exchange hashpartitioning") == (7 if documented else 5)
+    if documented:
+        assert got.count() == 6000 * 2 + 4500 * 2
+        assert rows(got.agg(F.count("CHANGENR"), F.countDistinct("CHANGENR"))) == [(18000, 9000)]
+    else:
+        assert rows(got, "AUFNR", "POSNR", "OBJNR", "MTART") == expected_orders(*sides)
+
+
+@pytest.mark.parametrize("key", ["7", None])
+def test_heavy_order_number_among_the_headers(large, tmp_path, key):
+    number = F.when(F.col("id") % 3 == 0, F.lit(key)).otherwise(F.col("id").cast("string"))
+    sides = order_sides(large, number, tmp_path)
+    assert uneven(sides[0], ["AUFNR"]) and not uneven(sides[2], ["AUFNR"])
+    got = orders.integrate_orders(*sides)
+    assert "SortMergeJoin(skew=true)" in final_plan(got)
+    assert rows(got, "AUFNR", "POSNR", "OBJNR", "MTART") == expected_orders(*sides)
