@@ -330,3 +330,16 @@ def test_declared_columns_are_typed_and_staged(spark, tmp_path):
         "MATNR": "string", "BRGEW": "double", "ERSDA": "date", "OTHER": "string"}
     assert staged.columns == ["MATNR", "BRGEW", "ERSDA"]
     assert [tuple(map(str, r)) for r in staged.collect()] == [("1", "2.5", "2024-01-31")]
+
+
+def test_extracts_are_written_packed(spark, tmp_path):
+    words = ["a,b", 'say "x"', " padded ", "", None] + ["the same plant"] * 20000
+    df = spark.createDataFrame([("100", str(i), w, "1") for i, w in enumerate(words)],
+                               SOURCE_DDL["T001W"]).coalesce(1)
+    catalog.write_extract(df, f"{tmp_path}/PRE_T001W.csv")
+    parts = [p for p in (tmp_path / "PRE_T001W.csv").iterdir() if p.name.startswith("part-")]
+    text = sum(len(",".join(filter(None, r))) + 1 for r in df.collect())
+    assert parts and all(p.name.endswith(".csv.gz") for p in parts)
+    assert sum(p.stat().st_size for p in parts) * 3 < text
+    got = load_system(spark, {"name": "PRE", "path": f"{tmp_path}/"}, ["T001W"])["T001W"]
+    assert rows(got) == rows(df.replace("", None, ["NAME1"]))
