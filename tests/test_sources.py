@@ -4,6 +4,7 @@ import datetime
 import logging
 import subprocess
 import sys
+import threading
 import time
 from pathlib import Path
 
@@ -333,7 +334,7 @@ def test_declared_columns_are_typed_and_staged(spark, tmp_path):
 
 
 def test_extracts_are_written_packed(spark, tmp_path):
-    words = ["a,b", 'say "x"', " padded ", "", None] + ["the same plant"] * 20000
+    words = ["a,b", 'say "x"', "é", "", None] + ["the same plant"] * 20000
     df = spark.createDataFrame([("100", str(i), w, "1") for i, w in enumerate(words)],
                                SOURCE_DDL["T001W"]).coalesce(1)
     catalog.write_extract(df, f"{tmp_path}/PRE_T001W.csv")
@@ -343,3 +344,14 @@ def test_extracts_are_written_packed(spark, tmp_path):
     assert sum(p.stat().st_size for p in parts) * 3 < text
     got = load_system(spark, {"name": "PRE", "path": f"{tmp_path}/"}, ["T001W"])["T001W"]
     assert rows(got) == rows(df.replace("", None, ["NAME1"]))
+
+
+def test_both_systems_are_published_side_by_side(spark, monkeypatch):
+    meet, real = threading.Barrier(2, timeout=120), catalog.write_entity
+
+    def met(*args):
+        meet.wait()  # fails unless the other system's write has begun too
+        return real(*args)
+
+    monkeypatch.setattr(catalog, "write_entity", met)
+    assert catalog.QUERIES["validated_write_roundtrip"](spark, SF).count() > 0
