@@ -8,6 +8,7 @@ import threading
 import time
 from pathlib import Path
 
+import pyarrow.parquet as pq
 import pytest
 from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
@@ -355,3 +356,34 @@ def test_both_systems_are_published_side_by_side(spark, monkeypatch):
 
     monkeypatch.setattr(catalog, "write_entity", met)
     assert catalog.QUERIES["validated_write_roundtrip"](spark, SF).count() > 0
+
+
+def test_entities_are_written_packed(spark, tmp_path):
+    df = spark.range(0, 30000, 1, 1).selectExpr(
+        "concat('OR', id * 7919) AS k", "timestamp_seconds(id % 9 * 86400) AS at", "'EA' AS unit",
+        "IF(id % 3 = 0, NULL, date_from_unix_date(int(id))) AS day")
+    for partition_by in ((), ("unit",)):
+        root = str(tmp_path / f"by{len(partition_by)}")
+        assert write_entity(df, root, "t", partition_by=partition_by)
+        assert rows(read_entity(spark, root, "t").select(*df.columns)) == rows(df)
+        for part in Path(root).rglob("part-*.parquet"):
+            group = pq.ParquetFile(part).metadata.row_group(0)
+            columns = [group.column(i) for i in range(group.num_columns)]
+            assert {c.compression for c in columns} == {"ZSTD"}
+            assert not any("DICTIONARY" in e for c in columns for e in c.encodings)
+
+
+def test_extracts_and_harmonised_entities_are_written_side_by_side(spark, monkeypatch):
+    def meeting(real, counts):
+        meet = threading.Barrier(2, timeout=120)
+
+        def met(*args, **options):
+            if counts(*args, **options):
+                meet.wait()  # fails unless the other one has begun too
+            return real(*args, **options)
+        return met
+
+    monkeypatch.setattr(catalog, "write_extracts", meeting(catalog.write_extracts, lambda *_: True))
+    monkeypatch.setattr(system, "write_entity", meeting(
+        write_entity, lambda df, root, table, system=None, **_: system is None))
+    assert catalog.QUERIES["harmonized_process_order"](spark, SF).count() > 0
