@@ -452,3 +452,18 @@ def test_extracts_of_refused_entities_stay(spark, extracts, tmp_path, monkeypatc
     for _ in range(2):  # built, then up to date
         system.process_system(spark, extracts[0], str(tmp_path), OPTIONS["PRE"], release=told.append)
     assert told == [extracts[0]] * 2
+
+
+def test_process_system_holds_one_systems_extracts(spark, monkeypatch):
+    there, real = [], catalog.write_extracts
+
+    def kept(*args):
+        config = real(*args)
+        there.append(config["path"])
+        # the system before has been built and its extracts are gone
+        assert [bool(children(spark, path)) for path in there] == [False] * (len(there) - 1) + [True]
+        return config
+
+    monkeypatch.setattr(catalog, "write_extracts", kept)
+    df = catalog.QUERIES["process_system"](spark, SF)
+    assert len(there) == 2 and not any(children(spark, path) for path in there) and df.count() > 0
