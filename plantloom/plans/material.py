@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from plantloom.checks import require_columns, require_distinct, require_frame
@@ -13,7 +13,7 @@ from plantloom.functions.materials import (
     global_material_id, not_deleted, not_retired, not_split_valued, plant_label)
 from plantloom.operators.columns import first_present, pick
 from plantloom.operators.dedup import collapse, first_by
-from plantloom.operators.joins import left_join_many, left_lookup
+from plantloom.operators.joins import left_join_many, left_lookup, uneven
 from plantloom.plans.keys import add_primary_keys
 
 TABLES = ("MARA", "MARC", "MBEW", "T001W", "T001K", "T001")
@@ -21,6 +21,8 @@ ENTITY = "LOCAL_MATERIAL"
 GRAIN = ["SOURCE_SYSTEM_ERP", "MATNR", "WERKS"]
 # The valuation columns that are published.
 VALUATION = ["MANDT", "MATNR", "BWKEY", "VPRSV", "VERPR", "STPRS", "PEINH", "BKLAS"]
+# Rows that one task, or a list in one row, holds together where whole materials meet.
+MET = (("T001", "BUKRS"), ("T001K", "BWKEY"), ("T001W", "WERKS"), ("MARC", "MATNR"), ("MBEW", "MATNR"))
 
 
 @dataclass(frozen=True)
@@ -68,12 +70,16 @@ def latest_price(mbew: DataFrame) -> DataFrame:
         F.col("LAEPR").desc_nulls_last(), *[F.col(c).asc_nulls_last() for c in settle]])
 
 
-def material_valuation(mbew: DataFrame) -> DataFrame:
-    """Current valuation per material and area, without deleted or split valuations."""
+def material_valuation(mbew: DataFrame, by_material: bool = False) -> DataFrame:
+    """Current valuation per material and area, without deleted or split valuations.
+
+    ``by_material`` leaves all of a material's in one partition.
+    """
     require_columns(mbew, [*VALUATION, "LAEPR", "LVORM", "BWTAR"], "MBEW")
     valid = mbew.filter(not_deleted() & not_split_valued())
     carried = [c for c in (*VALUATION, "LAEPR", "sur_pkey") if c in mbew.columns]
-    return latest_price(valid.select(*carried)).select(*VALUATION)
+    valid = valid.select(*carried)
+    return latest_price(valid.repartition("MATNR") if by_material else valid).select(*VALUATION)
 
 
 def plant_data(
@@ -153,6 +159,56 @@ def _enrich(
         ("material.MANDT", "currency.MANDT"), ("value.BWKEY", "currency.BWKEY")])
 
 
+def _sites(plants: DataFrame, areas: DataFrame, companies: DataFrame) -> DataFrame:
+    """Per plant (``_werks``) the list of its records of all clients, each with its area's currencies."""
+    currency = area_currency(areas, companies).groupBy(
+        F.col("MANDT").alias("_mandt"), F.col("BWKEY").alias("_bwkey")).agg(
+        F.collect_list(F.struct("WAERS")).alias("currencies"))
+    known = left_lookup(plants.dropna(subset=["MANDT"]), currency, [("MANDT", "_mandt"), ("BWKEY", "_bwkey")])
+    return known.groupBy(F.col("WERKS").alias("_werks")).agg(
+        F.collect_list(F.struct("MANDT", "BWKEY", "NAME1", "currencies")).alias("_sites"))
+
+
+def _integrate_by_material(
+    plant: DataFrame,
+    material: DataFrame,
+    plants: DataFrame,
+    valuation: DataFrame,
+    areas: DataFrame,
+    companies: DataFrame,
+) -> DataFrame:
+    """``integrate_material`` where the rows of a material may meet in one task.
+
+    Plants and currencies are looked up first, for all clients and as lists,
+    while a row is three keys wide. With them it is dealt out by material
+    number, as ``valuation`` is, and there the material's client picks from the
+    list. The valuation of a client, material and area, of which there is one,
+    is put in a group with the rows that want it: a join by three keys would
+    shuffle both sides once more, a window takes the rows as they lie, and so
+    does what is grouped by material and plant thereafter.
+    """
+    published = _published(plant)
+    wanted = [c for c in VALUATION if c not in ("MANDT", "MATNR", "BWKEY")]
+    placed = left_lookup(plant, _sites(plants, areas, companies), [("WERKS", "_werks")]).drop("_werks")
+    known = with_material(placed.repartition("MATNR"), material)
+    own = F.filter("plant._sites", lambda site: site["MANDT"] == F.col("material.MANDT"))
+    asking = known.withColumn("_site", F.explode_outer(own)).select(
+        F.lit(True).alias("_asks"), F.col("material.MANDT").alias("_client"),
+        F.col("_site.BWKEY").alias("_area"), *[F.col(f"plant.{c}").alias(f"_plant_{c}") for c in plant.columns],
+        F.struct("material.MEINS", "material.global_material_number").alias("material"),
+        F.col("_site").alias("site"))
+    valued = valuation.dropna(subset=["MANDT", "MATNR", "BWKEY"]).select(
+        F.col("MANDT").alias("_client"), F.col("BWKEY").alias("_area"), F.col("MATNR").alias("_plant_MATNR"),
+        F.struct(*wanted).alias("value"))
+    group = Window.partitionBy("_client", "_plant_MATNR", "_area")
+    rows = asking.unionByName(valued, allowMissingColumns=True).withColumn(
+        "value", F.max("value").over(group)).filter(F.col("_asks"))
+    paid = F.when(F.col("value").isNotNull(), F.col("site.currencies"))
+    rows = rows.withColumn("currency", F.explode_outer(paid))
+    return rows.select(*[F.col(f"_plant_{name}" if side == "plant" else f"{side}.{name}").alias(name)
+                         for side, _, name in (c.partition(".") for c in published)])
+
+
 def _published(plant: DataFrame) -> list[str]:
     """Qualified columns of the enriched row that survive, in published order."""
     columns = [f"plant.{c}" for c in plant.columns if c != "BWKEY"] + [
@@ -171,8 +227,15 @@ def integrate_material(
     valuation: DataFrame,
     areas: DataFrame,
     companies: DataFrame,
+    by_material: bool = False,
 ) -> DataFrame:
-    """Every plant row with material, plant, valuation and currency, nothing removed."""
+    """Every plant row with material, plant, valuation and currency, nothing removed.
+
+    ``by_material`` says that all rows of a material may meet in one task. ``valuation`` then has one
+    row per material and area and was dealt out by material number.
+    """
+    if by_material:
+        return _integrate_by_material(plant, material, plants, valuation, areas, companies)
     rows = _enrich(plant, material, plants, valuation, area_currency(areas, companies))
     return rows.select(*_published(plant))
 
@@ -197,18 +260,24 @@ def local_material(
 ) -> DataFrame:
     """The local material entity from one system's tables.
 
-    Copies are counted after the joins, in one aggregation that starts in the
-    map tasks.
+    Plant data and valuations are dealt out by material number while their rows
+    are narrow, and all that follows happens there, in tasks that hold whole
+    materials. Where a material, plant, area or company is heavy, every join
+    shuffles for itself. Copies are counted after the joins, in one aggregation.
     """
-    return finish_local_material(integrate_material(
-        plant_data(tables["MARC"], options.check_plant_deleted, options.drop_duplicate_plants,
-                   options.additional),
-        general_material(tables["MARA"], options.global_number_columns,
-                         options.check_old_number, options.check_material_deleted),
-        plants(tables["T001W"]),
-        material_valuation(tables["MBEW"]),
-        valuation_areas(tables["T001K"]),
-        company_codes(tables["T001"])))
+    sides = dict(
+        plant=plant_data(tables["MARC"], options.check_plant_deleted, options.drop_duplicate_plants,
+                         options.additional),
+        material=general_material(tables["MARA"], options.global_number_columns,
+                                  options.check_old_number, options.check_material_deleted),
+        plants=plants(tables["T001W"]),
+        valuation=material_valuation(tables["MBEW"]),
+        areas=valuation_areas(tables["T001K"]),
+        companies=company_codes(tables["T001"]))
+    even = not any(uneven(tables[name], [key]) for name, key in MET)
+    if even:
+        sides["valuation"] = material_valuation(tables["MBEW"], by_material=True)
+    return finish_local_material(integrate_material(**sides, by_material=even))
 
 
 def dedup_metrics(df: DataFrame) -> DataFrame:

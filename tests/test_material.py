@@ -160,6 +160,34 @@ def test_every_integrated_row_is_accounted_for(spark):
                        "duplicates_removed": total - local.count()}
 
 
+def test_whole_materials_meet_in_one_task(spark):
+    """The same integrated rows, copies included, as where every join shuffles for itself."""
+    t = world(spark)
+    sides = dict(
+        plant=material.plant_data(t["MARC"].withColumn("PLIFZ", F.lit(3.0)), additional=["PLIFZ"]),
+        material=material.general_material(t["MARA"]),
+        plants=material.plants(t["T001W"]), areas=material.valuation_areas(t["T001K"]),
+        companies=material.company_codes(t["T001"]))
+    each = material.integrate_material(valuation=material.material_valuation(t["MBEW"]), **sides)
+    met = material.integrate_material(
+        valuation=material.material_valuation(t["MBEW"], by_material=True), by_material=True, **sides)
+    assert met.columns == each.columns and rows(met) == rows(each)
+
+
+def test_whole_rows_are_not_shuffled(spark):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        t = views(spark, "/root/testdata/sf0.001", material.TABLES)
+        for distinct in (False, True):
+            df = material.local_material(t, material.MaterialOptions(drop_duplicate_plants=distinct))
+            plan = df._jdf.queryExecution().executedPlan().toString()
+            # what follows the meeting of plant data and valuations; both are dealt out before
+            assert "SortAggregate" in plan and "Exchange" not in plan[:plan.index("Union")]
+            assert plan.count("REPARTITION_BY_COL") == 2
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
 def test_survivor_is_first_with_nulls_last(spark):
     t = world(spark)
     got = {r.MATNR + r.WERKS: r for r in material.local_material(t)

@@ -170,6 +170,38 @@ def test_heavy_material_on_the_plant_side(large):
     assert tuple(counts) == (60000, 59990, 6000, 6000)
 
 
+def test_heavy_plant_of_even_materials(large):
+    """A third of the plant rows share a plant; whole materials still meet."""
+    nothing = F.lit(None).cast("string")
+    number = F.col("id").cast("string")
+    client = F.when(F.col("id") >= 0, "100").alias("MANDT")
+    plant = hot(large).select(
+        F.lit("PRE").alias("SOURCE_SYSTEM_ERP"), F.col("v").alias("MATNR"), F.col("k").alias("WERKS"),
+        nothing.alias("LVORM"))
+    ids = large.range(0, 60000, 1, 8)
+    sites = large.range(0, 4000, 1, 8).select(client, F.when(F.col("id") == 0, "hot").otherwise(number).alias("WERKS"))
+    tables = {
+        "MARC": plant,
+        "MARA": ids.select(client, number.alias("MATNR"), F.lit("EA").alias("MEINS"), nothing.alias("BISMT"),
+                           nothing.alias("LVORM"), F.lit("g").alias("ZZMDGM")),
+        "T001W": sites.select("MANDT", "WERKS", F.col("WERKS").alias("BWKEY"), F.lit("n").alias("NAME1")),
+        "MBEW": ids.select(
+            client, number.alias("MATNR"), F.lit("hot").alias("BWKEY"),
+            F.lit("2020-01-01").cast("date").alias("LAEPR"),
+            *[nothing.alias(c) for c in ("LVORM", "BWTAR", "VPRSV", "BKLAS")],
+            *[F.lit(1.0).alias(c) for c in ("VERPR", "STPRS", "PEINH")]),
+        "T001K": sites.select("MANDT", F.col("WERKS").alias("BWKEY"), F.lit("C").alias("BUKRS")),
+        "T001": large.range(1).select(F.lit("100").alias("MANDT"), F.lit("C").alias("BUKRS"),
+                                      F.lit("EUR").alias("WAERS")),
+    }
+    df = material.local_material(tables)
+    plan = final_plan(df)
+    assert "_sites" in plan and plan.count("SortMergeJoin(skew=true)") == 1
+    counts = df.agg(F.count("*"), F.count("MEINS"), F.count("NAME1"), F.count("VERPR"), F.count("WAERS")).first()
+    placed = plant.join(sites, "WERKS").count()
+    assert tuple(counts) == (60000, 60000, placed, 20000, 20000)
+
+
 def test_heavy_material_and_heavy_plant_on_the_right(large):
     """A third of the materials in one number, a third of the plants in one key."""
     nothing = F.lit(None).cast("string")
