@@ -467,3 +467,34 @@ def test_process_system_holds_one_systems_extracts(spark, monkeypatch):
     monkeypatch.setattr(catalog, "write_extracts", kept)
     df = catalog.QUERIES["process_system"](spark, SF)
     assert len(there) == 2 and not any(children(spark, path) for path in there) and df.count() > 0
+
+
+def test_extracts_only_one_entity_reads_go_with_it(spark, monkeypatch, tmp_path, extracts):
+    there, real = {}, system.write_entity
+
+    def seen(df, root, table, entity_system=None, **options):
+        if entity_system and table == orders.ENTITY:
+            there[entity_system] = {p for c in configs if c["name"] == entity_system
+                                    for p in children(spark, c["path"])}
+        return real(df, root, table, entity_system, **options)
+
+    configs, extract = [], catalog.write_extracts
+
+    def kept(*args):
+        configs.append(extract(*args))
+        return configs[-1]
+
+    monkeypatch.setattr(system, "write_entity", seen)
+    monkeypatch.setattr(catalog, "write_extracts", kept)
+    for name in ("harmonized_local_material", "process_system"):
+        configs.clear(), there.clear()
+        assert catalog.QUERIES[name](spark, SF).count() > 0
+        assert there == {s: {f"{s}_{t}.csv" for t in orders.TABLES} for s in ("PRE", "PRD")}
+    # what a refused entity still reads stays
+    told = []
+    monkeypatch.setattr(system, "write_entity", lambda df, root, table, *args, **options: (
+        table != material.ENTITY and real(df, root, table, *args, **options)))
+    built = system.process_system(spark, extracts[0], str(tmp_path), OPTIONS["PRE"], stage=False,
+                                  release_table=lambda config, table: told.append(table))
+    assert told == [t for t in orders.TABLES if t not in material.TABLES]
+    assert built["local_material"].count() > 0
